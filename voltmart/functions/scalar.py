@@ -94,6 +94,16 @@ def ratio(part: Column, whole: Column, scale: int = 2) -> Column:
     return F.round(share, scale)
 
 
+def mean_of(total: Column, count: Column, scale: int = 4) -> Column:
+    """total / count rounded once from a long quotient; NULL for nothing."""
+    quotient = total.cast("decimal(28,6)") / F.nullif(count, F.lit(0))
+    return F.round(quotient, scale).cast(f"decimal(18,{scale})")
+
+
+def exact_mean(column, scale: int = 4) -> Column:
+    return mean_of(F.sum(column), F.count(column), scale)
+
+
 def surrogate_key(*columns) -> Column:
     """Deterministic stand-in for a serial: same row, same key, on any run and any cluster."""
     parts = [

@@ -57,7 +57,10 @@ def exact_median(
     middle = F.max(F.when(holds("_low"), F.col("_units"))) + F.max(
         F.when(holds("_high"), F.col("_units"))
     )
-    return ranked.groupBy(*by).agg((middle / (2.0 * 10**scale)).alias(out))
+    halves = middle.cast("decimal(20,0)") * 5
+    return ranked.groupBy(*by).agg(
+        (halves / F.lit(10 ** (scale + 1))).cast(f"decimal(18,{scale + 1})").alias(out)
+    )
 
 
 def rank_desc(df: DataFrame, column: str, out: str) -> DataFrame:

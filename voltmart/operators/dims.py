@@ -98,7 +98,7 @@ def dim_tariff(offers: DataFrame) -> DataFrame:
     return close_intervals(
         pairs.withColumn("tariff_dwh_id", surrogate_key("tariff_version", "rate_per_minute")),
         ["tariff_version"],
-        "valid_from",
+        ["rate_per_minute"],
     )
 
 

@@ -57,9 +57,15 @@ def upsert(
     return joined.select(*[pick(c) for c in target.columns])
 
 
-def close_intervals(df: DataFrame, keys: list[str], start: str = "valid_from") -> DataFrame:
-    """valid_to from the next version of the same key, open end for the last one."""
-    following = Window.partitionBy(*keys).orderBy(start)
+def close_intervals(
+    df: DataFrame, keys: list[str], tie: list[str], start: str = "valid_from"
+) -> DataFrame:
+    """valid_to from the next version of the same key, open end for the last one.
+
+    For versions already reduced to few rows per key. Versions starting together follow each other
+    in the order of `tie`, all but the last with an empty interval.
+    """
+    following = Window.partitionBy(*keys).orderBy(start, *tie)
     return df.withColumn(
         "valid_to",
         F.coalesce(F.lead(start).over(following), F.lit(OPEN_END).cast("timestamp")),

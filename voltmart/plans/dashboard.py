@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from voltmart.functions.scalar import as_day, date_id, day_type, days_before, in_last, ratio
+from voltmart.functions.scalar import as_day, date_id, day_type, days_before, exact_mean, in_last, mean_of, ratio
 
 GOOD_CONVERSION, FAIR_CONVERSION = 70, 50
 DAILY_RENTAL_GOAL = 100
@@ -25,7 +25,9 @@ def latest_day(df: DataFrame, column: str = "date_actual") -> DataFrame:
 def trailing_avg(df: DataFrame, column: str, days: int, out: str) -> DataFrame:
     """Mean of the `days` rows before this one on a gap-free day series."""
     before = Window.orderBy("date_actual").rowsBetween(-days, -1)
-    return df.withColumn(out, F.round(F.avg(column).over(before), 4).cast("decimal(18,4)"))
+    return df.withColumn(
+        out, mean_of(F.sum(column).over(before), F.count(column).over(before))
+    )
 
 
 def revenue_today(daily: DataFrame, as_of: str) -> DataFrame:
@@ -58,10 +60,9 @@ def completed_today(rentals: DataFrame, dim_date: DataFrame, as_of: str) -> Data
 
 
 def conversion_7d(daily: DataFrame, as_of: str) -> DataFrame:
-    rate = F.avg("offer_to_rental_conversion_rate")
     return (
         daily.filter(in_last("date_actual", 7, as_of))
-        .agg(F.round(rate, 4).cast("decimal(18,4)").alias("avg_conversion_rate"))
+        .agg(exact_mean("offer_to_rental_conversion_rate").alias("avg_conversion_rate"))
         .withColumn(
             "band",
             F.when(F.col("avg_conversion_rate") > GOOD_CONVERSION, "good")

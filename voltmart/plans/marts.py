@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from voltmart.functions.scalar import (
-    as_day, date_id, date_id_in_last, days_before, in_last, month_id_in_last, months_before,
-    ratio,
+    as_day, date_id, date_id_in_last, days_before, exact_mean, in_last, mean_of,
+    month_id_in_last, months_before, ratio,
 )
 from voltmart.operators.aggregates import distinct_if, exact_median, rank_desc
 
@@ -23,10 +23,6 @@ def _recent(fact: DataFrame, date_col: str, days: int, as_of: str) -> DataFrame:
     return fact.filter(period)
 
 
-def _mean(column: str, scale: int = 4):
-    return F.round(F.avg(column), scale).cast("decimal(18,4)")
-
-
 def dm_daily_metrics(
     dim_date: DataFrame, rentals: DataFrame, offers: DataFrame, as_of: str, days: int = 90
 ) -> DataFrame:
@@ -43,8 +39,8 @@ def dm_daily_metrics(
         F.count_if("is_cancelled").alias("cancelled_rentals"),
         distinct_if("user_dwh_id").alias("active_users"),
         F.sum("final_cost").alias("total_revenue"),
-        _mean("final_cost").alias("avg_rental_cost"),
-        _mean("duration_minutes").alias("avg_duration_minutes"),
+        exact_mean("final_cost").alias("avg_rental_cost"),
+        exact_mean("duration_minutes").alias("avg_duration_minutes"),
         F.sum("duration_minutes").alias("total_duration_minutes"),
     )
     medians = exact_median(
@@ -96,8 +92,8 @@ def dm_station_stats(
         F.count("rental_id").alias("total_rentals_30d"),
         distinct_if("user_dwh_id").alias("unique_users_30d"),
         F.sum("final_cost").alias("total_revenue_30d"),
-        _mean("final_cost").alias("avg_rental_cost"),
-        _mean("duration_minutes").alias("avg_duration_minutes"),
+        exact_mean("final_cost").alias("avg_rental_cost"),
+        exact_mean("duration_minutes").alias("avg_duration_minutes"),
         F.sum("duration_minutes").alias("total_usage_minutes_30d"),
         F.count_if(week).alias("rentals_last_7d"),
     )
@@ -163,8 +159,8 @@ def dm_user_cohorts(dim_users: DataFrame, rentals: DataFrame, as_of: str) -> Dat
             F.count(F.lit(1)).alias("cohort_size"),
             F.count_if("_in_0").alias("active_month_0"),
             F.count_if("_in_1").alias("active_month_1"),
-            _mean("_rentals").alias("avg_rentals_per_user"),
-            _mean("_spent").alias("avg_revenue_per_user"),
+            exact_mean("_rentals").alias("avg_rentals_per_user"),
+            exact_mean("_spent").alias("avg_revenue_per_user"),
         )
         .orderBy(F.desc("cohort_month"))
     )
@@ -188,8 +184,8 @@ def dm_hourly_demand(
         .groupBy("hour", "hour_of_day", "is_weekend")
         .agg(
             F.count("rental_id").alias("total_rentals"),
-            _mean("final_cost").alias("avg_cost"),
-            _mean("duration_minutes").alias("avg_duration"),
+            exact_mean("final_cost").alias("avg_cost"),
+            exact_mean("duration_minutes").alias("avg_duration"),
         )
     )
     if keep_empty:
@@ -224,7 +220,6 @@ def dm_revenue_breakdown(
     days = dim_date.select(
         F.col("date_id").alias("start_date_id"), F.col("date_actual").alias("date")
     )
-    paid = F.nullif(F.sum("_paid"), F.lit(0))
     return (
         sums.join(F.broadcast(days), "start_date_id")
         .join(dim_tariff.select("tariff_dwh_id", "tariff_type"), "tariff_dwh_id")
@@ -233,9 +228,7 @@ def dm_revenue_breakdown(
         .agg(
             F.sum("_n").alias("rentals_count"),
             F.sum("_revenue").alias("revenue"),
-            F.round(F.sum("_revenue") / paid, 4).cast("decimal(18,4)").alias(
-                "avg_revenue_per_rental"
-            ),
+            mean_of(F.sum("_revenue"), F.sum("_paid")).alias("avg_revenue_per_rental"),
             F.sum("_minutes").alias("total_minutes"),
         )
         .orderBy(F.desc("date"), F.desc_nulls_first("revenue"), "tariff_type", "city")

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voltmart.operators.dims import dim_date, dim_stations, dim_tariff, new_user_versions
+from voltmart.operators.dims import dim_date, dim_stations, dim_tariff, dim_time, new_user_versions
 from voltmart.operators.facts import fact_offers, fact_rentals
 from voltmart.operators.ods import ods_offers, ods_rentals, ods_users
 from voltmart.plans import marts
@@ -69,6 +69,7 @@ def load_star(
         ),
         "dim_tariff": _store(dim_tariff(ods["offers"]), f"{root}/dds/dim_tariff"),
         "dim_date": dim_date(spark, start, as_of),
+        "dim_time": dim_time(spark),
     }
     dims = star["dim_users"], star["dim_stations"], star["dim_tariff"]
     facts = {
@@ -87,6 +88,7 @@ def refresh_marts(star: dict[str, DataFrame], root: str, as_of: str) -> dict[str
         "dm_daily_metrics": marts.dm_daily_metrics(days, rentals, star["fact_offers"], as_of),
         "dm_station_stats": marts.dm_station_stats(star["dim_stations"], rentals, as_of),
         "dm_user_cohorts": marts.dm_user_cohorts(star["dim_users"], rentals, as_of),
+        "dm_hourly_demand": marts.dm_hourly_demand(rentals, days, star["dim_time"], as_of),
         "dm_revenue_breakdown": marts.dm_revenue_breakdown(
             rentals, days, star["dim_tariff"], star["dim_stations"], as_of
         ),

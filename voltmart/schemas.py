@@ -26,40 +26,36 @@ RETENTION_DAYS = {"raw": 30, "ods": 365, "dds": 1095, "mart": 1095}
 # ----------------------------------------------------------------------------------------------
 
 
-def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+TEXT, TIME, NUMBER, FLAG = T.StringType(), T.TimestampType(), T.DoubleType(), T.BooleanType()
+TEXT_MAP = T.MapType(TEXT, TEXT)
+
+
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
 TARIFF_SNAPSHOT = _struct(
-    "tariff_id string, base_rate double, segment_multiplier double, currency string, "
-    "rules map<string,string>, segment string, is_greedy boolean"
-)
-AUDIT_PAYLOAD = _struct(
-    "user_id string, station_id string, expires_at string, old_status string, new_status string"
+    tariff_id=TEXT, base_rate=NUMBER, segment_multiplier=NUMBER, currency=TEXT, rules=TEXT_MAP,
+    segment=TEXT, is_greedy=FLAG,
 )
-USERS = _struct("user_id string, email string, phone string, status string, created_at timestamp")
-SEGMENTS = _struct("user_id string, segment string, updated_at timestamp")
+USERS = _struct(user_id=TEXT, email=TEXT, phone=TEXT, status=TEXT, created_at=TIME)
+SEGMENTS = _struct(user_id=TEXT, segment=TEXT, updated_at=TIME)
+PROFILES = _struct(user_id=TEXT, name=TEXT, extra_metadata=TEXT)
 OFFERS = _struct(
-    "offer_id string, user_id string, station_id string, tariff_snapshot string, "
-    "created_at timestamp, expires_at timestamp, status string, tariff_version string"
+    offer_id=TEXT, user_id=TEXT, station_id=TEXT, tariff_snapshot=TEXT, created_at=TIME,
+    expires_at=TIME, status=TEXT, tariff_version=TEXT,
 )
 RENTALS = _struct(
-    "rental_id string, offer_id string, user_id string, station_id string, started_at timestamp, "
-    "finished_at timestamp, status string, tariff_snapshot string, tariff_version string"
-)
-RENTAL_EVENTS = _struct(
-    "event_id string, rental_id string, ts timestamp, type string, payload string"
-)
-OFFER_AUDIT = _struct(
-    "id string, offer_id string, event_type string, ts timestamp, payload_json string"
-)
-COST_SNAPSHOTS = _struct(
-    "id string, rental_id string, ts timestamp, cost_amount decimal(10,2), details string"
+    rental_id=TEXT, offer_id=TEXT, user_id=TEXT, station_id=TEXT, started_at=TIME,
+    finished_at=TIME, status=TEXT, tariff_snapshot=TEXT, tariff_version=TEXT,
 )
+RENTAL_EVENTS = _struct(event_id=TEXT, rental_id=TEXT, ts=TIME, type=TEXT, payload=TEXT)
+OFFER_AUDIT = _struct(id=TEXT, offer_id=TEXT, event_type=TEXT, ts=TIME, payload_json=TEXT)
+COST_SNAPSHOTS = _struct(id=TEXT, rental_id=TEXT, ts=TIME, cost_amount=MONEY, details=TEXT)
 PAYMENT_OUTBOX = _struct(
-    "id string, rental_id string, amount decimal(18,4), created_at timestamp, processed boolean"
+    id=TEXT, rental_id=TEXT, amount=T.DecimalType(18, 4), created_at=TIME, processed=FLAG
 )
 TARIFFS = _struct(
-    "tariff_id string, station_id string, segment string, base_rate double, "
-    "segment_multiplier double, currency string, version string, rules map<string,string>"
+    tariff_id=TEXT, station_id=TEXT, segment=TEXT, base_rate=NUMBER, segment_multiplier=NUMBER,
+    currency=TEXT, version=TEXT, rules=TEXT_MAP,
 )

@@ -103,7 +103,7 @@ def _snapshot():
 
 
 def _plus_seconds(ts: str, seconds):
-    return F.timestamp_micros(F.unix_micros(ts) + seconds * 1_000_000)
+    return F.timestamp_micros(F.unix_micros(ts) + seconds.cast("bigint") * 1_000_000)
 
 
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
