@@ -13,6 +13,22 @@ def distinct_if(column: str, condition: Column | None = None) -> Column:
     return F.count_distinct(counted)
 
 
+def distinct_counts(
+    df: DataFrame, by: list[str], column: str, conditions: dict[str, Column], out: str
+) -> DataFrame:
+    """Distinct values of a column per group, in all and among the rows meeting each condition.
+
+    Several distinct counts in one GROUP BY make Spark copy every row once per count. Here rows are
+    reduced to one per value first, which then says which conditions it ever met.
+    """
+    met = [F.max(F.coalesce(c, F.lit(False))).alias(name) for name, c in conditions.items()]
+    values = df.groupBy(*by, column).agg(F.count(F.lit(1)).alias("_rows"), *met)
+    return values.groupBy(*by).agg(
+        F.count(column).alias(out),
+        *[F.count_if(F.col(column).isNotNull() & F.col(n)).alias(n) for n in conditions],
+    )
+
+
 def median(column) -> Column:
     """Exact continuous median for groups known to be small."""
     return F.percentile(column, 0.5)

@@ -43,11 +43,13 @@ def dim_time(spark: SparkSession) -> DataFrame:
 
 
 def dim_stations(
-    offers: DataFrame, rentals: DataFrame, reference: DataFrame | None = None
+    offers: DataFrame, rentals: DataFrame, reference: DataFrame | None = None,
+    prev: DataFrame | None = None,
 ) -> DataFrame:
     """Every station seen in offers or rentals, enriched from a station directory if there is one.
 
-    Each input is reduced to its distinct stations before the union.
+    Each input is reduced to its distinct stations before the union. Stations in `prev` stay as they
+    are, so a load has to show only its new rows.
     """
     seen = (
         offers.select("station_id").distinct()
@@ -66,7 +68,10 @@ def dim_stations(
     for name, kind in columns.items():
         value = F.col(name) if name in stations.columns else F.lit(None)
         stations = stations.withColumn(name, value.cast(kind))
-    return stations.select("station_dwh_id", "station_id", *columns)
+    stations = stations.select("station_dwh_id", "station_id", *columns)
+    if prev is None:
+        return stations
+    return prev.unionByName(stations.join(prev.select("station_id"), "station_id", "left_anti"))
 
 
 def tariff_type(is_greedy, segment):
@@ -78,22 +83,30 @@ def tariff_type(is_greedy, segment):
     )
 
 
-def dim_tariff(offers: DataFrame) -> DataFrame:
+def dim_tariff(offers: DataFrame, prev: DataFrame | None = None) -> DataFrame:
     """Distinct (version, rate) pairs of ODS offers with type and validity interval.
 
-    The interval of a pair ends where the next pair of the same version begins.
+    Offers are first counted down to their distinct tariffs by a hash aggregate; only that catalogue
+    is searched for the earliest tariff of each pair and put in order. The interval of a pair ends
+    where the next pair of the same version begins. With `prev`, new offers are enough: the pairs
+    known so far join the catalogue.
     """
-    typed = offers.filter(F.col("tariff_version").isNotNull()).withColumn(
-        "tariff_type", tariff_type(F.col("is_greedy"), F.col("tariff_segment"))
+    catalogue = (
+        offers.filter(F.col("tariff_version").isNotNull())
+        .withColumn("tariff_type", tariff_type(F.col("is_greedy"), F.col("tariff_segment")))
+        .groupBy(
+            "tariff_version", F.col("tariff_rate_per_minute").alias("rate_per_minute"),
+            "tariff_type", F.col("tariff_currency").alias("currency"), "tariff_snapshot",
+        )
+        .agg(F.min("created_at").alias("valid_from"))
     )
-    first = F.struct("created_at", "offer_id")
-    pairs = typed.groupBy(
-        "tariff_version", F.col("tariff_rate_per_minute").alias("rate_per_minute")
-    ).agg(
-        F.min("created_at").alias("valid_from"),
-        F.min_by("tariff_snapshot", first).alias("tariff_snapshot"),
-        F.min_by("tariff_currency", first).alias("currency"),
-        F.min_by("tariff_type", first).alias("tariff_type"),
+    described = ["valid_from", "tariff_type", "currency", "tariff_snapshot"]
+    if prev is not None:
+        catalogue = catalogue.unionByName(prev.select(*catalogue.columns))
+    pairs = (
+        catalogue.groupBy("tariff_version", "rate_per_minute")
+        .agg(F.min(F.struct(*described)).alias("_first"))
+        .select("tariff_version", "rate_per_minute", "_first.*")
     )
     return close_intervals(
         pairs.withColumn("tariff_dwh_id", surrogate_key("tariff_version", "rate_per_minute")),

@@ -75,13 +75,12 @@ def ods_users(raw: DataFrame, prev: DataFrame | None, as_of: str) -> DataFrame:
 
     updated_at moves only when a tracked column or the deletion flag changes.
     """
-    newest = F.broadcast(raw.agg(F.max("loaded_at").alias("_newest")))
+    newest = raw.agg(F.max("loaded_at")).scalar()
     users = (
         dedup_latest(
             raw.select("user_id", *USER_COLUMNS, "loaded_at"), ["user_id"], ["loaded_at"]
         )
-        .join(newest)
-        .withColumn("is_deleted", F.col("loaded_at") < F.col("_newest"))
+        .withColumn("is_deleted", F.col("loaded_at") < newest)
         .select("user_id", *USER_COLUMNS, "is_deleted")
     )
     now = F.lit(as_of).cast("timestamp")

@@ -1,5 +1,10 @@
-"""The whole refresh, RAW to marts. Each layer is written and read back before the next one, so a
-lost executor recomputes one layer at most and every layer can be rebuilt from the one below."""
+"""The refresh from sources to marts, by increments.
+
+Each layer is written and read back before the next one, so a lost executor costs one layer at most
+and every layer can be rebuilt from the one below. A run handles what arrived since the last one:
+ODS and facts rewrite only the months it touches, the user dimension gains versions, and only the
+marts, which are small, are written whole. A first run is an increment onto nothing.
+"""
 
 from __future__ import annotations
 
@@ -7,16 +12,25 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voltmart.operators.dims import dim_date, dim_stations, dim_tariff, dim_time, new_user_versions
-from voltmart.operators.facts import fact_offers, fact_rentals
-from voltmart.operators.ods import ods_offers, ods_rentals, ods_users
+from voltmart.functions.scalar import month_id
+from voltmart.operators import facts
+from voltmart.operators.audit import offer_status_asof
+from voltmart.operators.dims import (
+    dim_date, dim_stations, dim_tariff, dim_time, new_user_versions, scd2_merge,
+)
+from voltmart.operators.ods import incremental, ods_offers, ods_rentals, ods_users
 from voltmart.plans import marts
 from voltmart.schemas import EPOCH
 from voltmart.sources import extracts, sinks
 
+RAW_COLUMNS = ["loaded_at", "load_date", "source_system"]
+
 
 @dataclass
 class Sources:
+    """What a run extracts: all users, and the offers, rentals, cost snapshots and audit rows that
+    are new or have changed since the run before."""
+
     users: DataFrame
     segments: DataFrame
     offers: DataFrame
@@ -26,83 +40,133 @@ class Sources:
     stations: DataFrame
 
 
-def _store(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def load_raw_layer(src: Sources, root: str, as_of: str) -> dict[str, DataFrame]:
-    rentals = extracts.extract_rentals(src.rentals, src.cost_snapshots)
+def load_raw_layer(src: Sources, root: str, as_of: str) -> None:
     tables = {
         "users": (extracts.extract_users(src.users, src.segments), "user_service"),
         "offers": (src.offers, "offer_service"),
-        "rentals": (rentals, "rental_service"),
+        "rentals": (extracts.extract_rentals(src.rentals, src.cost_snapshots), "rental_service"),
         "offer_audit": (extracts.extract_events(src.offer_audit), "offer_service"),
     }
-    spark = src.users.sparkSession
     for name, (df, system) in tables.items():
         sinks.append_raw(extracts.load_raw(df, system, as_of), f"{root}/raw/{name}")
-    return {name: spark.read.parquet(f"{root}/raw/{name}") for name in tables}
 
 
-def load_ods_layer(raw: dict[str, DataFrame], root: str, as_of: str) -> dict[str, DataFrame]:
-    offers = _store(
-        ods_offers(raw["offers"], raw["offer_audit"], as_of), f"{root}/ods/offers"
+def _ods_offer_changes(raw: DataFrame, audit: DataFrame, known: DataFrame | None, as_of: str) -> DataFrame:
+    """New offers, and known ones whose status moved in the new part of the audit log."""
+    new = ods_offers(raw, audit, as_of).drop(*RAW_COLUMNS)
+    new = new.withColumn("updated_at", F.lit(as_of).cast("timestamp"))
+    new = new.withColumn("month_id", month_id("created_at"))
+    if known is None:
+        return new
+    moved = offer_status_asof(audit, as_of).select("offer_id", F.col("status").alias("_moved"))
+    changed = (
+        known.join(moved, "offer_id")
+        .filter(F.col("status") != F.col("_moved"))
+        .withColumn("status", F.col("_moved"))
+        .withColumn("updated_at", F.lit(as_of).cast("timestamp"))
+        .drop("_moved")
+        .join(new.select("offer_id"), "offer_id", "left_anti")
     )
-    rates = offers.select("offer_id", "tariff_rate_per_minute")
-    rentals = ods_rentals(raw["rentals"], offers).join(rates, "offer_id", "left")
-    return {
-        "users": _store(ods_users(raw["users"], None, as_of), f"{root}/ods/users"),
-        "offers": offers,
-        "rentals": _store(rentals, f"{root}/ods/rentals"),
+    return new.unionByName(changed)
+
+
+def _store_increment(spark: SparkSession, df: DataFrame, path: str, key: str) -> DataFrame:
+    """Upsert whole rows; returns the rows of the increment as they were stored."""
+    columns = [c for c in df.columns if c not in (key, "month_id")]
+    return sinks.upsert_partitions(spark, path, df, [key], columns)
+
+
+def load_ods_layer(spark: SparkSession, root: str, since: str, as_of: str) -> dict[str, DataFrame]:
+    """Returns the increment of each ODS table."""
+    fresh = {
+        name: incremental(spark.read.parquet(f"{root}/raw/{name}"), since)
+        for name in ("users", "offers", "rentals", "offer_audit")
     }
+    known = sinks.read_if_present(spark, f"{root}/ods/offers")
+    offers = _store_increment(
+        spark, _ods_offer_changes(fresh["offers"], fresh["offer_audit"], known, as_of),
+        f"{root}/ods/offers", "offer_id",
+    )
+    tariffs = spark.read.parquet(f"{root}/ods/offers").select(
+        "offer_id", "tariff_version", "tariff_rate_per_minute"
+    )
+    rentals = (
+        ods_rentals(fresh["rentals"], tariffs)
+        .drop(*RAW_COLUMNS)
+        .join(tariffs.select("offer_id", "tariff_rate_per_minute"), "offer_id", "left")
+        .withColumn("updated_at", F.lit(as_of).cast("timestamp"))
+        .withColumn("month_id", month_id("started_at"))
+    )
+    rentals = _store_increment(spark, rentals, f"{root}/ods/rentals", "rental_id")
+    known_users = sinks.read_version(spark, "users", f"{root}/ods")
+    sinks.refresh_mart("users", ods_users(fresh["users"], known_users, as_of), f"{root}/ods")
+    return {"offers": offers, "rentals": rentals}
 
 
 def load_star(
-    spark: SparkSession, ods: dict[str, DataFrame], stations: DataFrame, root: str, start: str,
-    as_of: str,
-) -> dict[str, DataFrame]:
-    star = {
-        "dim_users": _store(new_user_versions(ods["users"], EPOCH), f"{root}/dds/dim_users"),
-        "dim_stations": _store(
-            dim_stations(ods["offers"], ods["rentals"], stations), f"{root}/dds/dim_stations"
-        ),
-        "dim_tariff": _store(dim_tariff(ods["offers"]), f"{root}/dds/dim_tariff"),
-        "dim_date": dim_date(spark, start, as_of),
-        "dim_time": dim_time(spark),
-    }
-    dims = star["dim_users"], star["dim_stations"], star["dim_tariff"]
-    facts = {
-        "fact_rentals": (fact_rentals(ods["rentals"], *dims, as_of), "station_dwh_id"),
-        "fact_offers": (fact_offers(ods["offers"], *dims, as_of), "station_dwh_id"),
+    spark: SparkSession, changed: dict[str, DataFrame], stations: DataFrame, root: str, as_of: str
+) -> None:
+    """Dimensions first, each a new published version; then the increments of the facts."""
+    dds = f"{root}/dds"
+    users = sinks.read_version(spark, "users", f"{root}/ods")
+    known = {
+        name: sinks.read_version(spark, name, dds)
+        for name in ("dim_users", "dim_stations", "dim_tariff")
     }
-    for name, (df, sort_col) in facts.items():
-        sinks.write_fact(df, f"{root}/dds/{name}", sort_col)
-        star[name] = spark.read.parquet(f"{root}/dds/{name}")
-    return star
+    sinks.refresh_mart(
+        "dim_users",
+        new_user_versions(users, EPOCH) if known["dim_users"] is None
+        else scd2_merge(known["dim_users"], users, as_of),
+        dds,
+    )
+    sinks.refresh_mart(
+        "dim_stations",
+        dim_stations(changed["offers"], changed["rentals"], stations, known["dim_stations"]), dds,
+    )
+    sinks.refresh_mart("dim_tariff", dim_tariff(changed["offers"], known["dim_tariff"]), dds)
+    dims = [sinks.read_version(spark, n, dds) for n in ("dim_users", "dim_stations", "dim_tariff")]
+    sinks.upsert_partitions(
+        spark, f"{dds}/fact_rentals", facts.fact_rentals(changed["rentals"], *dims, as_of),
+        ["rental_id"], facts.RENTAL_UPDATES, sort_col="station_dwh_id",
+    )
+    sinks.upsert_partitions(
+        spark, f"{dds}/fact_offers", facts.fact_offers(changed["offers"], *dims, as_of),
+        ["offer_id"], facts.OFFER_UPDATES, sort_col="station_dwh_id",
+    )
+
+
+def expire_open_offers(offers: DataFrame, as_of: str) -> DataFrame:
+    """Offer facts as of a time: one left open beyond its expiry counts as expired from then on,
+    even when no later increment touches it."""
+    return facts.add_offer_flags(offers.withColumn("status", facts.effective_status(as_of)))
 
 
-def refresh_marts(star: dict[str, DataFrame], root: str, as_of: str) -> dict[str, str]:
-    rentals, days = star["fact_rentals"], star["dim_date"]
+def refresh_marts(spark: SparkSession, root: str, start: str, as_of: str) -> dict[str, str]:
+    dds = f"{root}/dds"
+    users, stations, tariffs = [
+        sinks.read_version(spark, n, dds) for n in ("dim_users", "dim_stations", "dim_tariff")
+    ]
+    rentals = spark.read.parquet(f"{dds}/fact_rentals")
+    offers = expire_open_offers(spark.read.parquet(f"{dds}/fact_offers"), as_of)
+    days = dim_date(spark, start, as_of)
     views = {
-        "dm_daily_metrics": marts.dm_daily_metrics(days, rentals, star["fact_offers"], as_of),
-        "dm_station_stats": marts.dm_station_stats(star["dim_stations"], rentals, as_of),
-        "dm_user_cohorts": marts.dm_user_cohorts(star["dim_users"], rentals, as_of),
-        "dm_hourly_demand": marts.dm_hourly_demand(rentals, days, star["dim_time"], as_of),
-        "dm_revenue_breakdown": marts.dm_revenue_breakdown(
-            rentals, days, star["dim_tariff"], star["dim_stations"], as_of
-        ),
+        "dm_daily_metrics": marts.dm_daily_metrics(days, rentals, offers, as_of),
+        "dm_station_stats": marts.dm_station_stats(stations, rentals, as_of),
+        "dm_user_cohorts": marts.dm_user_cohorts(users, rentals, as_of),
+        "dm_hourly_demand": marts.dm_hourly_demand(rentals, days, dim_time(spark), as_of),
+        "dm_revenue_breakdown": marts.dm_revenue_breakdown(rentals, days, tariffs, stations, as_of),
     }
     return {name: sinks.refresh_mart(name, df, f"{root}/mart") for name, df in views.items()}
 
 
 def refresh_warehouse(
-    spark: SparkSession, src: Sources, root: str, start: str, as_of: str
+    spark: SparkSession, src: Sources, root: str, start: str, as_of: str, since: str = EPOCH
 ) -> dict[str, str]:
-    raw = load_raw_layer(src, root, as_of)
-    ods = load_ods_layer(raw, root, as_of)
-    star = load_star(spark, ods, src.stations, root, start, as_of)
-    return refresh_marts(star, root, as_of)
+    """One run; `since` is the as_of of the run before. Returns where each mart was written."""
+    load_raw_layer(src, root, as_of)
+    changed = load_ods_layer(spark, root, since, as_of)
+    load_star(spark, changed, src.stations, root, as_of)
+    return refresh_marts(spark, root, start, as_of)
 
 
 def user_dimension(users: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings only: memory, cores and shuffle width stay the cluster's choice.
 SETTINGS = {
@@ -22,7 +22,8 @@ SETTINGS = {
 
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 
@@ -43,9 +44,12 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df):
-    """Reliable checkpoint, so that a lost executor cannot lose the rows."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(work_dir(df.sparkSession, "checkpoints"))
-    return df.checkpoint()
+def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
+    """Write to the shared folder and read back, so that a lost executor cannot lose the rows.
+
+    Used where a result feeds several branches or a loop. A written table is computed once and keeps
+    its size statistics, which an RDD checkpoint does not.
+    """
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

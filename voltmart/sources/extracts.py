@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from voltmart.functions.scalar import shard_of
 from voltmart.operators.keys import latest_per_key
@@ -37,15 +37,11 @@ def extract_incremental(
 ) -> DataFrame:
     """Rows of one source shard past the target's high-water mark.
 
-    The mark is exactly one row, so broadcasting it is safe at any size; the source is read once
-    and never shuffled.
+    The mark is a scalar subquery: its value is known before the source is read, so it reaches the
+    scan as a filter and old row groups are skipped.
     """
-    mark = F.broadcast(high_water_mark(target, cursor_col, shard_id))
-    return (
-        src.join(mark, F.col(cursor_col) > F.col("high_water_mark"))
-        .drop("high_water_mark")
-        .withColumn("shard_id", F.lit(shard_id))
-    )
+    mark = high_water_mark(target, cursor_col, shard_id).scalar()
+    return src.filter(F.col(cursor_col) > mark).withColumn("shard_id", F.lit(shard_id))
 
 
 def read_jdbc_shard(
@@ -104,9 +100,9 @@ def shard_balance(
     sizes = with_shard(df.select(column), column, shards).groupBy("shard_id").agg(
         F.count(F.lit(1)).alias("row_count")
     )
-    total = F.broadcast(sizes.agg(F.sum("row_count").alias("total")))
+    total = F.sum("row_count").over(Window.partitionBy())  # one row per shard here
     estimate = F.col("row_count") * F.lit(row_bytes).cast("bigint")
-    return sizes.crossJoin(total).select(
+    return sizes.withColumn("total", total).select(
         "shard_id",
         "row_count",
         estimate.alias("estimated_bytes"),

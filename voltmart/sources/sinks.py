@@ -6,7 +6,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from voltmart.operators.keys import upsert
-from voltmart.session import work_dir
+from voltmart.session import cut_lineage
+
+
+def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at a path, None when nothing was written there yet. Other errors are raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def append_raw(df: DataFrame, path: str) -> None:
@@ -19,46 +29,48 @@ def append_raw(df: DataFrame, path: str) -> None:
     )
 
 
+def _in_months(df: DataFrame, part_col: str, sort_col: str | None) -> DataFrame:
+    """Rebalance lets AQE split a hot month over many files and merge thin ones; the local sort
+    keeps min/max statistics narrow for look-ups by sort_col."""
+    df = df.hint("rebalance", part_col)
+    return df.sortWithinPartitions(part_col, *([sort_col] if sort_col else []))
+
+
 def write_fact(df: DataFrame, path: str, sort_col: str = "station_dwh_id") -> None:
-    """Monthly fact partitions.
+    """All monthly fact partitions at once."""
+    _in_months(df, "month_id", sort_col).write.partitionBy("month_id").mode("overwrite").option(
+        "partitionOverwriteMode", "static"
+    ).parquet(path)
 
-    Rebalance lets AQE split a hot month over many files and merge thin ones; the local sort keeps
-    min/max statistics narrow for station look-ups.
-    """
-    (
-        df.hint("rebalance", "month_id")
-        .sortWithinPartitions("month_id", sort_col)
-        .write.partitionBy("month_id")
-        .mode("overwrite")
-        .parquet(path)
-    )
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
+    """Catalogue table bucketed and sorted by a key: joins and groupings of two such tables on it
+    need no shuffle. For facts that keep meeting on the user."""
+    df.write.bucketBy(buckets, key).sortBy(key).mode("overwrite").saveAsTable(table)
 
 
 def upsert_partitions(
     spark: SparkSession, path: str, src: DataFrame, keys: list[str], update_cols: list[str],
-    part_col: str = "month_id",
-) -> None:
+    part_col: str = "month_id", sort_col: str | None = None,
+) -> DataFrame:
     """Upsert into partitioned parquet, rewriting only the partitions the source touches.
 
-    The merged partitions are staged below the shared root and only then swapped in with dynamic
-    overwrite, so an input is never overwritten while it is read and a failed swap can be repeated
-    from the stage. The touched partition values are calendar months: a bounded list.
+    The merged partitions are staged in the shared folder and only then swapped in with dynamic
+    overwrite, so an input is never overwritten while it is read and a failed swap can be repeated.
+    The touched partition values are calendar months: a bounded list. Returns the source rows, which
+    are materialised on the way.
     """
-    touched = [row[0] for row in src.select(part_col).distinct().collect()]
-    try:
-        target = spark.read.parquet(path).filter(F.col(part_col).isin(touched))
-    except AnalysisException:
-        target = None
-    merged = src if target is None else upsert(target, src, [*keys, part_col], update_cols)
-    stage = work_dir(spark, "stage")
-    merged.write.partitionBy(part_col).parquet(stage)
-    (
-        spark.read.schema(merged.schema).parquet(stage)
-        .write.partitionBy(part_col)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(path)
-    )
+    src = cut_lineage(src, "increment")
+    target = read_if_present(spark, path)
+    merged = src
+    if target is not None:
+        touched = [row[0] for row in src.select(part_col).distinct().collect()]
+        target = target.filter(F.col(part_col).isin(touched))
+        merged = cut_lineage(upsert(target, src, [*keys, part_col], update_cols), "stage")
+    _in_months(merged, part_col, sort_col).write.partitionBy(part_col).mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).parquet(path)
+    return src
 
 
 def refresh_mart(name: str, df: DataFrame, path: str) -> str:
@@ -75,21 +87,13 @@ def refresh_mart(name: str, df: DataFrame, path: str) -> str:
         F.lit(version).cast("bigint").alias("version"),
         F.lit(target).alias("location"),
     )
-    pointer.coalesce(1).write.mode("append").parquet(f"{path}/{name}/_pointers_log")
+    pointer.coalesce(1).write.mode("append").parquet(f"{path}/{name}/pointers")
     return target
 
 
-def _pointers(spark: SparkSession, name: str, path: str) -> DataFrame:
-    return spark.read.schema("mart string, version bigint, location string").parquet(
-        f"{path}/{name}/_pointers_log"
-    )
-
-
 def _latest(spark: SparkSession, name: str, path: str):
-    try:
-        return _pointers(spark, name, path).orderBy(F.desc("version")).first()
-    except AnalysisException:
-        return None
+    pointers = read_if_present(spark, f"{path}/{name}/pointers")
+    return None if pointers is None else pointers.orderBy(F.desc("version")).first()
 
 
 def _next_version(spark: SparkSession, name: str, path: str) -> int:
@@ -97,11 +101,17 @@ def _next_version(spark: SparkSession, name: str, path: str) -> int:
     return 1 if last is None else last["version"] + 1
 
 
-def read_mart(spark: SparkSession, name: str, path: str) -> DataFrame:
+def read_version(spark: SparkSession, name: str, path: str) -> DataFrame | None:
+    """The version published last, None before the first."""
     last = _latest(spark, name, path)
-    if last is None:
+    return None if last is None else spark.read.parquet(last["location"])
+
+
+def read_mart(spark: SparkSession, name: str, path: str) -> DataFrame:
+    mart = read_version(spark, name, path)
+    if mart is None:
         raise LookupError(f"mart {name} was never published under {path}")
-    return spark.read.parquet(last["location"])
+    return mart
 
 
 def apply_retention(

@@ -14,7 +14,6 @@ from voltmart.functions.scalar import (
 )
 from voltmart.operators.facts import add_offer_flags, add_rental_flags
 from voltmart.operators.keys import dedup_latest
-from voltmart.session import tune
 
 ORDERS_AS_OF = "2001-08-01"
 EVENTS_AS_OF = "2024-01-30"
@@ -23,16 +22,34 @@ FIRST_DAY = "1995-01-01"
 MARKET_SEGMENTS = [
     "AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "STANDARD",
 ]
+# Declared schemas: no job to infer them, and a table of another shape fails instead of surprising.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+}
 TIME_COLUMNS = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, its naive timestamps read as UTC."""
-    df = tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+def as_utc(df: DataFrame, name: str) -> DataFrame:
+    """The table's naive timestamps read as UTC."""
     column = TIME_COLUMNS.get(name)
     return df if column is None else df.withColumn(column, F.col(column).cast("timestamp"))
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return as_utc(spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet"), name)
+
+
 def _id(column: str):
     return F.col(column).cast("string")
 

@@ -142,15 +142,22 @@ def _(spark, sf):
 
 @query("distinct_counts", """
 SELECT month(started_at) AS month_num, count(DISTINCT user_id) AS users,
-       count(DISTINCT user_id) FILTER (status = 'FINISHED') AS paying_users,
-       count(DISTINCT rental_id) AS rentals
+       count(DISTINCT user_id) FILTER (status = 'FINISHED') AS paying_users
+FROM rentals GROUP BY 1""", "rentals")
+def _(spark, sf):
+    facts = src.rental_facts(spark, sf).withColumn("month_num", F.month("started_at"))
+    return aggregates.distinct_counts(
+        facts, ["month_num"], "user_dwh_id", {"paying_users": F.col("is_completed")}, "users"
+    )
+
+
+@query("distinct_if", """
+SELECT year(started_at) AS year, count(DISTINCT station_id) FILTER (status = 'FINISHED') AS stations
 FROM rentals GROUP BY 1""", "rentals")
 def _(spark, sf):
     facts = src.rental_facts(spark, sf)
-    return facts.groupBy(F.month("started_at").alias("month_num")).agg(
-        aggregates.distinct_if("user_dwh_id").alias("users"),
-        aggregates.distinct_if("user_dwh_id", F.col("is_completed")).alias("paying_users"),
-        F.count("rental_id").alias("rentals"),
+    return facts.groupBy(F.year("started_at").alias("year")).agg(
+        aggregates.distinct_if("station_dwh_id", F.col("is_completed")).alias("stations")
     )
 
 

@@ -180,16 +180,15 @@ VIEWS = {
               FROM tried)""",
     "tariff_pairs": """
         SELECT tariff_version, rate, min(created_at) AS valid_from,
-               arg_min(is_greedy, (created_at, offer_id)) AS is_greedy,
-               arg_min(segment, (created_at, offer_id)) AS segment
-        FROM offers GROUP BY tariff_version, rate""",
+               arg_min(tariff_type, (created_at, tariff_type)) AS tariff_type
+        FROM (SELECT *, CASE WHEN is_greedy THEN 'greedy' WHEN segment IN ('STANDARD', 'PREMIUM')
+                             THEN lower(segment) ELSE 'promo' END AS tariff_type FROM offers)
+        GROUP BY tariff_version, rate""",
     "tariff_dim": """
         SELECT md5(tariff_version || '|' || CAST(rate AS VARCHAR)) AS tariff_dwh_id, tariff_version,
                rate, valid_from,
                coalesce(lead(valid_from) OVER (PARTITION BY tariff_version ORDER BY valid_from, rate),
-                        TIMESTAMP '9999-12-31 00:00:00') AS valid_to,
-               CASE WHEN is_greedy THEN 'greedy' WHEN segment IN ('STANDARD', 'PREMIUM')
-                    THEN lower(segment) ELSE 'promo' END AS tariff_type
+                        TIMESTAMP '9999-12-31 00:00:00') AS valid_to, tariff_type
         FROM tariff_pairs""",
     "calendar": """
         SELECT CAST(d AS DATE) AS date_actual,
