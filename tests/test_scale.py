@@ -147,19 +147,21 @@ def test_next_row_across_slices(spark):
             seen.append(values[name][0])
 
 
-def test_first_row_at_or_after(spark):
+def test_first_row_following(spark):
     dice = random.Random(6)
     start = datetime(2024, 1, 1)
     rows = [("k" if i % 3 else "z", start + timedelta(hours=dice.randrange(300)), f"r{i:03d}") for i in range(200)]
-    probes = [(f"p{i}", "k" if i % 2 else "z", start + timedelta(hours=dice.randrange(320))) for i in range(150)]
-    df = timeline.first_at_or_after(
-        spark.createDataFrame(probes, "p string, k string, at timestamp"),
+    probes = [(f"p{i}", "k" if i % 2 else "z", start + timedelta(hours=dice.randrange(320)), None) for i in range(150)]
+    probes += [(f"q{i}", key, ts, name) for i, (key, ts, name) in enumerate(rows)]
+    df = timeline.first_following(
+        spark.createDataFrame(probes, "p string, k string, at timestamp, after string"),
         spark.createDataFrame(rows, "k string, ts timestamp, id string"),
-        "k", "at", "ts", "id", ["id"],
+        "k", "at", "after", "ts", "id", ["id"],
     )
     got = {r.p: r.next_id for r in df.collect()}
-    for name, key, at in probes:
-        later = sorted((ts, i) for k, ts, i in rows if k == key and ts >= at)
+    assert len(got) == len(probes)
+    for name, key, at, after in probes:
+        later = sorted((ts, i) for k, ts, i in rows if k == key and (ts, i) > (at, after or ""))
         assert got[name] == (later[0][1] if later else None)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from voltmart.functions.scalar import json_field, minutes_between, rental_charge, to_money
 from voltmart.operators.pricing import classify_offer_use
-from voltmart.operators.timeline import first_at_or_after, with_next, with_prior_max
+from voltmart.operators.timeline import first_following, with_prior_max
 from voltmart.schemas import OPEN_END
 from voltmart.session import cut_lineage
 
@@ -105,17 +105,14 @@ def _accepted_ids(claims: DataFrame) -> DataFrame:
         ).drop("_busy_until")
     )
     roots = claims.filter("_root").select("claim_id")
-    # Instant claims end as they begin: the next one in order follows them.
-    instant = with_next(claims, "user_id", "ts", "claim_id", "claim_id", "next_claim_id").filter(
-        F.col("ends_at") == F.col("ts")
-    )
-    lasting = first_at_or_after(
-        claims.filter(F.col("ends_at") > F.col("ts")).select("claim_id", "user_id", "ends_at"),
-        claims, "user_id", "ends_at", "ts", "claim_id", ["claim_id"],
-    )
-    pointers = instant.select("claim_id", "next_claim_id").unionByName(
-        lasting.select("claim_id", "next_claim_id")
+    # An instant claim blocks nobody: the next one in order follows it.
+    ends = claims.select(
+        "claim_id", "user_id", "ends_at",
+        F.when(F.col("ends_at") == F.col("ts"), F.col("claim_id")).alias("_after"),
     )
+    pointers = first_following(
+        ends, claims, "user_id", "ends_at", "_after", "ts", "claim_id", ["claim_id"]
+    ).select("claim_id", "next_claim_id")
     dependent = claims.filter(~F.col("_root")).select(F.col("claim_id").alias("next_claim_id"))
     edges = cut_lineage(pointers.join(dependent, "next_claim_id", "left_semi"))
     granted = roots

@@ -2,7 +2,8 @@
 
 A plain window per key would sort such a key in one task. Here a timeline is cut into calendar
 slices: rows meet only inside their (key, slice), and one summary row per slice carries the answer
-across slice borders. The summaries of a key are bounded by the calendar, not by its rows.
+across slice borders. The summaries of a key are bounded by the calendar, not by its rows; `unit`
+makes the slices finer where a key is busier still.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ def _slice(ts: str, unit: str) -> Column:
 
 
 def with_next(
-    df: DataFrame, key: str, ts: str, tie: str, value: str, out: str, unit: str = "day"
+    df: DataFrame, key: str, ts: str, tie: str, value: str, out: str, unit: str = "hour"
 ) -> DataFrame:
     """`out` = `value` of the next row of the same key by (ts, tie), NULL after the last row."""
     rows = df.withColumn("_slice", _slice(ts, unit))
@@ -34,7 +35,7 @@ def with_next(
 
 
 def with_prior_max(
-    df: DataFrame, key: str, ts: str, tie: str, value: str, out: str, unit: str = "day"
+    df: DataFrame, key: str, ts: str, tie: str, value: str, out: str, unit: str = "hour"
 ) -> DataFrame:
     """`out` = largest `value` among the earlier rows of the same key, NULL for the first row."""
     rows = df.withColumn("_slice", _slice(ts, unit))
@@ -56,18 +57,19 @@ def with_prior_max(
     )
 
 
-def first_at_or_after(
-    probes: DataFrame, rows: DataFrame, key: str, at: str, ts: str, tie: str, picked: list[str],
-    unit: str = "day",
+def first_following(
+    probes: DataFrame, rows: DataFrame, key: str, at: str, after: str, ts: str, tie: str,
+    picked: list[str], unit: str = "hour",
 ) -> DataFrame:
-    """Each probe with the first row of its key whose ts is not before the probe's `at`.
+    """Each probe with the first row of its key that follows its place on the timeline.
 
-    Probes and rows are laid on one timeline. `picked` columns of the row found are added to the
-    probe, NULL when none follows.
+    Rows are ordered by (ts, tie). A probe whose `after` is NULL stands before all rows of the
+    instant `at`; otherwise it stands right behind the row (at, after). `picked` columns of the row
+    found are added as next_*, NULL when none follows.
     """
     carried = F.struct(*[F.col(c) for c in picked])
     marks = probes.select(
-        key, F.col(at).alias("_t"), F.lit(None).alias("_tie"), F.struct("*").alias("_probe"),
+        key, F.col(at).alias("_t"), F.col(after).alias("_tie"), F.struct("*").alias("_probe"),
         F.lit(None).alias("_row"),
     )
     points = rows.select(
@@ -75,16 +77,16 @@ def first_at_or_after(
         carried.alias("_row"),
     )
     line = marks.unionByName(points).withColumn("_slice", _slice("_t", unit))
-    # Read backwards, the nearest following row is the last one seen, which needs one pass. A probe
-    # comes after the rows of its own instant in this order, so "at" itself counts.
+    is_row = F.col("_row").isNotNull()
+    # Read backwards, the nearest following row is the last one seen, which needs one pass.
     backwards = (
         Window.partitionBy(key, "_slice")
-        .orderBy(F.desc("_t"), F.desc_nulls_last("_tie"))
+        .orderBy(F.desc("_t"), F.desc_nulls_last("_tie"), is_row)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     line = line.withColumn("_near", F.last("_row", ignorenulls=True).over(backwards))
     firsts = line.groupBy(key, "_slice").agg(
-        F.min_by("_row", F.when(F.col("_row").isNotNull(), F.struct("_t", "_tie"))).alias("_head")
+        F.min_by("_row", F.when(is_row, F.struct("_t", "_tie"))).alias("_head")
     )
     later = (
         Window.partitionBy(key)

@@ -94,8 +94,9 @@ def top_stations(stats: DataFrame, k: int = 5) -> DataFrame:
     )
 
 
-def station_detail(stats: DataFrame, station_id: str) -> DataFrame:
-    return stats.filter(F.col("station_id") == station_id)
+def station_detail(stats: DataFrame, chosen: DataFrame) -> DataFrame:
+    """All figures of the stations picked in another panel."""
+    return stats.join(chosen.select("station_id"), "station_id", "left_semi")
 
 
 def demand_heatmap(hourly: DataFrame) -> DataFrame:

@@ -57,19 +57,21 @@ def upsert_partitions(
 
     The merged partitions are staged in the shared folder and only then swapped in with dynamic
     overwrite, so an input is never overwritten while it is read and a failed swap can be repeated.
-    The touched partition values are calendar months: a bounded list. Returns the source rows, which
-    are materialised on the way.
+    The touched partition values are calendar units: a bounded list. Where a month is too much to
+    rewrite per run, partition by the day key instead. Returns the source rows as materialised on
+    the way.
     """
-    src = cut_lineage(src, "increment")
+    swap = lambda df: _in_months(df, part_col, sort_col).write.partitionBy(part_col).mode(
+        "overwrite"
+    ).option("partitionOverwriteMode", "dynamic").parquet(path)
     target = read_if_present(spark, path)
-    merged = src
-    if target is not None:
-        touched = [row[0] for row in src.select(part_col).distinct().collect()]
-        target = target.filter(F.col(part_col).isin(touched))
-        merged = cut_lineage(upsert(target, src, [*keys, part_col], update_cols), "stage")
-    _in_months(merged, part_col, sort_col).write.partitionBy(part_col).mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).parquet(path)
+    if target is None:
+        swap(src)
+        return spark.read.parquet(path)
+    src = cut_lineage(src, "increment")
+    touched = [row[0] for row in src.select(part_col).distinct().collect()]
+    target = target.filter(F.col(part_col).isin(touched))
+    swap(cut_lineage(upsert(target, src, [*keys, part_col], update_cols), "stage"))
     return src
 
 

@@ -404,15 +404,15 @@ def finish_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tariffs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A tariff per station of suppliers and customer segment, except the MACHINERY segment at
-    every fourth station. Stations beyond the suppliers have none."""
+    """A tariff per supplier and customer segment. Suppliers in debt offer none at all, and only the
+    wealthier ones serve the MACHINERY segment."""
     kinds = F.array(*[F.lit(name) for name in MARKET_SEGMENTS])
     key = F.col("s_suppkey")
     return (
         table(spark, sf_dir, "supplier")
-        .filter(key % 10 != 9)
+        .filter("s_acctbal >= 0")
         .withColumn("segment", F.explode(kinds))
-        .filter((F.col("segment") != "MACHINERY") | (key % 4 != 0))
+        .filter((F.col("segment") != "MACHINERY") | (F.col("s_acctbal") > 2000))
         .select(
             F.concat_ws("-", _id("s_suppkey"), "segment").alias("tariff_id"),
             _id("s_suppkey").alias("station_id"),

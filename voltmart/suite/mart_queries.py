@@ -241,10 +241,13 @@ def _(spark, sf):
     return dashboard.top_stations(station_stats(spark, sf))
 
 
-@query("station_detail", f"SELECT {STATION_COLUMNS} FROM station_stats WHERE station_id = '7'",
-       "station_stats")
+@query("station_detail", f"""
+SELECT {STATION_COLUMNS} FROM station_stats WHERE station_id IN (
+  SELECT station_id FROM station_stats ORDER BY total_revenue_30d DESC NULLS FIRST, station_id LIMIT 1)""",
+    "station_stats")
 def _(spark, sf):
-    return dashboard.station_detail(station_stats(spark, sf), "7")
+    stats = station_stats(spark, sf)
+    return dashboard.station_detail(stats, dashboard.top_stations(stats, 1))
 
 
 @query("demand_heatmap", "SELECT hour, is_weekend, total_rentals, avg_duration FROM hourly", "hourly")

@@ -8,7 +8,7 @@ from voltmart import schemas
 from voltmart.operators import quality
 from voltmart.plans import dashboard, marts
 from voltmart.sources import standins as src
-from voltmart.suite.mart_queries import AS_OF, calendar, daily
+from voltmart.suite.mart_queries import calendar, daily
 from voltmart.suite.registry import day, query
 
 
@@ -107,14 +107,13 @@ def _(spark, sf):
     return quality.check_totals(daily(spark, sf), facts, measures, "dm_daily_metrics")
 
 
-@query("check_dates", shape("dates", "cancelled_by_day", day("date_actual"), "'missing'", "'present'") + """
-FROM calendar WHERE date_actual BETWEEN DATE '2001-05-03' AND DATE '2001-08-01'
-AND date_actual NOT IN (SELECT CAST(started_at AS DATE) FROM rentals
-                        WHERE status = 'CANCELLED' AND station_id IN ('1', '2', '3'))""", "calendar rentals")
+@query("check_dates", shape("dates", "rentals_by_day", day("date_actual"), "'missing'", "'present'") + """
+FROM calendar WHERE date_actual BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
+AND date_actual NOT IN (SELECT CAST(started_at AS DATE) FROM rentals)""", "calendar rentals")
 def _(spark, sf):
-    cancelled = src.rentals(spark, sf).filter("status = 'CANCELLED' and station_id in ('1', '2', '3')")
-    days = cancelled.select(F.to_date("started_at").alias("date_actual")).distinct()
-    return quality.check_dates(days, marts.spine(calendar(spark), 90, AS_OF), "cancelled_by_day")
+    days = src.rentals(spark, sf).select(F.to_date("started_at").alias("date_actual")).distinct()
+    whole = marts.spine(calendar(spark), 2_556, "2001-12-31")
+    return quality.check_dates(days, whole, "rentals_by_day")
 
 
 @query("check_growth", """

@@ -22,7 +22,7 @@ tariffs AS (
          1.0 + length(seg) * 0.125 AS multiplier, 'v' || (s_suppkey % 3) AS version
   FROM supplier, (VALUES ('AUTOMOBILE'), ('BUILDING'), ('FURNITURE'), ('HOUSEHOLD'), ('MACHINERY'),
                          ('STANDARD')) AS k(seg)
-  WHERE s_suppkey % 10 <> 9 AND (seg <> 'MACHINERY' OR s_suppkey % 4 <> 0)),
+  WHERE s_acctbal >= 0 AND (seg <> 'MACHINERY' OR s_acctbal > 2000)),
 dearest AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY station_id
                         ORDER BY base_rate DESC, tariff_id DESC) AS place FROM tariffs) WHERE place = 1),
