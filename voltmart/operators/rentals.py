@@ -94,33 +94,30 @@ def _accepted_ids(claims: DataFrame) -> DataFrame:
     A claim is granted when its user holds nothing at its time. Where every earlier claim of the
     user has ended, it is granted whatever happened before: a root. Only claims in between depend
     on their predecessors. Each claim points to the first claim it does not block; the granted ones
-    are those reachable from a root. Reachability is found by doubling the pointers, so its rounds
-    grow with the logarithm of the longest chain between two roots, and no user's history is ever
-    walked by one task.
+    are the roots and what can be reached from them. Reachability is found by doubling the pointers
+    among dependent claims, so its rounds grow with the logarithm of the longest chain between two
+    roots, they touch dependent claims only, and no user's history is ever walked by one task.
     """
     claims = with_prior_max(claims, "user_id", "ts", "claim_id", "ends_at", "_busy_until")
-    claims = cut_lineage(
-        claims.withColumn(
-            "_root", F.col("_busy_until").isNull() | (F.col("_busy_until") <= F.col("ts"))
-        ).drop("_busy_until")
-    )
-    roots = claims.filter("_root").select("claim_id")
+    free_before = F.col("_busy_until").isNull() | (F.col("_busy_until") <= F.col("ts"))
+    claims = cut_lineage(claims.withColumn("root", free_before).drop("_busy_until"))
     # An instant claim blocks nobody: the next one in order follows it.
     ends = claims.select(
-        "claim_id", "user_id", "ends_at",
+        "claim_id", "user_id", "ends_at", "root",
         F.when(F.col("ends_at") == F.col("ts"), F.col("claim_id")).alias("_after"),
     )
     pointers = first_following(
-        ends, claims, "user_id", "ends_at", "_after", "ts", "claim_id", ["claim_id"]
-    ).select("claim_id", "next_claim_id")
-    dependent = claims.filter(~F.col("_root")).select(F.col("claim_id").alias("next_claim_id"))
-    edges = cut_lineage(pointers.join(dependent, "next_claim_id", "left_semi"))
-    granted = roots
+        ends, claims, "user_id", "ends_at", "_after", "ts", "claim_id", ["claim_id", "root"]
+    )
+    to_dependent = cut_lineage(
+        pointers.filter(~F.col("next_root")).select("claim_id", "root", "next_claim_id")
+    )
+    target = F.col("next_claim_id").alias("claim_id")
+    reached = to_dependent.filter("root").select(target).distinct()
+    edges = to_dependent.filter(~F.col("root")).drop("root")
     while not edges.isEmpty():
-        step = edges.join(granted, "claim_id", "left_semi").select(
-            F.col("next_claim_id").alias("claim_id")
-        )
-        granted = cut_lineage(granted.union(step).distinct())
+        step = edges.join(reached, "claim_id", "left_semi").select(target)
+        reached = cut_lineage(reached.union(step).distinct())
         onward = edges.select(
             F.col("claim_id").alias("next_claim_id"), F.col("next_claim_id").alias("_far")
         )
@@ -129,7 +126,7 @@ def _accepted_ids(claims: DataFrame) -> DataFrame:
                 "claim_id", F.col("_far").alias("next_claim_id")
             )
         )
-    return granted
+    return claims.filter("root").select("claim_id").union(reached)
 
 
 def replay_rentals(attempts: DataFrame, offers: DataFrame, finishes: DataFrame) -> DataFrame:
