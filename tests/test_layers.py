@@ -178,6 +178,8 @@ def test_users_absent_from_the_newest_snapshot_are_deleted(make):
     rows = {r.user_id: r for r in ods.ods_users(second, prev, "2024-02-01").collect()}
     assert (rows["a"].phone, rows["a"].is_deleted, rows["a"].updated_at) == ("+7", False, datetime(2024, 2, 1))
     assert (rows["b"].email, rows["b"].is_deleted, rows["b"].updated_at) == ("b", True, datetime(2024, 2, 1))
+    quiet = ods.ods_users(first.limit(0), prev, "2024-02-01")
+    assert not any(r.is_deleted for r in quiet.collect())
     third = ods.ods_users(second, ods.ods_users(second, prev, "2024-02-01"), "2024-03-01")
     assert {r.updated_at for r in third.collect()} == {datetime(2024, 2, 1)}
 
@@ -229,6 +231,11 @@ def test_mart_versions(spark, make):
     sinks.refresh_mart("m", make("v int", [(1,)]), path)
     reader = sinks.read_mart(spark, "m", path)
     sinks.refresh_mart("m", make("v int", [(2,)]), path)
+    # A run that died after writing and before publishing.
+    make("v int", [(9,)]).write.parquet(f"{path}/m/v00000003-dead")
+    sinks.refresh_mart("m", make("v int", [(3,)]), path)
+    assert sinks.read_mart(spark, "m", path).first().v == 3
+    sinks.refresh_mart("m", make("v int", [(2,)]), path)
     assert reader.first().v == 1 and sinks.read_mart(spark, "m", path).first().v == 2
 
 

@@ -73,7 +73,8 @@ USER_COLUMNS = ["email", "phone", "status", "created_at"]
 def ods_users(raw: DataFrame, prev: DataFrame | None, as_of: str) -> DataFrame:
     """Current users. `raw` holds full snapshots; a user missing from the newest one is deleted.
 
-    updated_at moves only when a tracked column or the deletion flag changes.
+    updated_at moves only when a tracked column or the deletion flag changes. Without any snapshot
+    in `raw` nobody is deleted.
     """
     newest = raw.agg(F.max("loaded_at")).scalar()
     users = (
@@ -95,8 +96,9 @@ def ods_users(raw: DataFrame, prev: DataFrame | None, as_of: str) -> DataFrame:
     picked = [
         F.when(gone, F.col(f"o.{c}")).otherwise(F.col(f"n.{c}")).alias(c) for c in USER_COLUMNS
     ]
-    deleted = F.when(gone, F.lit(True)).otherwise(F.col("n.is_deleted"))
-    moved = F.when(gone, ~F.col("o.is_deleted")).otherwise(
+    loaded = newest.isNotNull()
+    deleted = F.when(gone, F.col("o.is_deleted") | loaded).otherwise(F.col("n.is_deleted"))
+    moved = F.when(gone, ~F.col("o.is_deleted") & loaded).otherwise(
         changed | F.col("o.updated_at").isNull()
     )
     return joined.select(

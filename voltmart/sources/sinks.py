@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -78,11 +80,12 @@ def upsert_partitions(
 def refresh_mart(name: str, df: DataFrame, path: str) -> str:
     """Write a full new version of a mart, then publish it by appending one pointer row.
 
-    Readers keep the version they resolved; a half-written version is never pointed at.
+    Readers keep the version they resolved. A version left half-written by a failed run is never
+    pointed at and, its folder being unique, not in the way of the next run either.
     """
     spark = df.sparkSession
     version = _next_version(spark, name, path)
-    target = f"{path}/{name}/v{version:08d}"
+    target = f"{path}/{name}/v{version:08d}-{uuid.uuid4().hex[:8]}"
     df.write.mode("errorifexists").parquet(target)
     pointer = spark.range(1).select(
         F.lit(name).alias("mart"),
