@@ -27,16 +27,20 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach. Only a local session may fall back to /tmp."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="voltmart-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if context.applicationId not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="voltmart-")
+    return _LOCAL_ROOTS[context.applicationId]
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
