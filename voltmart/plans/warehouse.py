@@ -2,17 +2,18 @@
 
 Each layer is written and read back before the next one, so a lost executor costs one layer at most
 and every layer can be rebuilt from the one below. A run handles what arrived since the last one:
-ODS and facts rewrite only the months it touches, the user dimension gains versions, and only the
+ODS and facts rewrite only the months (or days) it touches, the user dimension gains versions, and only the
 marts, which are small, are written whole. A first run is an increment onto nothing.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from voltmart.functions.scalar import month_id
+from voltmart.functions.scalar import date_id, month_id
 from voltmart.operators import facts
 from voltmart.operators.audit import offer_status_asof
 from voltmart.operators.dims import (
@@ -26,6 +27,21 @@ from voltmart.sources import extracts, sinks
 RAW_COLUMNS = ["loaded_at", "load_date", "source_system"]
 
 
+@dataclass(frozen=True)
+class Grain:
+    """Partition columns of ODS and facts, and how ODS derives its own from the row's time."""
+
+    ods: str
+    rentals: str
+    offers: str
+    of: Callable[[str], Column]
+
+
+MONTHLY = Grain("month_id", "month_id", "month_id", month_id)
+# For loads where a month is too much to rewrite per run.
+DAILY = Grain("day_id", "start_date_id", "created_date_id", date_id)
+
+
 @dataclass
 class Sources:
     """What a run extracts: all users, and the offers, rentals, cost snapshots and audit rows that
@@ -51,11 +67,13 @@ def load_raw_layer(src: Sources, root: str, as_of: str) -> None:
         sinks.append_raw(extracts.load_raw(df, system, as_of), f"{root}/raw/{name}")
 
 
-def _ods_offer_changes(raw: DataFrame, audit: DataFrame, known: DataFrame | None, as_of: str) -> DataFrame:
+def _ods_offer_changes(
+    raw: DataFrame, audit: DataFrame, known: DataFrame | None, as_of: str, grain: Grain
+) -> DataFrame:
     """New offers, and known ones whose status moved in the new part of the audit log."""
     new = ods_offers(raw, audit, as_of).drop(*RAW_COLUMNS)
     new = new.withColumn("updated_at", F.lit(as_of).cast("timestamp"))
-    new = new.withColumn("month_id", month_id("created_at"))
+    new = new.withColumn(grain.ods, grain.of("created_at"))
     if known is None:
         return new
     moved = offer_status_asof(audit, as_of).select("offer_id", F.col("status").alias("_moved"))
@@ -70,13 +88,17 @@ def _ods_offer_changes(raw: DataFrame, audit: DataFrame, known: DataFrame | None
     return new.unionByName(changed)
 
 
-def _store_increment(spark: SparkSession, df: DataFrame, path: str, key: str) -> DataFrame:
+def _store_increment(
+    spark: SparkSession, df: DataFrame, path: str, key: str, part_col: str
+) -> DataFrame:
     """Upsert whole rows; returns the rows of the increment as they were stored."""
-    columns = [c for c in df.columns if c not in (key, "month_id")]
-    return sinks.upsert_partitions(spark, path, df, [key], columns)
+    columns = [c for c in df.columns if c not in (key, part_col)]
+    return sinks.upsert_partitions(spark, path, df, [key], columns, part_col)
 
 
-def load_ods_layer(spark: SparkSession, root: str, since: str, as_of: str) -> dict[str, DataFrame]:
+def load_ods_layer(
+    spark: SparkSession, root: str, since: str, as_of: str, grain: Grain = MONTHLY
+) -> dict[str, DataFrame]:
     """Returns the increment of each ODS table."""
     fresh = {
         name: incremental(spark.read.parquet(f"{root}/raw/{name}"), since)
@@ -84,8 +106,8 @@ def load_ods_layer(spark: SparkSession, root: str, since: str, as_of: str) -> di
     }
     known = sinks.read_if_present(spark, f"{root}/ods/offers")
     offers = _store_increment(
-        spark, _ods_offer_changes(fresh["offers"], fresh["offer_audit"], known, as_of),
-        f"{root}/ods/offers", "offer_id",
+        spark, _ods_offer_changes(fresh["offers"], fresh["offer_audit"], known, as_of, grain),
+        f"{root}/ods/offers", "offer_id", grain.ods,
     )
     tariffs = spark.read.parquet(f"{root}/ods/offers").select(
         "offer_id", "tariff_version", "tariff_rate_per_minute"
@@ -95,16 +117,17 @@ def load_ods_layer(spark: SparkSession, root: str, since: str, as_of: str) -> di
         .drop(*RAW_COLUMNS)
         .join(tariffs.select("offer_id", "tariff_rate_per_minute"), "offer_id", "left")
         .withColumn("updated_at", F.lit(as_of).cast("timestamp"))
-        .withColumn("month_id", month_id("started_at"))
+        .withColumn(grain.ods, grain.of("started_at"))
     )
-    rentals = _store_increment(spark, rentals, f"{root}/ods/rentals", "rental_id")
+    rentals = _store_increment(spark, rentals, f"{root}/ods/rentals", "rental_id", grain.ods)
     known_users = sinks.read_version(spark, "users", f"{root}/ods")
     sinks.refresh_mart("users", ods_users(fresh["users"], known_users, as_of), f"{root}/ods")
     return {"offers": offers, "rentals": rentals}
 
 
 def load_star(
-    spark: SparkSession, changed: dict[str, DataFrame], stations: DataFrame, root: str, as_of: str
+    spark: SparkSession, changed: dict[str, DataFrame], stations: DataFrame, root: str, as_of: str,
+    grain: Grain = MONTHLY,
 ) -> None:
     """Dimensions first, each a new published version; then the increments of the facts."""
     dds = f"{root}/dds"
@@ -127,11 +150,11 @@ def load_star(
     dims = [sinks.read_version(spark, n, dds) for n in ("dim_users", "dim_stations", "dim_tariff")]
     sinks.upsert_partitions(
         spark, f"{dds}/fact_rentals", facts.fact_rentals(changed["rentals"], *dims, as_of),
-        ["rental_id"], facts.RENTAL_UPDATES, sort_col="station_dwh_id",
+        ["rental_id"], facts.RENTAL_UPDATES, grain.rentals, "station_dwh_id",
     )
     sinks.upsert_partitions(
         spark, f"{dds}/fact_offers", facts.fact_offers(changed["offers"], *dims, as_of),
-        ["offer_id"], facts.OFFER_UPDATES, sort_col="station_dwh_id",
+        ["offer_id"], facts.OFFER_UPDATES, grain.offers, "station_dwh_id",
     )
 
 
@@ -160,12 +183,14 @@ def refresh_marts(spark: SparkSession, root: str, start: str, as_of: str) -> dic
 
 
 def refresh_warehouse(
-    spark: SparkSession, src: Sources, root: str, start: str, as_of: str, since: str = EPOCH
+    spark: SparkSession, src: Sources, root: str, start: str, as_of: str, since: str = EPOCH,
+    grain: Grain = MONTHLY,
 ) -> dict[str, str]:
-    """One run; `since` is the as_of of the run before. Returns where each mart was written."""
+    """One run; `since` is the as_of of the run before, `grain` stays the same for all runs.
+    Returns where each mart was written."""
     load_raw_layer(src, root, as_of)
-    changed = load_ods_layer(spark, root, since, as_of)
-    load_star(spark, changed, src.stations, root, as_of)
+    changed = load_ods_layer(spark, root, since, as_of, grain)
+    load_star(spark, changed, src.stations, root, as_of, grain)
     return refresh_marts(spark, root, start, as_of)
 
 
