@@ -5,9 +5,9 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from check import duck, rows_of
+from voltmart.suite import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = spark_entry.queries(), spark_entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
