@@ -91,7 +91,7 @@ def repeated_neighbours(
     keys = [core, whole]
     schema = rows.schema
     names = rows.columns
-    flags = "pc boolean, pw boolean, nc boolean, nw boolean, place int"
+    flags = "pc boolean, pw boolean, nc boolean, nw boolean, border int"
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -112,14 +112,14 @@ def repeated_neighbours(
                 pw[0] = pc[0] and held[whole].iloc[0] == w[0]
                 yield held.assign(nc=pc[0], nw=pw[0])
             batch = batch.assign(
-                pc=pc, pw=pw, nc=np.append(pc[1:], False), nw=np.append(pw[1:], False), place=place
+                pc=pc, pw=pw, nc=np.append(pc[1:], False), nw=np.append(pw[1:], False), border=place
             )
             held = batch.iloc[-1:]
             first = False
             if len(batch) > 1:
                 yield batch.iloc[:-1]
         if not first:
-            yield held.assign(place=held["place"] | 2)
+            yield held.assign(border=held["border"] | 2)
 
     dealt = (
         rows.repartitionByRange(partitions, *keys, *unique)
@@ -130,11 +130,11 @@ def repeated_neighbours(
         dealt.sortWithinPartitions(*keys, *unique).mapInPandas(compare, f"{fields}, {flags}"),
         "sorted",
     )
-    # place: 1 the first row of its range, 2 the last one, 3 both. Two rows per range at most.
+    # border: 1 the first row of its range, 2 the last one, 3 both. Two rows per range at most.
     order = Window.orderBy(*keys, *unique)
-    border = compared.where("place > 0")
+    border = compared.where("border > 0")
     for step, side in ((F.lag, "p"), (F.lead, "n")):
-        mine = F.col("place").bitwiseAND(1 if side == "p" else 2) > 0
+        mine = F.col("border").bitwiseAND(1 if side == "p" else 2) > 0
         near = lambda key, step=step: step(key).over(order).eqNullSafe(F.col(key))
         border = border.withColumn("same_c", near(core)).withColumn(
             "same_w", F.col("same_c") & near(whole)
@@ -144,7 +144,7 @@ def repeated_neighbours(
         ).withColumn(f"{side}w", F.when(mine, F.col("same_w")).otherwise(F.col(f"{side}w")))
     columns = [*names, "pc", "pw", "nc", "nw"]
     return (
-        compared.where("place = 0")
+        compared.where("border = 0")
         .select(*columns)
         .unionByName(border.select(*columns))
         .select(

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltmart.llm import bpe, packing, simhash, topk, vectors
+from voltmart.llm import (
+    bpe,
+    html,
+    licenses,
+    lm,
+    packing,
+    quality,
+    simhash,
+    substrings,
+    topk,
+    vectors,
+)
 from voltmart.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,6 +75,26 @@ def op3_topk(table) -> DataFrame:
     return topk.top_products(rows, rows.where(F.col("vec_id") % 20 == 0))
 
 
+@register()
+def op4_lm(table) -> DataFrame:
+    return lm.score_documents(table("documents"))
+
+
+@register()
+def op5_html(table) -> DataFrame:
+    return html.extract_pages(table("pages"))
+
+
+@register()
+def op6_quality(table) -> DataFrame:
+    return quality.score_table(table("documents"), table("labels"))
+
+
+@register()
+def op7_substrings(table) -> DataFrame:
+    return substrings.removal_digests(table("documents"))
+
+
 @register()
 def op8_bpe(table) -> DataFrame:
     return bpe.encoding_digests(table("documents"), tokenizer_file())
@@ -72,3 +103,8 @@ def op8_bpe(table) -> DataFrame:
 @register()
 def op9_vectors(table) -> DataFrame:
     return vectors.near_vectors(table("embeddings"))
+
+
+@register(licenses.oracle())
+def op10_licenses(table) -> DataFrame:
+    return licenses.scan(table("documents"))

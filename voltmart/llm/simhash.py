@@ -150,6 +150,34 @@ def near_prints(prints: DataFrame) -> DataFrame:
     return home.join(sent, "anchor").where((F.col("a") < F.col("b")) & near).select("a", "b")
 
 
+def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
+    """One document of each group of near copies, with all columns of docs: the one of smallest doc_id.
+    Rows that share a doc_id count as one document, of which any one row stays; a row with a null doc_id
+    stays only for a group that has no other id, and one does."""
+    _, named = _named(docs, words)
+    # component_id is the smallest doc_id of its group.
+    chosen = named.select(F.col("component_id").alias("doc_id")).distinct()
+    kept = docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    # Rows without an id are found by their fingerprints.
+    bare = docs.where("doc_id is null").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    bare = (
+        bare.withColumn("fp", _print_column(words)("row.text"))
+        .join(named.where("component_id is null"), "fp")
+        .dropDuplicates(["root"])
+        .select("row.*")
+    )
+    return kept.unionByName(bare)
+
+
+def _print_column(words: int):
+    @F.pandas_udf("long")
+    def run(texts: pd.Series) -> pd.Series:
+        found = [simhash(t.encode() if t else b"", words) for t in texts]
+        return pd.Series(np.array(found, np.uint64).view(np.int64))
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, text, ...) -> (doc_id, fingerprint, component_id), one row per row of docs.
 
@@ -160,6 +188,16 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     doc_id are separate documents. Null doc_ids are not candidates for component_id. Columns of docs
     other than doc_id and text are not looked at.
     """
+    prints, named = _named(docs, words)
+    return prints.join(named, "fp").select(
+        "doc_id",
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
+
+
+def _named(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of every document, and (fp, root, component_id) of every fingerprint."""
     prints = cut_lineage(fingerprints(docs, words), "fingerprints")
     classes = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "classes")
     reached = components(near_prints(classes.select("fp")))
@@ -167,9 +205,5 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
         "fp", "low", F.coalesce("root", "fp").alias("root")
     )
     smallest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = cut_lineage(rooted.join(smallest, "root").select("fp", "component_id"), "named")
-    return prints.join(named, "fp").select(
-        "doc_id",
-        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        "component_id",
-    )
+    named = cut_lineage(rooted.join(smallest, "root").select("fp", "root", "component_id"), "named")
+    return prints, named
