@@ -162,11 +162,12 @@ def test_finish_order_of_checks(make):
             ("1", "none", "u", "2024-01-01 12:00:00"), ("2", "r", "x", "2024-01-01 12:00:00"),
             ("3", "done", "x", "2024-01-01 12:00:00"), ("4", "done", "u", "2024-01-01 12:00:00"),
             ("5", "r", "u", "2024-01-01 12:01:00"), ("6", "r", "u", "2024-01-01 12:02:00"),
+            ("7", "r", None, "2024-01-01 12:00:00"), ("8", "done", None, "2024-01-01 12:00:00"),
         ],
     )
     assert as_dict(rentals.classify_finish(known, requests), "request_id", "outcome") == {
         "1": "NOT_FOUND", "2": "USER_MISMATCH", "3": "USER_MISMATCH", "4": "ALREADY_FINISHED",
-        "5": "OK", "6": "ALREADY_FINISHED",
+        "5": "OK", "6": "ALREADY_FINISHED", "7": "USER_MISMATCH", "8": "USER_MISMATCH",
     }
 
 

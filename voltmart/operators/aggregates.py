@@ -29,11 +29,6 @@ def distinct_counts(
     )
 
 
-def median(column) -> Column:
-    """Exact continuous median for groups known to be small."""
-    return F.percentile(column, 0.5)
-
-
 def exact_median(
     df: DataFrame, by: list[str], value: str, out: str, scale: int = 2
 ) -> DataFrame:

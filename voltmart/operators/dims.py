@@ -21,7 +21,7 @@ def dim_date(
     if holidays is None:
         return days.withColumn("is_holiday", F.lit(False))
     marked = holidays.select("date_actual").distinct().withColumn("is_holiday", F.lit(True))
-    return days.join(F.broadcast(marked), "date_actual", "left").withColumn(
+    return days.join(marked, "date_actual", "left").withColumn(
         "is_holiday", F.coalesce("is_holiday", F.lit(False))
     )
 
@@ -48,15 +48,18 @@ def dim_stations(
 ) -> DataFrame:
     """Every station seen in offers or rentals, enriched from a station directory if there is one.
 
-    Each input is reduced to its distinct stations before the union. Stations in `prev` stay as they
-    are, so a load has to show only its new rows.
+    Each input is reduced to its distinct stations before the union. Stations in `prev` stay, so a
+    load has to show only its new rows; what the directory knows of them now replaces what it did
+    not know before, and a station it has dropped keeps its last description.
     """
     seen = (
         offers.select("station_id").distinct()
         .union(rentals.select("station_id").distinct())
         .filter(F.col("station_id").isNotNull())
-        .distinct()
     )
+    if prev is not None:
+        seen = seen.union(prev.select("station_id"))
+    seen = seen.distinct()
     stations = seen.withColumn("station_dwh_id", surrogate_key("station_id"))
     columns = {
         "station_name": "string", "city": "string", "region": "string",
@@ -71,7 +74,11 @@ def dim_stations(
     stations = stations.select("station_dwh_id", "station_id", *columns)
     if prev is None:
         return stations
-    return prev.unionByName(stations.join(prev.select("station_id"), "station_id", "left_anti"))
+    before = prev.select("station_id", *[F.col(c).alias(f"_{c}") for c in columns])
+    return stations.join(before, "station_id", "left").select(
+        "station_dwh_id", "station_id",
+        *[F.coalesce(F.col(c), F.col(f"_{c}")).alias(c) for c in columns],
+    )
 
 
 def tariff_type(is_greedy, segment):
@@ -86,21 +93,19 @@ def tariff_type(is_greedy, segment):
 def dim_tariff(offers: DataFrame, prev: DataFrame | None = None) -> DataFrame:
     """Distinct (version, rate) pairs of ODS offers with type and validity interval.
 
-    Offers are first counted down to their distinct tariffs by a hash aggregate; only that catalogue
-    is searched for the earliest tariff of each pair and put in order. The interval of a pair ends
-    where the next pair of the same version begins. With `prev`, new offers are enough: the pairs
-    known so far join the catalogue.
+    One partial aggregation keeps the earliest description of each pair, so the result has one row
+    per pair whatever the snapshots hold. The interval of a pair ends where the next pair of the same
+    version begins. With `prev`, new offers are enough: the pairs known so far join in.
     """
-    catalogue = (
-        offers.filter(F.col("tariff_version").isNotNull())
-        .withColumn("tariff_type", tariff_type(F.col("is_greedy"), F.col("tariff_segment")))
-        .groupBy(
-            "tariff_version", F.col("tariff_rate_per_minute").alias("rate_per_minute"),
-            "tariff_type", F.col("tariff_currency").alias("currency"), "tariff_snapshot",
-        )
-        .agg(F.min("created_at").alias("valid_from"))
-    )
     described = ["valid_from", "tariff_type", "currency", "tariff_snapshot"]
+    catalogue = offers.filter(F.col("tariff_version").isNotNull()).select(
+        "tariff_version",
+        F.col("tariff_rate_per_minute").alias("rate_per_minute"),
+        F.col("created_at").alias("valid_from"),
+        tariff_type(F.col("is_greedy"), F.col("tariff_segment")).alias("tariff_type"),
+        F.col("tariff_currency").alias("currency"),
+        "tariff_snapshot",
+    )
     if prev is not None:
         catalogue = catalogue.unionByName(prev.select(*catalogue.columns))
     pairs = (

@@ -70,7 +70,7 @@ def fact_rentals(
     rows = _with_tariff(_with_dims(rentals, dim_users, dim_stations), dim_tariff)
     facts = add_rental_flags(
         rows.select(
-            "rental_id", "user_dwh_id", "station_dwh_id",
+            "rental_id", "user_dwh_id", "user_id", "station_dwh_id",
             date_id("started_at").alias("start_date_id"),
             time_id("started_at").alias("start_time_id"),
             date_id("finished_at").alias("end_date_id"),
@@ -92,7 +92,7 @@ def fact_offers(
     rows = _with_tariff(_with_dims(offers, dim_users, dim_stations), dim_tariff)
     facts = add_offer_flags(
         add_ttl(rows).select(
-            "offer_id", "user_dwh_id", "station_dwh_id",
+            "offer_id", "user_dwh_id", "user_id", "station_dwh_id",
             date_id("created_at").alias("created_date_id"),
             time_id("created_at").alias("created_time_id"),
             "tariff_dwh_id", "created_at", "expires_at",

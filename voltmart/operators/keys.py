@@ -30,18 +30,25 @@ def insert_ignore(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFra
 
 
 def upsert(
-    target: DataFrame, src: DataFrame, keys: list[str], update_cols: list[str]
+    target: DataFrame, src: DataFrame, keys: list[str], update_cols: list[str],
+    order_cols: list[str] | None = None,
 ) -> DataFrame:
     """Update the listed columns where the key exists, insert the whole row where it does not.
 
-    An update takes the source value even when it is NULL. Keys are unique on both sides, so the
-    full outer join has no hot key.
+    An update takes the source value even when it is NULL. With `order_cols` a source row older than
+    the stored one changes nothing (NULL is oldest, on a tie the source wins), and these columns
+    follow the row that won. Keys are unique on both sides, so the full outer join has no hot key.
     """
     old = target.withColumn("_old", F.lit(True)).alias("t")
     new = src.withColumn("_new", F.lit(True)).alias("s")
     on = [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
     joined = old.join(new, on, "full_outer")
     in_target, in_source = F.col("t._old").isNotNull(), F.col("s._new").isNotNull()
+    wins = in_source
+    if order_cols:
+        at = lambda side: F.struct(*[F.col(f"{side}.{c}") for c in order_cols])
+        wins = in_source & (~in_target | (at("s") >= at("t")))
+        update_cols = [*update_cols, *order_cols]
 
     def pick(name: str) -> Column:
         if name not in src.columns:
@@ -49,7 +56,7 @@ def upsert(
         if name in keys:
             return F.coalesce(f"t.{name}", f"s.{name}").alias(name)
         if name in update_cols:
-            source_wins = in_source
+            source_wins = wins
         else:
             source_wins = ~in_target
         return F.when(source_wins, F.col(f"s.{name}")).otherwise(F.col(f"t.{name}")).alias(name)

@@ -107,7 +107,8 @@ def offer_validity(df: DataFrame, as_of: str) -> DataFrame:
 
 def active_offers(df: DataFrame, as_of: str) -> DataFrame:
     """Valid offers, newest first within each user."""
-    return df.filter(is_valid_offer(as_of)).orderBy("user_id", F.desc("created_at"), "offer_id")
+    valid = df.filter(is_valid_offer(as_of)).repartition("user_id")
+    return valid.sortWithinPartitions("user_id", F.desc("created_at"), "offer_id")
 
 
 def classify_offer_use(offers: DataFrame, attempts: DataFrame) -> DataFrame:

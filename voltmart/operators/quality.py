@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from voltmart.functions.scalar import NULL_KEY_PART
 
@@ -103,6 +103,12 @@ def check_totals(mart: DataFrame, fact: DataFrame, measures: dict[str, Column],
                    F.col("mart") == F.col("fact"))
 
 
+def check_empty(df: DataFrame, check: str, table: str) -> DataFrame:
+    """Rows of a table that should have none."""
+    counted = df.agg(F.count(F.lit(1)).alias("_n"))
+    return _result(counted, check, table, F.lit("rows"), F.col("_n"), F.lit(0), F.col("_n") == 0)
+
+
 def check_dates(mart: DataFrame, spine: DataFrame, table: str) -> DataFrame:
     """Days of the period a mart does not have."""
     missing = spine.select("date_actual").join(mart.select("date_actual"), "date_actual", "left_anti")
@@ -158,10 +164,3 @@ def check_revenue_drop(alerts: DataFrame) -> DataFrame:
 
 def all_checks(results: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, results)
-
-
-def no_results(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [], "check_name string, table_name string, key string, observed string, "
-        "expected string, passed boolean"
-    )

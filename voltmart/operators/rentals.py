@@ -53,16 +53,19 @@ def classify_finish(rentals: DataFrame, requests: DataFrame) -> DataFrame:
     """Outcome of each finish request (request_id, rental_id, user_id, ts).
 
     Missing rental, foreign rental, already finished, else OK; the earliest passing request
-    finishes the rental.
+    finishes the rental. A request without a user is foreign to a rental that has one.
     """
-    known = rentals.select("rental_id", F.col("user_id").alias("_owner"), "status")
+    known = rentals.select(
+        "rental_id", F.col("user_id").alias("_owner"), "status", F.lit(True).alias("_known")
+    )
     asked = requests.join(known, "rental_id", "left")
-    passing = (F.col("_owner") == F.col("user_id")) & (F.col("status") != "FINISHED")
+    own = F.col("_owner").eqNullSafe(F.col("user_id"))
+    passing = F.col("_known") & own & ~F.col("status").eqNullSafe("FINISHED")
     order = F.struct("ts", "request_id")
     winners = asked.filter(passing).groupBy("rental_id").agg(F.min(order).alias("_winner"))
     outcome = (
-        F.when(F.col("_owner").isNull(), "NOT_FOUND")
-        .when(F.col("_owner") != F.col("user_id"), "USER_MISMATCH")
+        F.when(F.col("_known").isNull(), "NOT_FOUND")
+        .when(~own, "USER_MISMATCH")
         .when(F.col("status") == "FINISHED", "ALREADY_FINISHED")
         .when(order == F.col("_winner"), "OK")
         .otherwise("ALREADY_FINISHED")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from voltmart.functions.scalar import (
     as_day, date_id, date_id_in_last, days_before, exact_mean, in_last, mean_of,
-    month_id_in_last, months_before, ratio,
+    month_id, month_id_in_last, months_before, ratio,
 )
 from voltmart.operators.aggregates import distinct_if, exact_median, rank_desc
 
@@ -23,6 +23,11 @@ def _recent(fact: DataFrame, date_col: str, days: int, as_of: str) -> DataFrame:
     return fact.filter(period)
 
 
+def user_key(facts: DataFrame) -> str:
+    """What tells users apart: facts carry the user beside the version, which changes over time."""
+    return "user_id" if "user_id" in facts.columns else "user_dwh_id"
+
+
 def dm_daily_metrics(
     dim_date: DataFrame, rentals: DataFrame, offers: DataFrame, as_of: str, days: int = 90
 ) -> DataFrame:
@@ -37,7 +42,7 @@ def dm_daily_metrics(
         F.count("rental_id").alias("total_rentals"),
         F.count_if("is_completed").alias("completed_rentals"),
         F.count_if("is_cancelled").alias("cancelled_rentals"),
-        distinct_if("user_dwh_id").alias("active_users"),
+        distinct_if(user_key(rentals)).alias("active_users"),
         F.sum("final_cost").alias("total_revenue"),
         exact_mean("final_cost").alias("avg_rental_cost"),
         exact_mean("duration_minutes").alias("avg_duration_minutes"),
@@ -90,7 +95,7 @@ def dm_station_stats(
     week = F.col("start_date_id") >= date_id(days_before(as_of, 7))
     stats = _recent(rentals, "start_date_id", 30, as_of).groupBy("station_dwh_id").agg(
         F.count("rental_id").alias("total_rentals_30d"),
-        distinct_if("user_dwh_id").alias("unique_users_30d"),
+        distinct_if(user_key(rentals)).alias("unique_users_30d"),
         F.sum("final_cost").alias("total_revenue_30d"),
         exact_mean("final_cost").alias("avg_rental_cost"),
         exact_mean("duration_minutes").alias("avg_duration_minutes"),
@@ -128,24 +133,34 @@ def dm_user_cohorts(dim_users: DataFrame, rentals: DataFrame, as_of: str) -> Dat
     """Cohorts by month of registration: size, activity in month 0 and 1, averages.
 
     Rentals shrink to one row per user and month before they meet the users, then to one row per
-    user: no user row is ever repeated, so averages over users are averages over users.
+    user: no user row is ever repeated, so averages over users are averages over users. Rentals of
+    all versions of a user count as the user's. Nobody rents before registering, so only rentals
+    from the first cohort's month up to as_of are read.
     """
+    key = user_key(rentals)
+    first, last = months_before(as_of, 12), as_day(as_of)
     users = dim_users.filter(
-        F.col("is_current") & (F.col("user_created_at") >= months_before(as_of, 12).cast("timestamp"))
-    ).select("user_dwh_id", F.trunc("user_created_at", "month").alias("cohort_month"))
+        F.col("is_current")
+        & (F.col("user_created_at") >= first.cast("timestamp"))
+        & (F.col("user_created_at") < F.date_add(last, 1).cast("timestamp"))
+    ).select(key, F.trunc("user_created_at", "month").alias("cohort_month"))
+    period = (F.col("start_date_id") >= date_id(first)) & (F.col("start_date_id") <= date_id(last))
+    if "month_id" in rentals.columns:
+        period = F.col("month_id").between(month_id(first), month_id(last)) & period
+    rentals = rentals.filter(period)
     start_day = F.make_date(
         F.floor(F.col("start_date_id") / 10000).cast("int"),
         (F.floor(F.col("start_date_id") / 100) % 100).cast("int"),
         F.lit(1),
     )
     done = F.col("is_completed")
-    monthly = rentals.groupBy("user_dwh_id", start_day.alias("active_month")).agg(
+    monthly = rentals.groupBy(key, start_day.alias("active_month")).agg(
         F.count_if(done).alias("_done"),
         F.sum(F.when(done, F.col("final_cost"))).alias("_spent"),
     )
     per_user = (
-        users.join(monthly, "user_dwh_id", "left")
-        .groupBy("cohort_month", "user_dwh_id")
+        users.join(monthly, key, "left")
+        .groupBy("cohort_month", key)
         .agg(
             F.max(F.col("active_month") == F.col("cohort_month")).alias("_in_0"),
             F.max(F.col("active_month") == F.add_months("cohort_month", 1)).alias("_in_1"),

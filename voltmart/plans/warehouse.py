@@ -2,8 +2,12 @@
 
 Each layer is written and read back before the next one, so a lost executor costs one layer at most
 and every layer can be rebuilt from the one below. A run handles what arrived since the last one:
-ODS and facts rewrite only the months (or days) it touches, the user dimension gains versions, and only the
-marts, which are small, are written whole. A first run is an increment onto nothing.
+ODS and facts rewrite only the days (or months) it touches, the user dimension gains versions, and only
+the marts, which are small, are written whole. A first run is an increment onto nothing.
+
+What arrives in the wrong order is kept until its counterpart comes, so that runs over parts of the
+sources end where one run over all of them does: costs and status changes of rentals and offers not
+yet known, facts of users not yet known, and rentals whose offer has not arrived.
 """
 
 from __future__ import annotations
@@ -13,18 +17,24 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from voltmart.functions.scalar import date_id, month_id
-from voltmart.operators import facts
-from voltmart.operators.audit import offer_status_asof
+from voltmart.functions.scalar import date_id, minutes_between, month_id
+from voltmart.operators import facts, quality
+from voltmart.operators.audit import status_changes
 from voltmart.operators.dims import (
     dim_date, dim_stations, dim_tariff, dim_time, new_user_versions, scd2_merge,
 )
-from voltmart.operators.ods import incremental, ods_offers, ods_rentals, ods_users
+from voltmart.operators.keys import dedup_latest, latest_per_key
+from voltmart.operators.ods import incremental, ods_users, parse_tariff, split_status
 from voltmart.plans import marts
-from voltmart.schemas import EPOCH
+from voltmart.schemas import EPOCH, RETENTION_DAYS
+from voltmart.session import cut_lineage
 from voltmart.sources import extracts, sinks
 
 RAW_COLUMNS = ["loaded_at", "load_date", "source_system"]
+TARIFF_COLUMNS = [
+    "tariff_rate_per_minute", "tariff_currency", "segment_multiplier", "effective_rate",
+    "tariff_segment", "is_greedy",
+]
 
 
 @dataclass(frozen=True)
@@ -37,15 +47,15 @@ class Grain:
     of: Callable[[str], Column]
 
 
+# For warehouses whose months are small.
 MONTHLY = Grain("month_id", "month_id", "month_id", month_id)
-# For loads where a month is too much to rewrite per run.
 DAILY = Grain("day_id", "start_date_id", "created_date_id", date_id)
 
 
 @dataclass
 class Sources:
-    """What a run extracts: all users, and the offers, rentals, cost snapshots and audit rows that
-    are new or have changed since the run before."""
+    """What a run extracts: all users, and the offers, rentals, cost snapshots, audit rows and rental
+    events that are new or have changed since the run before, in any order across runs."""
 
     users: DataFrame
     segments: DataFrame
@@ -54,45 +64,206 @@ class Sources:
     cost_snapshots: DataFrame
     offer_audit: DataFrame
     stations: DataFrame
+    rental_events: DataFrame | None = None
 
 
 def load_raw_layer(src: Sources, root: str, as_of: str) -> None:
     tables = {
         "users": (extracts.extract_users(src.users, src.segments), "user_service"),
         "offers": (src.offers, "offer_service"),
-        "rentals": (extracts.extract_rentals(src.rentals, src.cost_snapshots), "rental_service"),
+        "rentals": (src.rentals, "rental_service"),
+        "cost_snapshots": (extracts.extract_events(src.cost_snapshots), "rental_service"),
         "offer_audit": (extracts.extract_events(src.offer_audit), "offer_service"),
     }
+    if src.rental_events is not None:
+        tables["rental_events"] = (extracts.extract_events(src.rental_events), "rental_service")
     for name, (df, system) in tables.items():
         sinks.append_raw(extracts.load_raw(df, system, as_of), f"{root}/raw/{name}")
 
 
-def _ods_offer_changes(
-    raw: DataFrame, audit: DataFrame, known: DataFrame | None, as_of: str, grain: Grain
+def _waiting(spark: SparkSession, root: str, name: str, like: DataFrame) -> DataFrame:
+    """Rows that earlier runs could not place yet."""
+    held = sinks.read_version(spark, name, f"{root}/waiting")
+    return like.limit(0) if held is None else held
+
+
+def _keep_waiting(rows: DataFrame, root: str, name: str) -> None:
+    sinks.refresh_mart(name, rows, f"{root}/waiting")
+
+
+def _trusted(df: DataFrame, name: str, key: str, root: str) -> DataFrame:
+    """Rows with a key and, for offers and rentals, a known status; the others go to quarantine. A user
+    with an odd status stays: one missing from a snapshot would count as deleted."""
+    good, bad = split_status(df, name) if name in ("offers", "rentals") else (df, df.filter("false"))
+    bad = bad.unionByName(good.filter(F.col(key).isNull()))
+    if not bad.isEmpty():
+        bad.write.partitionBy("load_date").mode("append").parquet(f"{root}/quarantine/{name}")
+    return good.filter(F.col(key).isNotNull())
+
+
+def _of_partitions(known: DataFrame, ids: DataFrame, key: str, part_col: str) -> DataFrame:
+    """Whole rows of the given keys, read from the partitions that hold them: a projection of key and
+    partition finds those."""
+    parts = [row[0] for row in ids.select(part_col).distinct().collect()]
+    inside = F.col(part_col).isin([p for p in parts if p is not None])
+    if None in parts:
+        inside = F.coalesce(inside, F.lit(False)) | F.col(part_col).isNull()
+    return known.filter(inside).join(ids.select(key), key, "left_semi")
+
+
+def _offer_increment(
+    spark: SparkSession, raw: DataFrame, audit: DataFrame, root: str, as_of: str, grain: Grain
 ) -> DataFrame:
-    """New offers, and known ones whose status moved in the new part of the audit log."""
-    new = ods_offers(raw, audit, as_of).drop(*RAW_COLUMNS)
-    new = new.withColumn("updated_at", F.lit(as_of).cast("timestamp"))
-    new = new.withColumn(grain.ods, grain.of("created_at"))
+    """New and re-extracted offers, and known ones with a newer status in the audit log.
+
+    An offer's status is that of its latest change up to as_of, whichever run brought it; an offer
+    without any keeps the status it was extracted with.
+    """
+    log = status_changes(audit)
+    log = cut_lineage(log.unionByName(_waiting(spark, root, "offer_audit", log)), "changes")
+    due = F.col("ts") <= F.lit(as_of).cast("timestamp")
+    newest = F.struct("ts", "id")
+    latest = log.filter(due).groupBy("offer_id").agg(
+        F.max_by("status", newest).alias("_status"), F.max(newest).alias("_since")
+    )
+    new = (
+        parse_tariff(dedup_latest(raw, ["offer_id"], ["loaded_at"]))
+        .drop(*RAW_COLUMNS)
+        .withColumn(grain.ods, grain.of("created_at"))
+    )
+    known = sinks.read_if_present(spark, f"{root}/ods/offers")
+    before = (
+        new.select("offer_id", F.lit(None).cast("string").alias("_old"),
+                   F.lit(None).cast("struct<ts:timestamp,id:string>").alias("_old_since")).limit(0)
+        if known is None
+        else known.select("offer_id", F.col("status").alias("_old"), F.col("status_since").alias("_old_since"))
+    )
+    stamp = F.lit(as_of).cast("timestamp")
+    later = F.col("_since").isNotNull() & (
+        F.col("_old_since").isNull() | (F.col("_since") > F.col("_old_since"))
+    )
+    fresh = (
+        new.join(latest, "offer_id", "left")
+        .join(before, "offer_id", "left")
+        .withColumn(
+            "status",
+            F.when(later, F.col("_status"))
+            .when(F.col("_old_since").isNotNull(), F.col("_old"))
+            .otherwise(F.col("status")),
+        )
+        .withColumn("status_since", F.when(later, F.col("_since")).otherwise(F.col("_old_since")))
+        .withColumn("updated_at", stamp)
+        .drop("_status", "_since", "_old", "_old_since")
+    )
     if known is None:
-        return new
-    moved = offer_status_asof(audit, as_of).select("offer_id", F.col("status").alias("_moved"))
-    changed = (
-        known.join(moved, "offer_id")
-        .filter(F.col("status") != F.col("_moved"))
-        .withColumn("status", F.col("_moved"))
+        placed = new.select("offer_id")
+    else:
+        known = known.withColumn(grain.ods, F.col(grain.ods).cast(fresh.schema[grain.ods].dataType))
+        held = known.select("offer_id", F.col("status_since").alias("_old_since"), grain.ods)
+        moved = cut_lineage(
+            held.join(latest, "offer_id").filter(later).join(new.select("offer_id"), "offer_id", "left_anti"),
+            "moved",
+        )
+        changed = (
+            _of_partitions(known, moved, "offer_id", grain.ods)
+            .join(moved.select("offer_id", "_status", "_since"), "offer_id")
+            .withColumn("status", F.col("_status"))
+            .withColumn("status_since", F.col("_since"))
+            .withColumn("updated_at", stamp)
+            .drop("_status", "_since")
+        )
+        fresh = fresh.unionByName(changed)
+        placed = new.select("offer_id").union(known.select("offer_id"))
+    fresh = cut_lineage(fresh, "offers")
+    # Changes of offers not seen yet, and those dated after this run.
+    waiting = log.join(placed, "offer_id", "left_anti").unionByName(
+        log.filter(~due).join(placed, "offer_id", "left_semi")
+    )
+    _keep_waiting(waiting, root, "offer_audit")
+    return fresh
+
+
+def _rental_increment(
+    spark: SparkSession, raw: DataFrame, costs: DataFrame, offers: DataFrame, root: str, as_of: str,
+    grain: Grain,
+) -> DataFrame:
+    """New and re-extracted rentals, and known ones whose cost or whose offer has arrived.
+
+    The cost is that of the latest snapshot, whichever run brought it. Version and rate are the
+    rental's own where it has a tariff snapshot, else those of its offer.
+    """
+    columns = ["rental_id", "ts", "id", "cost_amount"]
+    log = costs.select(*columns)
+    log = cut_lineage(
+        latest_per_key(
+            log.unionByName(_waiting(spark, root, "cost_snapshots", log)), ["rental_id"], ["ts", "id"]
+        ),
+        "costs",
+    )
+    rows = dedup_latest(raw, ["rental_id"], ["loaded_at"]).drop(*RAW_COLUMNS)
+    none = lambda kind: F.lit(None).cast(kind)
+    if "tariff_snapshot" in rows.columns:
+        own = parse_tariff(rows).drop(*[c for c in TARIFF_COLUMNS if c != "tariff_rate_per_minute"])
+        rows = own.drop("tariff_snapshot")
+    else:
+        rows = rows.withColumn("tariff_rate_per_minute", none("decimal(10,4)"))
+    rows = (
+        rows.withColumn("duration_minutes", minutes_between("started_at", "finished_at"))
         .withColumn("updated_at", F.lit(as_of).cast("timestamp"))
-        .drop("_moved")
-        .join(new.select("offer_id"), "offer_id", "left_anti")
+        .withColumn(grain.ods, grain.of("started_at"))
+    )
+    known = sinks.read_if_present(spark, f"{root}/ods/rentals")
+    since = "struct<ts:timestamp,id:string>"
+    if known is None:
+        stored = rows.select("rental_id").limit(0).withColumn("final_cost", none("decimal(10,2)"))
+        stored = stored.withColumn("cost_since", none(since))
+        touched = rows
+    else:
+        known = known.withColumn(grain.ods, F.col(grain.ods).cast(rows.schema[grain.ods].dataType))
+        stored = known.select("rental_id", "final_cost", "cost_since")
+        slim = known.select("rental_id", "offer_id", grain.ods, F.col("tariff_version").isNull().alias("_open"))
+        by_cost = slim.join(log.select("rental_id"), "rental_id", "left_semi")
+        by_offer = slim.filter("_open").join(offers.select("offer_id").distinct(), "offer_id", "left_semi")
+        again = cut_lineage(
+            by_cost.unionByName(by_offer)
+            .select("rental_id", grain.ods)
+            .distinct()
+            .join(rows.select("rental_id"), "rental_id", "left_anti"),
+            "rentals_again",
+        )
+        old = _of_partitions(known, again, "rental_id", grain.ods).drop("final_cost", "cost_since")
+        touched = rows.unionByName(old.withColumn("updated_at", F.lit(as_of).cast("timestamp")))
+    newer = F.col("ts").isNotNull() & (
+        F.col("cost_since").isNull() | (F.struct("ts", "id") > F.col("cost_since"))
+    )
+    tariffs = spark.read.parquet(f"{root}/ods/offers").select(
+        "offer_id", F.col("tariff_version").alias("_version"), F.col("tariff_rate_per_minute").alias("_rate")
     )
-    return new.unionByName(changed)
+    bare = F.col("tariff_rate_per_minute").isNull()
+    priced = (
+        touched.join(stored, "rental_id", "left")
+        .join(log, "rental_id", "left")
+        .withColumn("final_cost", F.when(newer, F.col("cost_amount")).otherwise(F.col("final_cost")))
+        .withColumn("cost_since", F.when(newer, F.struct("ts", "id")).otherwise(F.col("cost_since")))
+        .drop("ts", "id", "cost_amount")
+        .join(tariffs, "offer_id", "left")
+        .withColumn("tariff_version", F.coalesce("tariff_version", "_version"))
+        .withColumn("tariff_rate_per_minute", F.when(bare, F.col("_rate")).otherwise(F.col("tariff_rate_per_minute")))
+        .drop("_version", "_rate")
+    )
+    priced = cut_lineage(priced, "rentals")
+    placed = rows.select("rental_id")
+    if known is not None:
+        placed = placed.union(known.select("rental_id"))
+    _keep_waiting(log.join(placed, "rental_id", "left_anti"), root, "cost_snapshots")
+    return priced
 
 
 def _store_increment(
     spark: SparkSession, df: DataFrame, path: str, key: str, part_col: str
 ) -> DataFrame:
     """Upsert whole rows; returns the rows of the increment as they were stored."""
-    columns = [c for c in df.columns if c not in (key, part_col)]
+    columns = [c for c in df.columns if c != key]
     return sinks.upsert_partitions(spark, path, df, [key], columns, part_col)
 
 
@@ -101,30 +272,41 @@ def load_ods_layer(
 ) -> dict[str, DataFrame]:
     """Returns the increment of each ODS table."""
     fresh = {
-        name: incremental(spark.read.parquet(f"{root}/raw/{name}"), since)
-        for name in ("users", "offers", "rentals", "offer_audit")
+        name: _trusted(incremental(spark.read.parquet(f"{root}/raw/{name}"), since), name, key, root)
+        for name, key in (
+            ("users", "user_id"), ("offers", "offer_id"), ("rentals", "rental_id"),
+            ("cost_snapshots", "rental_id"),
+        )
     }
-    known = sinks.read_if_present(spark, f"{root}/ods/offers")
+    audit = incremental(spark.read.parquet(f"{root}/raw/offer_audit"), since)
     offers = _store_increment(
-        spark, _ods_offer_changes(fresh["offers"], fresh["offer_audit"], known, as_of, grain),
+        spark, _offer_increment(spark, fresh["offers"], audit, root, as_of, grain),
         f"{root}/ods/offers", "offer_id", grain.ods,
     )
-    tariffs = spark.read.parquet(f"{root}/ods/offers").select(
-        "offer_id", "tariff_version", "tariff_rate_per_minute"
-    )
-    rentals = (
-        ods_rentals(fresh["rentals"], tariffs)
-        .drop(*RAW_COLUMNS)
-        .join(tariffs.select("offer_id", "tariff_rate_per_minute"), "offer_id", "left")
-        .withColumn("updated_at", F.lit(as_of).cast("timestamp"))
-        .withColumn(grain.ods, grain.of("started_at"))
+    rentals = _store_increment(
+        spark,
+        _rental_increment(spark, fresh["rentals"], fresh["cost_snapshots"], offers, root, as_of, grain),
+        f"{root}/ods/rentals", "rental_id", grain.ods,
     )
-    rentals = _store_increment(spark, rentals, f"{root}/ods/rentals", "rental_id", grain.ods)
     known_users = sinks.read_version(spark, "users", f"{root}/ods")
     sinks.refresh_mart("users", ods_users(fresh["users"], known_users, as_of), f"{root}/ods")
     return {"offers": offers, "rentals": rentals}
 
 
+def _load_fact(
+    spark: SparkSession, rows: DataFrame, name: str, key: str, build, updates: list[str], part_col: str,
+    root: str,
+) -> None:
+    """Upsert a fact's increment and the rows that earlier runs could not resolve; what still lacks a
+    dimension row waits for the next run."""
+    held = _waiting(spark, root, name, rows)
+    rows = rows.unionByName(held.join(rows.select(key), key, "left_anti"))
+    resolved = sinks.upsert_partitions(
+        spark, f"{root}/dds/{name}", build(rows), [key], updates, part_col, "station_dwh_id"
+    )
+    _keep_waiting(rows.join(resolved.select(key), key, "left_anti"), root, name)
+
+
 def load_star(
     spark: SparkSession, changed: dict[str, DataFrame], stations: DataFrame, root: str, as_of: str,
     grain: Grain = MONTHLY,
@@ -148,16 +330,68 @@ def load_star(
     )
     sinks.refresh_mart("dim_tariff", dim_tariff(changed["offers"], known["dim_tariff"]), dds)
     dims = [sinks.read_version(spark, n, dds) for n in ("dim_users", "dim_stations", "dim_tariff")]
-    sinks.upsert_partitions(
-        spark, f"{dds}/fact_rentals", facts.fact_rentals(changed["rentals"], *dims, as_of),
-        ["rental_id"], facts.RENTAL_UPDATES, grain.rentals, "station_dwh_id",
+    _load_fact(
+        spark, changed["rentals"], "fact_rentals", "rental_id",
+        lambda rows: facts.fact_rentals(rows, *dims, as_of), [*facts.RENTAL_UPDATES, "tariff_dwh_id"],
+        grain.rentals, root,
     )
-    sinks.upsert_partitions(
-        spark, f"{dds}/fact_offers", facts.fact_offers(changed["offers"], *dims, as_of),
-        ["offer_id"], facts.OFFER_UPDATES, grain.offers, "station_dwh_id",
+    _load_fact(
+        spark, changed["offers"], "fact_offers", "offer_id",
+        lambda rows: facts.fact_offers(rows, *dims, as_of), facts.OFFER_UPDATES, grain.offers, root,
     )
 
 
+def check_layers(spark: SparkSession, root: str, start: str, as_of: str) -> DataFrame:
+    """Run the checks of a refresh and append what they find, with its time, to the results table.
+
+    Facts against dimensions, business rules, unique keys, and the daily mart against facts and
+    calendar; quarantined and waiting rows are reported by their number.
+    """
+    dds = f"{root}/dds"
+    rentals = spark.read.parquet(f"{dds}/fact_rentals")
+    daily = sinks.read_mart(spark, "dm_daily_metrics", f"{root}/mart")
+    days = daily.select(F.date_format("date_actual", "yyyyMMdd").cast("int").alias("start_date_id"))
+    in_mart = rentals.join(days, "start_date_id", "left_semi")
+    found = [
+        quality.check_fk(rentals, sinks.read_version(spark, name, dds), key, "fact_rentals")
+        for name, key in (
+            ("dim_users", "user_dwh_id"), ("dim_stations", "station_dwh_id"), ("dim_tariff", "tariff_dwh_id"),
+        )
+    ]
+    found.append(quality.check_rules(rentals))
+    found.append(quality.check_unique(rentals, ["rental_id"], "fact_rentals"))
+    found.append(quality.check_unique(spark.read.parquet(f"{dds}/fact_offers"), ["offer_id"], "fact_offers"))
+    found.append(
+        quality.check_totals(
+            daily, in_mart,
+            {"total_rentals": F.count("rental_id"), "total_revenue": F.sum("final_cost")}, "dm_daily_metrics",
+        )
+    )
+    found.append(
+        quality.check_dates(daily, marts.spine(dim_date(spark, start, as_of), 90, as_of), "dm_daily_metrics")
+    )
+    for name in ("users", "offers", "rentals", "cost_snapshots"):
+        bad = sinks.read_if_present(spark, f"{root}/quarantine/{name}")
+        if bad is not None:
+            found.append(quality.check_empty(bad, "quarantine", name))
+    for name in ("fact_rentals", "fact_offers", "cost_snapshots", "offer_audit"):
+        found.append(quality.check_empty(sinks.read_version(spark, name, f"{root}/waiting"), "waiting", name))
+    results = quality.all_checks(found).withColumn("checked_at", F.lit(as_of).cast("timestamp"))
+    results.write.mode("append").parquet(f"{root}/dq")
+    return spark.read.parquet(f"{root}/dq").filter(F.col("checked_at") == F.lit(as_of).cast("timestamp"))
+
+
+def archive_layers(spark: SparkSession, root: str, as_of: str) -> None:
+    """Move RAW days past their retention to the archive; their partitions become empty."""
+    for name in ("users", "offers", "rentals", "cost_snapshots", "offer_audit", "rental_events"):
+        table = sinks.read_if_present(spark, f"{root}/raw/{name}")
+        if table is not None:
+            sinks.archive_partitions(
+                spark, table, f"{root}/raw/{name}", f"{root}/archive/raw/{name}", "load_date",
+                RETENTION_DAYS["raw"], as_of,
+            )
+
+
 def expire_open_offers(offers: DataFrame, as_of: str) -> DataFrame:
     """Offer facts as of a time: one left open beyond its expiry counts as expired from then on,
     even when no later increment touches it."""
@@ -184,14 +418,20 @@ def refresh_marts(spark: SparkSession, root: str, start: str, as_of: str) -> dic
 
 def refresh_warehouse(
     spark: SparkSession, src: Sources, root: str, start: str, as_of: str, since: str = EPOCH,
-    grain: Grain = MONTHLY,
+    grain: Grain = MONTHLY, checked: bool = False,
 ) -> dict[str, str]:
     """One run; `since` is the as_of of the run before, `grain` stays the same for all runs.
-    Returns where each mart was written."""
+    Returns where each mart was written. A run has to be later than the one before: rows it loads at
+    `since` would count as handled. `checked` runs the checks and stores what they find."""
+    if not spark.range(1).select(F.lit(as_of).cast("timestamp") > F.lit(since).cast("timestamp")).first()[0]:
+        raise ValueError(f"a run as of {as_of} cannot follow one as of {since}")
     load_raw_layer(src, root, as_of)
     changed = load_ods_layer(spark, root, since, as_of, grain)
     load_star(spark, changed, src.stations, root, as_of, grain)
-    return refresh_marts(spark, root, start, as_of)
+    paths = refresh_marts(spark, root, start, as_of)
+    if checked:
+        check_layers(spark, root, start, as_of)
+    return paths
 
 
 def user_dimension(users: DataFrame) -> DataFrame:

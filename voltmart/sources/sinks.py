@@ -45,35 +45,57 @@ def write_fact(df: DataFrame, path: str, sort_col: str = "station_dwh_id") -> No
     ).parquet(path)
 
 
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
-    """Catalogue table bucketed and sorted by a key: joins and groupings of two such tables on it
-    need no shuffle. For facts that keep meeting on the user."""
-    df.write.bucketBy(buckets, key).sortBy(key).mode("overwrite").saveAsTable(table)
+MAX_PARTITIONS = 10_000  # partition values one upsert may touch: they pass through the driver
+
+
+def _partitions(df: DataFrame, part_col: str) -> set:
+    found = {row[0] for row in df.select(part_col).distinct().limit(MAX_PARTITIONS + 1).collect()}
+    if len(found) > MAX_PARTITIONS:
+        raise ValueError(f"{part_col} has more than {MAX_PARTITIONS} values in one upsert")
+    return found
 
 
 def upsert_partitions(
     spark: SparkSession, path: str, src: DataFrame, keys: list[str], update_cols: list[str],
-    part_col: str = "month_id", sort_col: str | None = None,
+    part_col: str = "month_id", sort_col: str | None = None, order_cols: list[str] | None = None,
 ) -> DataFrame:
     """Upsert into partitioned parquet, rewriting only the partitions the source touches.
 
+    Touched are the partitions of the source rows and those that hold their keys now, which a
+    projection of keys and partition finds; a key therefore stays unique when it moves. NULL is a
+    partition like any other. part_col follows the source where it is among `update_cols`. With
+    `order_cols` older source rows lose (see keys.upsert).
+
     The merged partitions are staged in the shared folder and only then swapped in with dynamic
     overwrite, so an input is never overwritten while it is read and a failed swap can be repeated.
-    The touched partition values are calendar units: a bounded list. Where a month is too much to
-    rewrite per run, partition by the day key instead. Returns the source rows as materialised on
-    the way.
+    Returns the source rows as materialised on the way.
     """
     swap = lambda df: _in_months(df, part_col, sort_col).write.partitionBy(part_col).mode(
         "overwrite"
     ).option("partitionOverwriteMode", "dynamic").parquet(path)
     target = read_if_present(spark, path)
+    src = cut_lineage(src, "increment")
     if target is None:
         swap(src)
-        return spark.read.parquet(path)
-    src = cut_lineage(src, "increment")
-    touched = [row[0] for row in src.select(part_col).distinct().collect()]
-    target = target.filter(F.col(part_col).isin(touched))
-    swap(cut_lineage(upsert(target, src, [*keys, part_col], update_cols), "stage"))
+        return src
+    target = target.withColumn(part_col, F.col(part_col).cast(src.schema[part_col].dataType))
+    now = target.select(*keys, part_col).alias("t")
+    asked = src.select(*keys).alias("s")
+    same = [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
+    touched = _partitions(src, part_col) | _partitions(now.join(asked, same, "left_semi"), part_col)
+    wanted = F.col(part_col).isin([value for value in touched if value is not None])
+    if None in touched:
+        wanted = F.coalesce(wanted, F.lit(False)) | F.col(part_col).isNull()
+    merged = cut_lineage(
+        upsert(target.filter(wanted), src, keys, update_cols, order_cols), "stage"
+    )
+    swap(merged)
+    # Dynamic overwrite leaves a partition alone whose last row has moved away: empty it by itself.
+    for value in touched - _partitions(merged, part_col):
+        name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+        merged.drop(part_col).limit(0).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static"
+        ).parquet(f"{path}/{part_col}={name}")
     return src
 
 
@@ -129,3 +151,22 @@ def apply_retention(
     cutoff = F.date_sub(F.to_date(F.lit(as_of)), days).cast("timestamp")
     old = F.coalesce(F.col(ts_col) < cutoff, F.lit(False))
     return df.filter(~old), df.filter(old)
+
+
+def archive_partitions(
+    spark: SparkSession, df: DataFrame, path: str, archive: str, part_col: str, days: int, as_of: str
+) -> None:
+    """Copy the day partitions past their retention to the archive, then empty them.
+
+    Both steps work on whole partitions and can be repeated: the copy overwrites its own days only, and
+    a day is emptied after its copy is there.
+    """
+    _, old = apply_retention(df, part_col, days, as_of)
+    gone = _partitions(old, part_col)
+    if not gone:
+        return
+    old.write.partitionBy(part_col).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(archive)
+    for value in gone:
+        spark.createDataFrame([], df.drop(part_col).schema).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static"
+        ).parquet(f"{path}/{part_col}={value}")

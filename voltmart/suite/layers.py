@@ -500,6 +500,10 @@ def _user_dim(spark, sf):
     return dims.new_user_versions(src.users(spark, sf), EARLIER)
 
 
+def _station_dim(spark, sf):
+    return src.stations(spark, sf)
+
+
 def _known_stations(spark, sf):
     """Stations outside Asia, so that some look-ups miss."""
     return src.stations(spark, sf).filter("region <> 'ASIA'")
@@ -513,7 +517,7 @@ SELECT r.rental_id, {_user_key(EARLIER)} AS user_dwh_id, md5(r.station_id) AS st
        CAST(strftime(finished_at, '%H%M%S') AS INTEGER) AS end_time_id,
        t.tariff_dwh_id, offer_id, minutes AS duration_minutes, {num('final_cost')} AS final_cost,
        status, status = 'FINISHED' AS is_completed, status = 'CANCELLED' AS is_cancelled
-FROM rentals r JOIN stations s ON s.station_id = r.station_id AND s.region <> 'ASIA'
+FROM rentals r JOIN stations s ON s.station_id = r.station_id
 LEFT JOIN tariff_dim t ON t.tariff_version = r.tariff_version AND t.rate = r.rate"""
 FACT_COLUMNS = [
     "rental_id", "user_dwh_id", "station_dwh_id", "start_date_id", "start_time_id", "end_date_id",
@@ -524,7 +528,7 @@ FACT_COLUMNS = [
 
 def _fact_rentals(spark, sf, rows, as_of, prev=None):
     return facts.fact_rentals(
-        rows, _user_dim(spark, sf), _known_stations(spark, sf), tariff_dimension(spark, sf), as_of,
+        rows, _user_dim(spark, sf), _station_dim(spark, sf), tariff_dimension(spark, sf), as_of,
         prev,
     )
 
@@ -557,13 +561,13 @@ SELECT o.offer_id, {_user_key(EARLIER)} AS user_dwh_id, md5(o.station_id) AS sta
        END AS status, 300 AS ttl_seconds, status = 'USED' AS is_used,
        status = 'EXPIRED' OR (status = 'ACTIVE' AND expires_at <= TIMESTAMP '{EARLIER}')
            AS is_expired_unused
-FROM offers o JOIN stations s ON s.station_id = o.station_id AND s.region <> 'ASIA'
+FROM offers o JOIN stations s ON s.station_id = o.station_id
 LEFT JOIN tariff_dim t ON t.tariff_version = o.tariff_version AND t.rate = o.rate""",
     "offers stations tariff_dim")
 def _(spark, sf):
     offers = ods.parse_tariff(src.offers(spark, sf))
     return facts.fact_offers(
-        offers, _user_dim(spark, sf), _known_stations(spark, sf), tariff_dimension(spark, sf), EARLIER
+        offers, _user_dim(spark, sf), _station_dim(spark, sf), tariff_dimension(spark, sf), EARLIER
     ).select(
         "offer_id", "user_dwh_id", "station_dwh_id", "created_date_id", "created_time_id",
         "tariff_dwh_id", "status", "ttl_seconds", "is_used", "is_expired_unused",
@@ -625,6 +629,7 @@ def _(spark, sf):
         whole,
         offers=late(whole.offers, "created_at").withColumn("status", F.lit("ACTIVE")),
         rentals=late(whole.rentals, "started_at", still),
+        cost_snapshots=late(whole.cost_snapshots, "ts", still),
         offer_audit=late(whole.offer_audit, "ts", still),
     )
     warehouse.refresh_warehouse(spark, first, root, src.FIRST_DAY, EARLIER)
@@ -632,6 +637,66 @@ def _(spark, sf):
     return spark.read.parquet(paths["dm_daily_metrics"])
 
 
+def in_two_parts(whole: warehouse.Sources) -> tuple[warehouse.Sources, warehouse.Sources]:
+    """The same sources in two disjoint parts without regard to time: users, descriptions of stations,
+    offers, costs and audit rows come late or before what they belong to. Users are a full snapshot
+    each time, the first one incomplete."""
+    bucket = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n))
+    part = lambda df, key, n, keep: df.filter(bucket(key, n).isin(keep))
+    first = replace(
+        whole,
+        users=part(whole.users, "user_id", 3, [0, 1]),
+        stations=part(whole.stations, "station_id", 2, [0]),
+        offers=part(whole.offers, "offer_id", 5, [0, 1, 2]),
+        rentals=part(whole.rentals, "rental_id", 4, [0, 1, 2]),
+        cost_snapshots=part(whole.cost_snapshots, "id", 3, [0]),
+        offer_audit=part(whole.offer_audit, "id", 2, [0]),
+    )
+    second = replace(
+        whole,
+        offers=part(whole.offers, "offer_id", 5, [3, 4]),
+        rentals=part(whole.rentals, "rental_id", 4, [3]),
+        cost_snapshots=part(whole.cost_snapshots, "id", 3, [1, 2]),
+        offer_audit=part(whole.offer_audit, "id", 2, [1]),
+    )
+    return first, second
+
+
+@query("refresh_warehouse_late", WAREHOUSE_SQL, "calendar rentals last_snapshot")
+def _(spark, sf):
+    root = work_dir(spark, "warehouse")
+    first, second = in_two_parts(sources(spark, sf))
+    warehouse.refresh_warehouse(spark, first, root, src.FIRST_DAY, EARLIER)
+    paths = warehouse.refresh_warehouse(spark, second, root, src.FIRST_DAY, AS_OF, since=EARLIER)
+    return spark.read.parquet(paths["dm_daily_metrics"])
+
+
+@query("refresh_checks", """
+SELECT check_name, table_name, 'rows' AS key, CAST(n AS VARCHAR) AS observed, '0' AS expected,
+       n = 0 AS passed
+FROM (SELECT 'quarantine' AS check_name, 'rentals' AS table_name, count(*) AS n FROM rentals
+      WHERE split_part(rental_id, '-', 2) = '6'
+      UNION ALL SELECT 'waiting', 'fact_rentals', count(*) FROM rentals
+      WHERE split_part(rental_id, '-', 2) <> '6' AND CAST(user_id AS INTEGER) % 10 = 0
+      UNION ALL SELECT 'waiting', 'fact_offers', count(*) FROM offers
+      WHERE CAST(user_id AS INTEGER) % 10 = 0)""", "rentals")
+def _(spark, sf):
+    # Planted faults: rentals with an odd status, and users that never come.
+    root, whole = work_dir(spark, "warehouse"), sources(spark, sf)
+    odd = F.element_at(F.split("rental_id", "-"), 2) == "6"
+    faulty = replace(
+        whole,
+        users=whole.users.filter(F.col("user_id").cast("int") % 10 != 0),
+        rentals=whole.rentals.withColumn("status", F.when(odd, "LOST").otherwise(F.col("status"))),
+    )
+    warehouse.refresh_warehouse(spark, faulty, root, src.FIRST_DAY, AS_OF, checked=True)
+    found = spark.read.parquet(f"{root}/dq").filter(
+        F.col("check_name").isin("quarantine", "waiting")
+        & F.col("table_name").isin("rentals", "fact_rentals", "fact_offers")
+    )
+    return found.drop("checked_at")
+
+
 def sources(spark, sf) -> warehouse.Sources:
     rentals = src.rentals(spark, sf).select(
         "rental_id", "offer_id", "user_id", "station_id", "started_at", "finished_at", "status",

@@ -102,13 +102,32 @@ def _(spark, sf):
     )
 
 
-@query("dm_user_cohorts", f"""
+COHORTS_SQL = f"""
 SELECT {day('cohort_month')} AS cohort_month, cohort_size, active_month_0, active_month_1,
-       avg_rentals_per_user, avg_revenue_per_user FROM cohorts""", "cohorts")
+       avg_rentals_per_user, avg_revenue_per_user FROM cohorts"""
+
+
+@query("dm_user_cohorts", COHORTS_SQL, "cohorts")
 def _(spark, sf):
     return cohorts(spark, sf)
 
 
+@query("dm_user_cohorts_versions", COHORTS_SQL, "cohorts")
+def _(spark, sf):
+    # Every user has a second version; the facts still point at the first one.
+    users = src.users(spark, sf)
+    first = dims.new_user_versions(users, src.FIRST_DAY)
+    versions = dims.scd2_merge(first, users.withColumn("phone", F.lit("+7")), "1998-07-01")
+    old = first.select("user_id", F.col("user_dwh_id").alias("_version"))
+    rentals = (
+        src.rental_facts(spark, sf)
+        .withColumnRenamed("user_dwh_id", "user_id")
+        .join(old, "user_id")
+        .withColumnRenamed("_version", "user_dwh_id")
+    )
+    return marts.dm_user_cohorts(versions, rentals, COHORT_AS_OF)
+
+
 @query("dm_hourly_demand", "SELECT * FROM hourly", "hourly")
 def _(spark, sf):
     return hourly(spark, sf)

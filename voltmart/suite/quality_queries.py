@@ -134,10 +134,18 @@ def _(spark, sf):
 
 
 @query("row_counts", f"""
-SELECT 'events' AS table_name, {day('ts')} AS load_date, count(*) AS row_count FROM events GROUP BY 2""")
+SELECT 'events' AS table_name, {day('ts')} AS load_date, count(*) AS row_count FROM events GROUP BY 2
+UNION ALL SELECT 'offers', {day('o_orderdate')}, count(*) FROM orders GROUP BY 2
+UNION ALL SELECT 'rentals', {day('l_shipdate')}, count(*) FROM lineitem GROUP BY 2""")
 def _(spark, sf):
-    events = src.rental_events(spark, sf).select(F.to_date("ts").alias("load_date"))
-    return quality.row_counts({"events": events})
+    days = lambda name, column: src.table(spark, sf, name).select(
+        F.to_date(column).alias("load_date")
+    )
+    return quality.row_counts({
+        "events": days("events", "ts"),
+        "offers": days("orders", "o_orderdate"),
+        "rentals": days("lineitem", "l_shipdate"),
+    })
 
 
 @query("check_fresh", shape(

@@ -262,18 +262,21 @@ VIEWS = {
                count(*) AS cohort_size,
                count(*) FILTER (EXISTS (SELECT 1 FROM rentals r WHERE r.user_id = u.user_id
                    AND r.started_at >= date_trunc('month', u.created_at)
-                   AND r.started_at < date_trunc('month', u.created_at) + INTERVAL 1 MONTH))
+                   AND r.started_at < least(date_trunc('month', u.created_at) + INTERVAL 1 MONTH,
+                                            TIMESTAMP '1996-06-16')))
                    AS active_month_0,
                count(*) FILTER (EXISTS (SELECT 1 FROM rentals r WHERE r.user_id = u.user_id
                    AND r.started_at >= date_trunc('month', u.created_at) + INTERVAL 1 MONTH
-                   AND r.started_at < date_trunc('month', u.created_at) + INTERVAL 2 MONTH))
+                   AND r.started_at < least(date_trunc('month', u.created_at) + INTERVAL 2 MONTH,
+                                            TIMESTAMP '1996-06-16')))
                    AS active_month_1,
                """ + mean("c.total_rentals") + """ AS avg_rentals_per_user,
                """ + mean("c.total_spent") + """ AS avg_revenue_per_user
         FROM users u
         LEFT JOIN (SELECT user_id, count(*) AS total_rentals, sum(final_cost) AS total_spent
-                   FROM rentals WHERE status = 'FINISHED' GROUP BY 1) c USING (user_id)
-        WHERE u.created_at >= TIMESTAMP '1995-06-01'
+                   FROM rentals WHERE status = 'FINISHED' AND started_at < TIMESTAMP '1996-06-16'
+                     AND started_at >= TIMESTAMP '1995-06-01' GROUP BY 1) c USING (user_id)
+        WHERE u.created_at >= TIMESTAMP '1995-06-01' AND u.created_at < TIMESTAMP '1996-06-16'
         GROUP BY 1""",
 }
 

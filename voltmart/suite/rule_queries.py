@@ -125,14 +125,16 @@ WITH requests AS (
          l_shipdate + CAST(l_quantity AS INTEGER) * INTERVAL 1 MINUTE AS ts
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 asked AS (
-  SELECT q.*, r.user_id AS owner, r.status,
-         coalesce(r.user_id = q.user_id AND r.status <> 'FINISHED', false) AS passing
-  FROM requests q LEFT JOIN rentals r USING (rental_id)),
+  SELECT q.*, r.user_id AS owner, r.rental_id IS NOT NULL AS known, r.status,
+         coalesce(r.rental_id IS NOT NULL AND r.user_id IS NOT DISTINCT FROM q.user_id
+                  AND r.status <> 'FINISHED', false) AS passing
+  FROM requests q LEFT JOIN rentals r ON r.rental_id = q.rental_id),
 placed AS (
   SELECT *, sum(CAST(passing AS INTEGER)) OVER (PARTITION BY rental_id ORDER BY ts, request_id
                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS place FROM asked)
 SELECT request_id, rental_id, user_id, {moment('ts')} AS ts,
-       CASE WHEN owner IS NULL THEN 'NOT_FOUND' WHEN owner <> user_id THEN 'USER_MISMATCH'
+       CASE WHEN NOT known THEN 'NOT_FOUND'
+            WHEN owner IS DISTINCT FROM user_id THEN 'USER_MISMATCH'
             WHEN passing AND place = 1 THEN 'OK' ELSE 'ALREADY_FINISHED' END AS outcome
 FROM placed""", "rentals")
 def _(spark, sf):
