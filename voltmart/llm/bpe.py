@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from voltmart.llm.common import map_documents
 
-LEXICON = 1 << 16  # words compiled into the automaton
-KNOWN_WORDS = 1 << 18  # words a worker remembers; beyond that it starts anew
+LEXICON = 1 << 17  # words compiled into the automaton
+KNOWN_WORDS = 1 << 17  # words a worker remembers
 
 
 @cache
@@ -56,6 +56,10 @@ def _class(*kinds: str) -> str:
 SPACES = "\t-\r \x85\xa0  -     　"
 
 
+# Fixed value: the tokenizer's splitting pattern.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 @cache
 def splitter() -> re.Pattern:
     """The splitting pattern of the tokenizer, spelled out in character ranges."""
@@ -66,10 +70,20 @@ def splitter() -> re.Pattern:
     )
 
 
-@cache
-def _unassigned() -> re.Pattern:
-    """Characters this Python's tables do not know; newer tables may count them as letters."""
-    return re.compile(f"[{_class('Cn')}]")
+_assigned: set[str] = set()
+
+
+def is_newer(text: str) -> bool:
+    """Whether a text has a character that this Python's tables do not know; newer tables may count it
+    as a letter."""
+    for character in set(text) - _assigned:
+        if unicodedata.category(character) == "Cn":
+            return True
+        _assigned.add(character)
+    return False
+
+
+_SINGLE = [bytes([byte]) for byte in range(256)]
 
 
 class Vocabulary:
@@ -94,7 +108,7 @@ class Vocabulary:
     def split(self, piece: str) -> list[bytes]:
         """The words of the splitting pattern. Where a character is newer than this Python's tables, the
         tokenizer library's own splitter decides."""
-        if not _unassigned().search(piece):
+        if not is_newer(piece):
             return [word.encode() for word in splitter().findall(piece)]
         from tokenizers import Tokenizer
 
@@ -108,17 +122,22 @@ class Vocabulary:
 
     def merge(self, word: bytes) -> list[int]:
         """The ids of one word: the pair of lowest rank is merged, leftmost first, until none is left."""
-        parts = [word[i : i + 1] for i in range(len(word))]
-        ranks, none = self.ranks, len(self.ranks)
+        parts = [_SINGLE[byte] for byte in word]
         if len(parts) > 256:
             return self._merge_long(parts)
-        while len(parts) > 1:
-            found = [ranks.get(pair, none) for pair in zip(parts, parts[1:])]
+        rank, none = self.ranks.get, len(self.ranks)
+        found = [rank(pair, none) for pair in zip(parts, parts[1:])]
+        while found:
             low = min(found)
             if low == none:
                 break
             at = found.index(low)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del found[at]
+            if at:
+                found[at - 1] = rank((parts[at - 1], parts[at]), none)
+            if at < len(found):
+                found[at] = rank((parts[at], parts[at + 1]), none)
         return [self.ids[p] for p in parts]
 
     def _merge_long(self, parts: list[bytes]) -> list[int]:
@@ -287,16 +306,15 @@ class Encoder:
         self.vocabulary, self.lexicon = vocabulary, lexicon
         self.known: dict[str, bytes] = {}
 
-    def learn(self, pieces: set[str]) -> None:
+    def learn(self, pieces: set[str]) -> list[str]:
         """Ids of pieces not met yet: as whole words of the automaton, or by the splitting pattern."""
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
         new = [p for p in pieces if p not in self.known]
         raw = [p.encode() for p in new]
         numbers = self.lexicon.look_up(raw) if self.lexicon else np.full(len(raw), -1)
         for piece, number in zip(new, numbers.tolist()):
             ids = self.lexicon.output(number) if number >= 0 else self.vocabulary.ids_of(piece)
             self.known[piece] = np.array(ids, "<u4").tobytes()
+        return new
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -307,15 +325,19 @@ class Encoder:
             for n, part in enumerate(pattern.split(text) if pattern else [text]):
                 parts.append(self.vocabulary.special[part] if n % 2 else words_of(part))
             cut.append(parts)
-        self.learn({w for parts in cut for p in parts if isinstance(p, list) for w in p})
+        new = self.learn({w for parts in cut for p in parts if isinstance(p, list) for w in p})
         known = self.known
-        return [
+        out = [
             b"".join(
                 b"".join(map(known.__getitem__, p)) if isinstance(p, list) else p.to_bytes(4, "little")
                 for p in parts
             )
             for parts in cut
         ]
+        if len(known) > KNOWN_WORDS:  # frequent words came early; later ones are not remembered
+            for piece in new:
+                del known[piece]
+        return out
 
     def decode(self, ids: bytes) -> str:
         tokens = self.vocabulary.tokens
@@ -363,7 +385,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 if len(counts) > KNOWN_WORDS:
                     yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
                     counts.clear()
-        yield pd.DataFrame({"word": list(counts), "n": list(counts.values())}).astype({"n": "int64"})
+        if counts:
+            yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
 
     return (
         docs.select("text").mapInPandas(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))

@@ -11,15 +11,17 @@ from __future__ import annotations
 import heapq
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltmart.llm.bpe import KNOWN_WORDS, words_of
+from voltmart.llm.bpe import PATTERN, Vocabulary, is_newer
 from voltmart.llm.common import map_documents, task_number
 from voltmart.session import cut_lineage
 
@@ -30,8 +32,13 @@ TAIL = 8  # an eighth of each remainder is cut off: small pieces even out what l
 WHOLE = 1 << 62  # sequences from here on hold one whole window of a document
 
 
-class PieceEncoder:
-    """Ids by the tokenizers library, word by word, remembering what has been met."""
+class TextEncoder:
+    """Ids as the tokenizers library gives them.
+
+    Texts are merged by tiktoken, over the vocabulary of the same file (a token's id is its rank); texts
+    with special tokens or characters newer than Python's tables, on which the two libraries could
+    differ, go through tokenizers.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -40,31 +47,29 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        # A special token inside a text also parts the white space around it: leave those to the library.
-        pieces = [None if any(s in t for s in self.special) else words_of(t) for t in texts]
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-        known = self.known
-        new = list({w for p in pieces if p for w in p if w not in known})
-        known.update(zip(new, self._ids(new)))
-        return [
-            self._ids([text])[0] if p is None else b"".join(map(known.__getitem__, p))
-            for text, p in zip(texts, pieces)
-        ]
+        with open(path, encoding="utf-8") as file:
+            vocabulary = Vocabulary(file.read())
+        self.special = list(vocabulary.special)
+        names = {s.encode() for s in self.special}
+        self.fast = tiktoken.Encoding(
+            "plain",
+            pat_str=PATTERN,
+            mergeable_ranks={t: n for t, n in vocabulary.ids.items() if t not in names},
+            special_tokens={},
+        )
+
+    def encode(self, text: str) -> np.ndarray:
+        """The ids of a text as little-endian unsigned 32-bit integers."""
+        if any(s in text for s in self.special) or is_newer(text):
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        else:
+            ids = self.fast.encode_ordinary(text)
+        return np.array(array("I", ids), "<u4")
 
 
 @lru_cache(1)
-def _piece_encoder(path: str) -> PieceEncoder:
-    return PieceEncoder(path)
+def _encoder(path: str) -> TextEncoder:
+    return TextEncoder(path)
 
 
 def cut_lengths(total: int, capacity: int = CAPACITY) -> list[int]:
@@ -110,25 +115,23 @@ def pack(sizes: list[int], capacity: int = CAPACITY) -> np.ndarray:
         found = karmarkar_karp(sizes, windows)
         if not len(sizes) or np.bincount(found, sizes).max() <= capacity:
             return found
-        windows += 1
+        windows += max(1, windows // 128)
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """(doc_id, text) -> one row per piece: (doc_id, start, length, ids_crc32, doc_tokens, task, number)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, number, last = _piece_encoder(tokenizer), 0, np.array([end], "<u4").tobytes()
+        encoder, number = _encoder(tokenizer), 0
         for batch in batches:
-            rows, keys = [], batch["doc_id"].tolist()
-            texts = [t or "" for t in batch["text"]]
-            for low in range(0, len(texts), 512):
-                for key, ids in zip(keys[low : low + 512], encoder.encode(texts[low : low + 512])):
-                    ids += last
-                    total, start = len(ids) // 4, 0
-                    for length in cut_lengths(total, capacity):
-                        crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
-                        rows.append((key, start, length, crc, total, task_number(), number))
-                        start, number = start + length, number + 1
+            rows = []
+            for key, text in zip(batch["doc_id"], batch["text"]):
+                ids = np.append(encoder.encode(text or ""), np.uint32(end))
+                raw, start = memoryview(ids.astype("<u4").tobytes()), 0
+                for length in cut_lengths(len(ids), capacity):
+                    crc = zlib.crc32(raw[4 * start : 4 * (start + length)])
+                    rows.append((key, start, length, crc, len(ids), task_number(), number))
+                    start, number = start + length, number + 1
             yield pd.DataFrame(rows, columns=columns)
 
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "task", "number"]
