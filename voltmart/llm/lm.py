@@ -36,7 +36,7 @@ from voltmart.llm.common import task_number
 from voltmart.session import cut_lineage, work_dir
 
 DISCOUNT = 0.75
-BLOCK_TOKENS = 1 << 22  # tokens of a block, about; documents are not split
+BLOCK_TOKENS = 1 << 20  # tokens of a block, about; documents are not split
 RANGE_KEYS = 1 << 21  # keys of a key range, about
 FOLDS, HELD_FOLD = 5, 1
 SHIFT = np.uint64(32)
