@@ -9,12 +9,12 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as spark_entry
 from check import rows_of
 from voltmart.operators import aggregates, dims, facts, keys, pricing, timeline
 from voltmart.plans import marts
 from voltmart.session import work_dir
 from voltmart.sources import extracts, sinks, standins as src
+from voltmart.suite import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -48,13 +48,13 @@ def test_duplicates_are_dropped_before_the_shuffle(spark):
     assert "Final" in above and "Exchange" in above and "Partial" in below
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_and_no_cross_product_in_plans(spark, name):
-    writes = {"refresh_warehouse", "refresh_warehouse_twice", "upsert_partitions", "replay_rentals",
-              "write_fact", "refresh_mart", "load_raw"}
+    writes = {"refresh_warehouse", "refresh_warehouse_twice", "refresh_warehouse_late", "refresh_checks",
+              "upsert_partitions", "replay_rentals", "write_fact", "refresh_mart", "load_raw"}
     if name in writes or name.startswith("st") and name.startswith(("stream", "start")):
         pytest.skip("runs jobs while it is built; covered by the query tests")
-    plan = plan_of(spark_entry.queries()[name](spark, SF))
+    plan = plan_of(QUERIES[name](spark, SF))
     for word in ("Python", "Pandas", "Arrow", "CartesianProduct"):
         assert word not in plan
 
@@ -88,7 +88,7 @@ def test_only_bounded_tables_are_broadcast_by_hint(spark):
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1",
                   spark__sql__adaptive__autoBroadcastJoinThreshold="-1"):
         for name in ("fact_rentals", "price_offers", "dm_station_stats", "asof_dim", "join_inner"):
-            assert "Broadcast" not in plan_of(spark_entry.queries()[name](spark, SF)), name
+            assert "Broadcast" not in plan_of(QUERIES[name](spark, SF)), name
 
 
 def test_hot_key_is_split_and_result_is_whole(spark):
@@ -215,7 +215,7 @@ def test_results_do_not_depend_on_partitions(spark, name):
     results = []
     for partitions in ("1", "7"):
         with settings(spark, spark__sql__shuffle__partitions=partitions):
-            df = spark_entry.queries()[name](spark, SF)
+            df = QUERIES[name](spark, SF)
             results.append(rows_of(df.columns, df.collect()))
     assert results[0] == results[1]
 
