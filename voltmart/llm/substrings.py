@@ -159,21 +159,29 @@ def _contexts(rows: DataFrame, unsettled: DataFrame) -> DataFrame:
     found = _with_texts(rows, wanted, "inner")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number = 0
+        number, out = 0, []
         unpack = zstandard.ZstdDecompressor().decompress
+
+        def frame() -> pd.DataFrame:
+            nonlocal number
+            rows = pd.DataFrame(out, columns=["key", "copy", "anchor", "first", "known", "bytes"])
+            rows["id"] = (task_number() << 36) + number + np.arange(len(out))
+            number += len(out)
+            out.clear()
+            return rows
+
         for batch in batches:
             for key, copy, data, runs in zip(
                 batch["key"], batch["copy"], batch["packed"], batch["runs"]
             ):
                 raw = unpack(data)
-                out = [
-                    (key, copy, r["anchor"], r["first"], r["known"], raw[r["first"] : r["last"] + LENGTH])
-                    for r in runs
-                ]
-                frame = pd.DataFrame(out, columns=["key", "copy", "anchor", "first", "known", "bytes"])
-                frame["id"] = (task_number() << 36) + number + np.arange(len(out))
-                number += len(out)
-                yield frame
+                for held in runs:
+                    first, data = held["first"], raw[held["first"] : held["last"] + LENGTH]
+                    out.append((key, copy, held["anchor"], first, held["known"], data))
+                if len(out) >= 10_000:
+                    yield frame()
+        if out:
+            yield frame()
 
     return found.drop("row").mapInPandas(
         run, "id long, key long, copy int, anchor int, first int, known boolean, bytes binary"
