@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
+from functools import wraps
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -127,7 +131,7 @@ def repeated_neighbours(
         else rows.repartitionByRange(*keys, *unique)
     )
     compared = cut_lineage(
-        dealt.sortWithinPartitions(*keys, *unique).mapInPandas(compare, f"{fields}, {flags}"),
+        dealt.sortWithinPartitions(*keys, *unique).mapInPandas(returns_memory(compare), f"{fields}, {flags}"),
         "sorted",
     )
     # border: 1 the first row of its range, 2 the last one, 3 both. Two rows per range at most.
@@ -161,10 +165,26 @@ def map_documents(docs: DataFrame, run, columns: str, text: str = "text") -> Dat
     ids beyond 2^53 survive pandas; they come back with their own type."""
     kind = docs.schema["doc_id"].dataType
     found = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col(text).alias("text"))
-    out = found.mapInPandas(run, f"doc_id string, {columns}")
+    out = found.mapInPandas(returns_memory(run), f"doc_id string, {columns}")
     return out.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
+def returns_memory(run):
+    """Wrap a function over batches: at its end the worker, which stays for later tasks, hands what it
+    has freed back to the system. Allocators keep it otherwise, and it adds up over stages."""
+
+    @wraps(run)
+    def wrapped(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim is not None:
+            trim(0)
+
+    return wrapped
+
+
 def task_number() -> int:
     """The number of the running task's partition; the same one when a lost task runs again."""
     context = TaskContext.get()

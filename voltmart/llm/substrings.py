@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltmart.llm.common import repeated_neighbours, task_number
+from voltmart.llm.common import repeated_neighbours, returns_memory, task_number
 from voltmart.session import cut_lineage
 
 LENGTH = 200
@@ -146,7 +146,7 @@ def _sampled(rows: DataFrame) -> DataFrame:
         )
 
     return rows.select("key", "copy", "text").mapInPandas(
-        run, "key long, copy int, anchor int, first int, last int, core long, whole long, place long"
+        returns_memory(run), "key long, copy int, anchor int, first int, last int, core long, whole long, place long"
     )
 
 
@@ -184,7 +184,7 @@ def _contexts(rows: DataFrame, unsettled: DataFrame) -> DataFrame:
             yield frame()
 
     return found.drop("row").mapInPandas(
-        run, "id long, key long, copy int, anchor int, first int, known boolean, bytes binary"
+        returns_memory(run), "id long, key long, copy int, anchor int, first int, known boolean, bytes binary"
     )
 
 
@@ -226,7 +226,7 @@ def _groups(contexts: DataFrame) -> DataFrame:
             yield frame
 
     return contexts.select("id", "anchor", "first", "bytes").mapInPandas(
-        run, "id long, low int, high int, core long, whole long"
+        returns_memory(run), "id long, low int, high int, core long, whole long"
     )
 
 
@@ -250,7 +250,7 @@ def _windows(contexts: DataFrame, groups: DataFrame) -> DataFrame:
     return (
         contexts.select("id", "bytes")
         .join(wanted, "id")
-        .mapInPandas(run, "id long, low int, core long, whole long")
+        .mapInPandas(returns_memory(run), "id long, low int, core long, whole long")
     )
 
 
