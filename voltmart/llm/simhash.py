@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voltmart.llm import shingles
 from voltmart.llm.common import components, map_documents
 from voltmart.session import cut_lineage
 
@@ -152,16 +153,17 @@ def near_prints(prints: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """One document of each group of near copies, with all columns of docs: the one of smallest doc_id.
-    Rows that share a doc_id count as one document, of which any one row stays; a row with a null doc_id
-    stays only for a group that has no other id, and one does."""
-    _, named = _named(docs, words)
+    Near copies are linked by the similarity of their shingle sets (shingles.py), not by fingerprints,
+    whose two bits are far narrower than 0.8. Rows that share a doc_id count as one document, of which any
+    one row stays; a row with a null doc_id stays only for a group that has no other id, and one does."""
+    named = _linked(docs, words)
     # component_id is the smallest doc_id of its group.
     chosen = named.select(F.col("component_id").alias("doc_id")).distinct()
     kept = docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    # Rows without an id are found by their fingerprints.
+    # Rows without an id are found by their shingle sets.
     bare = docs.where("doc_id is null").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     bare = (
-        bare.withColumn("fp", _print_column(words)("row.text"))
+        bare.withColumn("fp", shingles.digest_column(words)("row.text"))
         .join(named.where("component_id is null"), "fp")
         .dropDuplicates(["root"])
         .select("row.*")
@@ -169,13 +171,16 @@ def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     return kept.unionByName(bare)
 
 
-def _print_column(words: int):
-    @F.pandas_udf("long")
-    def run(texts: pd.Series) -> pd.Series:
-        found = [simhash(t.encode() if t else b"", words) for t in texts]
-        return pd.Series(np.array(found, np.uint64).view(np.int64))
-
-    return run
+def _linked(docs: DataFrame, words: int) -> DataFrame:
+    """(fp, root, component_id) of every distinct set of shingles, by links of similar sets."""
+    classes = cut_lineage(
+        shingles.sketches(docs, words).groupBy("fp").agg(
+            F.min("doc_id").alias("low"), F.first("size").alias("size"), F.first("bands").alias("bands"),
+            F.min("sample").alias("sample"),
+        ),
+        "classes",
+    )
+    return _grouped(classes, shingles.near_sets(docs, classes, words))
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
@@ -200,10 +205,14 @@ def _named(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
     """(doc_id, fp) of every document, and (fp, root, component_id) of every fingerprint."""
     prints = cut_lineage(fingerprints(docs, words), "fingerprints")
     classes = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "classes")
-    reached = components(near_prints(classes.select("fp")))
+    return prints, _grouped(classes, near_prints(classes.select("fp")))
+
+
+def _grouped(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """Classes (fp, low) and their links -> (fp, root, component_id), the smallest doc_id of each group."""
+    reached = components(links)
     rooted = classes.join(reached.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root")
     )
     smallest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = cut_lineage(rooted.join(smallest, "root").select("fp", "root", "component_id"), "named")
-    return prints, named
+    return cut_lineage(rooted.join(smallest, "root").select("fp", "root", "component_id"), "named")
