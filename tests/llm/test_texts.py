@@ -259,5 +259,16 @@ def test_licences(spark):
                    (1, None, ""), (None, None, "Apache-2.0"), (7, None, "")}
 
 
+def test_whole_long_licences_and_given_notices(spark):
+    rows = [(i, open(f"/usr/share/common-licenses/{f}", encoding="utf-8").read()) for i, f in enumerate(["Apache-2.0", "GPL-2", "GPL-3", "LGPL-2.1", "LGPL-3", "MPL-2.0", "CC0-1.0"])]
+    rows += [(10, rows[0][1][: rows[0][1].index("APPENDIX")]), (11, rows[2][1].upper()), (12, rows[2][1][:-200]), (13, "Some text\nfree for ANY use.\nmore")]
+    docs = spark.createDataFrame([(k, t, "k", "c") for k, t in rows], SCHEMA)
+    got = {r.doc_id: r.license for r in licenses.scan(docs).collect()}
+    assert got == {0: "Apache-2.0", 1: "GPL-2.0-only", 2: "GPL-3.0-only", 3: "LGPL-2.1-only", 4: "LGPL-3.0-only", 5: "MPL-2.0",
+                   6: "CC0-1.0", 10: "Apache-2.0", 11: "GPL-3.0-only", 12: None, 13: None}
+    given = spark.createDataFrame([("Free", "Free for any use")], "license string, text string")
+    assert {r.doc_id: r.notices for r in licenses.scan(docs, notices=given).collect()}[13] == "Free"
+
+
 def test_known_notices_carry_a_hint():
     assert all(any(h in text.lower() for h in licenses.HINTS) or "cc" in text.lower() for _, text in NOTICES)

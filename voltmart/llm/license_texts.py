@@ -1,9 +1,11 @@
 """Licence texts and licence notices, by SPDX identifier.
 
-The texts are those of the public SPDX list, without copyright lines. More can be given to the operator as
-a table.
+The texts are those of the public SPDX list, without copyright lines, and the long ones in license_files, as
+distributions ship them. More can be given to the operator as a table.
 """
 
+from importlib.resources import files
+
 _MIT_GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this
 software and associated documentation files (the "Software"), to deal in the Software without restriction,
 including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense,
@@ -117,6 +119,22 @@ TEXTS = [
     ("Apache-2.0", _APACHE_HEADER),
 ]
 
+# Whole texts by file. A text alone does not say "or later"; "only" is what it is without such words.
+FILES = [
+    ("Apache-2.0", "Apache-2.0"), ("Artistic-1.0-Perl", "Artistic"), ("BSD-3-Clause", "BSD"),
+    ("CC0-1.0", "CC0-1.0"), ("GFDL-1.2-only", "GFDL-1.2"), ("GFDL-1.3-only", "GFDL-1.3"),
+    ("GPL-1.0-only", "GPL-1"), ("GPL-2.0-only", "GPL-2"), ("GPL-3.0-only", "GPL-3"),
+    ("LGPL-2.0-only", "LGPL-2"), ("LGPL-2.1-only", "LGPL-2.1"), ("LGPL-3.0-only", "LGPL-3"),
+    ("MPL-1.1", "MPL-1.1"), ("MPL-2.0", "MPL-2.0"),
+]
+_END = "END OF TERMS AND CONDITIONS"  # what follows tells how to apply the licence and is often left out
+
+for _name, _file in FILES:
+    _text = (files("voltmart.llm") / "license_files" / f"{_file}.txt").read_text("utf-8")
+    TEXTS.append((_name, _text))
+    if _END in _text:
+        TEXTS += [(_name, _text[: _text.index(_END)]), (_name, _text[: _text.index(_END)] + _END)]
+
 # One-line notices; each is the whole text of a line.
 NOTICES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),

@@ -15,7 +15,7 @@ from voltmart.llm.license_texts import IDENTIFIERS, NOTICES, SPELLINGS, TEXTS
 # A line that opens like this names the owner, not the terms.
 COPYRIGHT = r"(^|\n)[ \t#*/;-]*(copyright[ \t]*(\(c\)|©|[0-9])|\(c\)[ \t]|©|all rights reserved)[^\n]*"
 MARKS = r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+"  # all of ASCII but lower-case letters and digits
-# Every known notice has one of these in its canonical form.
+# Every known notice has one of these; lines are picked by them only where no other notices are given.
 HINTS = ("licens", "licenc")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -71,7 +71,10 @@ def scan(docs: DataFrame, texts: DataFrame | None = None, notices: DataFrame | N
         F.xxhash64("doc_id", "text").alias("key"),
         F.hash("doc_id", "text").alias("copy"),
     )
-    hinted = lambda x: F.lower(x).contains(HINTS[0]) | F.lower(x).contains(HINTS[1])
+    if notices is None:
+        hinted = lambda x: F.lower(x).contains(HINTS[0]) | F.lower(x).contains(HINTS[1])
+    else:
+        hinted = lambda x: x != ""
     lines = rows.where(hinted(F.col("text"))).select(
         "key", "copy", F.explode(F.filter(F.split("text", "\n"), hinted)).alias("line")
     )
