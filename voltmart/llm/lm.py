@@ -8,8 +8,10 @@ history. Weights are those of interpolated absolute discounting, D being the dis
     arc       p(w | h) = (c(h, w) - D) / c(h) + D * T(h) / c(h) * p(w)
     failure   D * T(h) / c(h), T(h) being the number of different words seen after h
 
-so that every state's probabilities add up to one. A text is read once from left to right: the state is
-carried from token to token, arcs or failure arcs are followed, and their logarithms are added up.
+so that every state's probabilities add up to one. The order is two: a state is the one word before, with a
+single failure arc to the empty history, so no state has to be carried. Each distinct bigram of a block is
+weighed once, which is its arc or its failure arc, and these weights are gathered per token and added up.
+Longer contexts are not counted.
 
 The model grows with the corpus, so it is neither collected nor broadcast. Documents are read in blocks,
 each holding its tokens as numbers of its own word list. Blocks send their n-gram keys (64-bit hashes,
@@ -273,7 +275,7 @@ def traverse(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Log10 probability of each document by the automaton, and by the unigram base.
 
-    All documents advance as one array: `before` holds the state each token is read from.
+    The weights of distinct bigrams are gathered for all tokens and added up per document.
     """
     d, n = DISCOUNT, max(total, 1)
     unigram = np.where(c1 > 0, (c1 - d) / n, d * known / n if known else 1.0)
