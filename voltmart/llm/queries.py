@@ -14,6 +14,7 @@ from voltmart.llm import (
     lm,
     packing,
     quality,
+    rules,
     simhash,
     substrings,
     topk,
@@ -108,3 +109,8 @@ def op9_vectors(table) -> DataFrame:
 @register(licenses.oracle())
 def op10_licenses(table) -> DataFrame:
     return licenses.scan(table("documents"))
+
+
+@register(rules.oracle())
+def op11_rules(table) -> DataFrame:
+    return rules.judge(table("documents")).drop("lang", "source", "n_lines")
