@@ -12,6 +12,7 @@ from voltmart.llm import (
     html,
     licenses,
     lm,
+    nra,
     packing,
     quality,
     rules,
@@ -114,3 +115,8 @@ def op10_licenses(table) -> DataFrame:
 @register(rules.oracle())
 def op11_rules(table) -> DataFrame:
     return rules.judge(table("documents")).drop("lang", "source", "n_lines")
+
+
+@register(nra.oracle())
+def op12_nra(table) -> DataFrame:
+    return nra.rank_documents(table("documents"), table("benchmark"))
