@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from voltmart.operators.scan import MOST, running_sum, scan
+from voltmart.session import cut_lineage
+
 CELL_CENTS = 100_000
 
 
@@ -74,16 +77,16 @@ def exact_median(
     )
 
 
-def rank_desc(df: DataFrame, column: str, out: str) -> DataFrame:
+def rank_desc(df: DataFrame, column: str, out: str, most: int = MOST) -> DataFrame:
     """RANK() OVER (ORDER BY column DESC) without sorting all rows in one task.
 
-    The rank depends only on the value: one plus the rows with a larger value. So the window runs
-    over the distinct values. For counts of N events these number at most about sqrt(2N).
+    The rank depends only on the value: one plus the rows with a larger value. Rows are counted per
+    value, the counts run over the distinct values (in ranges where these are many), and the ranks
+    are joined back. NULL ranks last.
     """
-    values = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    above = Window.orderBy(F.desc(column)).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = values.select(
-        F.col(column).alias("_value"),
-        (F.coalesce(F.sum("_n").over(above), F.lit(0)) + 1).cast("bigint").alias(out),
+    values = cut_lineage(df.groupBy(F.col(column).alias("_value")).agg(F.count(F.lit(1)).alias("_n")), "values")
+    above = scan(
+        values, [], [F.desc("_value")], {out: running_sum(F.col("_n"))}, inclusive=False, most=most
     )
+    ranks = above.select("_value", (F.coalesce(out, F.lit(0)) + 1).cast("bigint").alias(out))
     return df.join(ranks, df[column].eqNullSafe(ranks["_value"])).drop("_value")

@@ -1,65 +1,34 @@
-"""Ordered look-ups along a key's timeline that survive a key holding a third of all rows.
-
-A plain window per key would sort such a key in one task. Here a timeline is cut into calendar
-slices: rows meet only inside their (key, slice), and one summary row per slice carries the answer
-across slice borders. The summaries of a key are bounded by the calendar, not by its rows; `unit`
-makes the slices finer where a key is busier still.
-"""
+"""Ordered look-ups along a key's timeline; scan.py keeps them even where one key holds a third of all rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-
+from pyspark.sql import DataFrame, functions as F
 
-def _slice(ts: str, unit: str) -> Column:
-    return F.date_trunc(unit, F.col(ts))
+from voltmart.operators.scan import MOST, last_known, running_max, scan
 
 
 def with_next(
-    df: DataFrame, key: str, ts: str, tie: str, value: str, out: str, unit: str = "hour"
+    df: DataFrame, key: str, ts: str, tie: str, value: str, out: str, most: int = MOST
 ) -> DataFrame:
     """`out` = `value` of the next row of the same key by (ts, tie), NULL after the last row."""
-    rows = df.withColumn("_slice", _slice(ts, unit))
-    inside = Window.partitionBy(key, "_slice").orderBy(ts, tie)
-    rows = rows.withColumn("_near", F.lead(F.struct(value)).over(inside))
-    firsts = rows.groupBy(key, "_slice").agg(
-        F.min_by(F.struct(value), F.struct(ts, tie)).alias("_first")
-    )
-    across = Window.partitionBy(key).orderBy("_slice")
-    firsts = firsts.select(key, "_slice", F.lead("_first").over(across).alias("_far"))
-    return (
-        rows.join(firsts, [key, "_slice"], "left")
-        .withColumn(out, F.coalesce("_near", "_far")[value])
-        .drop("_slice", "_near", "_far")
-    )
+    # Read backwards, the next row is the last one seen. The struct is never NULL, the value may be.
+    backwards = [F.desc(ts), F.desc(tie)]
+    found = scan(df, [key], backwards, {"_next": last_known(F.struct(value))}, inclusive=False, most=most)
+    return found.withColumn(out, F.col("_next")[value]).drop("_next")
 
 
 def with_prior_max(
-    df: DataFrame, key: str, ts: str, tie: str, value: str, out: str, unit: str = "hour"
+    df: DataFrame, key: str, ts: str, tie: str, value: str, out: str, most: int = MOST
 ) -> DataFrame:
     """`out` = largest `value` among the earlier rows of the same key, NULL for the first row."""
-    rows = df.withColumn("_slice", _slice(ts, unit))
-    inside = (
-        Window.partitionBy(key, "_slice")
-        .orderBy(ts, tie)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    rows = rows.withColumn("_near", F.max(value).over(inside))
-    tops = rows.groupBy(key, "_slice").agg(F.max(value).alias("_top"))
-    across = (
-        Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    tops = tops.select(key, "_slice", F.max("_top").over(across).alias("_far"))
-    return (
-        rows.join(tops, [key, "_slice"], "left")
-        .withColumn(out, F.greatest("_near", "_far"))
-        .drop("_slice", "_near", "_far")
+    return scan(
+        df, [key], [F.asc(ts), F.asc(tie)], {out: running_max(F.col(value))}, inclusive=False, most=most
     )
 
 
 def first_following(
     probes: DataFrame, rows: DataFrame, key: str, at: str, after: str, ts: str, tie: str,
-    picked: list[str], unit: str = "hour",
+    picked: list[str], most: int = MOST,
 ) -> DataFrame:
     """Each probe with the first row of its key that follows its place on the timeline.
 
@@ -76,29 +45,10 @@ def first_following(
         key, F.col(ts).alias("_t"), F.col(tie).alias("_tie"), F.lit(None).alias("_probe"),
         carried.alias("_row"),
     )
-    line = marks.unionByName(points).withColumn("_slice", _slice("_t", unit))
+    line = marks.unionByName(points)
     is_row = F.col("_row").isNotNull()
-    # Read backwards, the nearest following row is the last one seen, which needs one pass.
-    backwards = (
-        Window.partitionBy(key, "_slice")
-        .orderBy(F.desc("_t"), F.desc_nulls_last("_tie"), is_row)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    line = line.withColumn("_near", F.last("_row", ignorenulls=True).over(backwards))
-    firsts = line.groupBy(key, "_slice").agg(
-        F.min_by("_row", F.when(is_row, F.struct("_t", "_tie"))).alias("_head")
-    )
-    later = (
-        Window.partitionBy(key)
-        .orderBy(F.desc("_slice"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    firsts = firsts.select(
-        key, "_slice", F.last("_head", ignorenulls=True).over(later).alias("_far")
-    )
-    found = (
-        line.filter(F.col("_probe").isNotNull())
-        .join(firsts, [key, "_slice"], "left")
-        .withColumn("_hit", F.coalesce("_near", "_far"))
+    backwards = [F.desc("_t"), F.desc_nulls_last("_tie"), is_row]
+    found = scan(line, [key], backwards, {"_hit": last_known(F.col("_row"))}, inclusive=False, most=most)
+    return found.filter(F.col("_probe").isNotNull()).select(
+        "_probe.*", *[F.col(f"_hit.{c}").alias(f"next_{c}") for c in picked]
     )
-    return found.select("_probe.*", *[F.col(f"_hit.{c}").alias(f"next_{c}") for c in picked])
