@@ -19,6 +19,7 @@ from voltmart.llm import (
     simhash,
     substrings,
     topk,
+    trie,
     vectors,
 )
 from voltmart.session import tune
@@ -120,3 +121,8 @@ def op11_rules(table) -> DataFrame:
 @register(nra.oracle())
 def op12_nra(table) -> DataFrame:
     return nra.rank_documents(table("documents"), table("benchmark"))
+
+
+@register(trie.oracle())
+def op13_trie(table) -> DataFrame:
+    return trie.prefix_trie(table("conversations"))
