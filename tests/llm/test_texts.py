@@ -58,13 +58,38 @@ def test_automaton_shares_suffixes_and_finds_all_words(tmp_path):
     lexicon = bpe.Lexicon(str(path))
     asked = [*words, b"", b"ta", b"tapss", b"z"]
     found = lexicon.look_up(asked)
-    assert [lexicon.output(n).tolist() if n >= 0 else None for n in found] == [*words.values(), None, None, None, None]
+    assert (found[len(words):] == -1).all()
+    ids = [np.frombuffer(x, "<u4").tolist() for x in lexicon.outputs(found[: len(words)])]
+    assert ids == list(words.values())
     assert len(lexicon.final) < 9  # tap(s) and top(s) share their ends
     empty = tmp_path / "empty.bin"
     empty.write_bytes(bpe.compile_lexicon({}))
     assert bpe.Lexicon(str(empty)).look_up([b"a", b""]).tolist() == [-1, -1]
 
 
+def test_words_merged_side_by_side_equal_single_ones():
+    vocabulary = bpe._vocabulary(tokenizer_file())
+    rng = random.Random(8)
+    pieces = [" the", "straße", "internationalisation", "été", "aaaa", "0" * 64, "z" * 65, "ab" * 500, "\x00\x01", "🎉🎉"]
+    pieces += ["".join(rng.choice("etaoins rhldcué") for _ in range(rng.randint(1, 70))) for _ in range(3000)]
+    words = [p.encode() for p in pieces]
+    expected = [np.array(vocabulary.merge(w), "<u4").tobytes() for w in words]
+    assert vocabulary.merge_all(words) == expected
+    assert vocabulary.merge_all([]) == []
+
+
+def test_the_lexicon_is_shipped_once_and_its_words_are_bounded(spark):
+    docs = spark.createDataFrame([(i, "some words come again and again, others once: " + "x" * i) for i in range(90)], "doc_id long, text string")
+    first = bpe.ship_lexicon(docs, tokenizer_file())
+    files = set(spark.sparkContext.listFiles)
+    assert bpe.ship_lexicon(docs, tokenizer_file()) == first
+    assert set(spark.sparkContext.listFiles) == files
+    words = bpe.frequent_words(docs, 5)
+    assert 0 < len(words) <= 5 and set(words) <= {"some", " words", " come", " again", " and", " again,", " others", " once:"} or not words
+    assert bpe.frequent_words(docs, 10_000) and all(len(w.encode()) <= bpe.LONG_WORD for w in bpe.frequent_words(docs, 10_000))
+    assert len(bpe.frequent_words(docs, 20)) <= 20
+
+
 def test_splitting_only_differs_on_characters_newer_than_the_tables(library):
     import unicodedata
 

@@ -13,7 +13,6 @@ import json
 import os
 import re
 import sys
-import tempfile
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -26,9 +25,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltmart.llm.common import map_documents
+from voltmart.session import cut_lineage, shared_root
 
 LEXICON = 1 << 17  # words compiled into the automaton
 KNOWN_WORDS = 1 << 17  # words a worker remembers
+LONG_WORD = 64  # bytes; longer words are merged one by one and stay out of the automaton
+TOGETHER = 1 << 14  # words merged side by side
+EXACT_COUNTS = 4096  # counts of words told apart one by one in the histogram; doublings beyond
 
 
 @cache
@@ -120,6 +123,25 @@ class Vocabulary:
     def ids_of(self, piece: str) -> list[int]:
         return [i for word in self.split(piece) for i in self.merge(word)]
 
+    def merge_all(self, words: list[bytes]) -> list[bytes]:
+        """The ids of many words, as little-endian unsigned 32-bit integers: words of up to LONG_WORD bytes
+        side by side, one merge of each per round, longer ones by themselves."""
+        if not hasattr(self, "pairs"):
+            self.pairs = Pairs(self)
+        out: list[bytes] = [b""] * len(words)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        for place in np.flatnonzero(lengths > LONG_WORD).tolist():
+            out[place] = np.array(self.merge(words[place]), "<u4").tobytes()
+        low = 0
+        for high in (4, 8, 12, 16, 24, 32, LONG_WORD):
+            mine = np.flatnonzero((lengths > low) & (lengths <= high))
+            for start in range(0, len(mine), TOGETHER):
+                chosen = mine[start : start + TOGETHER].tolist()
+                for place, ids in zip(chosen, self.pairs.merge([words[i] for i in chosen], high)):
+                    out[place] = ids
+            low = high
+        return out
+
     def merge(self, word: bytes) -> list[int]:
         """The ids of one word: the pair of lowest rank is merged, leftmost first, until none is left."""
         parts = [_SINGLE[byte] for byte in word]
@@ -169,6 +191,74 @@ class Vocabulary:
         return [self.ids[p] for p in parts if p is not None]
 
 
+class Pairs:
+    """The merges as arrays: what a pair of tokens becomes, and in which order pairs are merged."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        ids, rows = vocabulary.ids, []
+        for (a, b), rank in vocabulary.ranks.items():
+            rows.append((ids[a], ids[b], rank, ids[a + b]))
+        first, second, ranks, merged = np.array(rows or np.zeros((0, 4)), np.int64).T
+        keys = first << 32 | second
+        order = np.argsort(keys)
+        self.keys, self.ranks, self.merged = keys[order], ranks[order].astype(np.int32), merged[order].astype(np.int32)
+        self.none = np.int32(len(keys))  # the place of pairs that are never merged
+        self.by_rank = np.append(np.argsort(self.ranks), self.none)
+        self.single = np.array([ids[byte] for byte in _SINGLE], np.int32)
+
+    def rank(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """The rank of each pair; the number of merges for pairs that have none."""
+        if not len(self.keys):
+            return np.full(first.shape, self.none)
+        wanted = first.astype(np.int64) << 32 | second
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return np.where(self.keys[at] == wanted, self.ranks[at], self.none)
+
+    @property
+    def of_bytes(self) -> np.ndarray:
+        if not hasattr(self, "_of_bytes"):
+            self._of_bytes = self.rank(np.repeat(self.single, 256), np.tile(self.single, 256))
+        return self._of_bytes
+
+    def merge(self, words: list[bytes], width: int) -> list[bytes]:
+        """Each round merges, in every word, the leftmost of the pairs of lowest rank."""
+        count = len(words)
+        raw = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(count, width)
+        lengths = np.fromiter(map(len, words), np.int64, count)
+        tokens = self.single[raw]
+        ranks = np.full((count, width), self.none)
+        ranks[:, :-1] = self.of_bytes[raw[:, :-1].astype(np.int64) << 8 | raw[:, 1:]]
+        places = np.arange(width)
+        ranks[places >= lengths[:, None] - 1] = self.none
+        active = np.arange(count)
+        while len(active):
+            mine = ranks[active]
+            at = mine.argmin(axis=1)
+            lowest = mine[np.arange(len(active)), at]
+            found = lowest < self.none
+            active, at, lowest, mine = active[found], at[found], lowest[found], mine[found]
+            if not len(active):
+                break
+            row = np.arange(len(active))
+            # Everything behind the pair's second token moves up by one place.
+            shifted = np.minimum(places + (places > at[:, None]), width - 1)
+            held = np.take_along_axis(tokens[active], shifted, 1)
+            mine = np.take_along_axis(mine, shifted, 1)
+            held[row, at] = self.merged[self.by_rank[lowest]]
+            lengths[active] -= 1
+            size = lengths[active]
+            right = np.minimum(at + 1, width - 1)
+            mine[row, at] = np.where(at + 1 < size, self.rank(held[row, at], held[row, right]), self.none)
+            left = np.maximum(at - 1, 0)
+            before = np.where(at > 0, self.rank(held[row, left], held[row, at]), mine[row, left])
+            mine[row, left] = before
+            mine[row, size - 1] = self.none
+            tokens[active], ranks[active] = held, mine
+        flat = tokens[places < lengths[:, None]].astype("<u4").tobytes()
+        ends = np.cumsum(4 * lengths)
+        return [flat[a:b] for a, b in zip((ends - 4 * lengths).tolist(), ends.tolist())]
+
+
 def words_of(text: str) -> list[str]:
     """Cut a text where the splitting pattern always cuts: before a space that a non-space follows.
 
@@ -295,8 +385,13 @@ class Lexicon:
             step += 1
         return found
 
-    def output(self, number: int) -> np.ndarray:
-        return self.ids[self.offsets[number] : self.offsets[number + 1]]
+    def outputs(self, numbers: np.ndarray) -> list[bytes]:
+        """The ids of words by number, as little-endian unsigned 32-bit integers."""
+        starts, ends = self.offsets[numbers], self.offsets[numbers + 1]
+        sizes = ends - starts
+        places = np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
+        flat, upto = self.ids[places].astype("<u4").tobytes(), np.cumsum(4 * sizes)
+        return [flat[a:b] for a, b in zip((upto - 4 * sizes).tolist(), upto.tolist())]
 
 
 class Encoder:
@@ -311,9 +406,16 @@ class Encoder:
         new = [p for p in pieces if p not in self.known]
         raw = [p.encode() for p in new]
         numbers = self.lexicon.look_up(raw) if self.lexicon else np.full(len(raw), -1)
-        for piece, number in zip(new, numbers.tolist()):
-            ids = self.lexicon.output(number) if number >= 0 else self.vocabulary.ids_of(piece)
-            self.known[piece] = np.array(ids, "<u4").tobytes()
+        hits = np.flatnonzero(numbers >= 0)
+        if len(hits):
+            for place, ids in zip(hits.tolist(), self.lexicon.outputs(numbers[hits])):
+                self.known[new[place]] = ids
+        unseen = np.flatnonzero(numbers < 0).tolist()
+        # Most pieces are a space and letters, one word of the pattern.
+        words = [[raw[i]] if new[i][1:].isalpha() and new[i][0] == " " else self.vocabulary.split(new[i]) for i in unseen]
+        merged = iter(self.vocabulary.merge_all([w for part in words for w in part]))
+        for i, part in zip(unseen, words):
+            self.known[new[i]] = next(merged) if len(part) == 1 else b"".join([next(merged) for _ in part])
         return new
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -393,22 +495,47 @@ def word_counts(docs: DataFrame) -> DataFrame:
     )
 
 
+def frequent_words(docs: DataFrame, size: int) -> list[str]:
+    """At most `size` words, those above a count that a histogram of all words' counts gives. The words
+    are the only thing that reaches the driver, and none is longer than LONG_WORD bytes."""
+    counts = cut_lineage(word_counts(docs).where(F.octet_length("word") <= LONG_WORD), "words")
+    doubling = F.expr("shiftleft(1L, length(bin(n)) - 1)")
+    above = F.when(F.col("n") < EXACT_COUNTS, F.col("n")).otherwise(doubling)
+    histogram = counts.groupBy(above.alias("low")).agg(F.count(F.lit(1)).alias("words")).collect()
+    least, taken = None, 0
+    for row in sorted(histogram, key=lambda r: -r.low):
+        taken += row.words
+        if taken > size:
+            break
+        least = row.low
+    if least is None:
+        return []
+    return [r.word for r in counts.where(F.col("n") >= least).select("word").collect()]
+
+
+def _write_shared(spark: SparkSession, path: str, data: bytes) -> None:
+    """Write a file where all executors and the driver can reach it, whatever file system that is."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target, True)
+    out.write(bytearray(data))
+    out.close()
+
+
 def ship_lexicon(docs: DataFrame, tokenizer: str, size: int = LEXICON) -> str:
-    """Compile the `size` most frequent words (ties: the smaller word) and ship the file to executors.
+    """Compile up to `size` of the most frequent words and hand the file to all executors, later ones too.
 
-    The words that reach the driver are bounded by `size`; counts cover all documents.
+    It is named by its content and lies in the shared folder; a session that shipped it before uses it again.
     """
     spark: SparkSession = docs.sparkSession
-    top = word_counts(docs).orderBy(F.desc("n"), "word").limit(size).select("word").toPandas()["word"]
+    top = sorted(frequent_words(docs, size))
     vocabulary = _vocabulary(tokenizer)
-    entries = {w.encode(): vocabulary.ids_of(w) for w in top}
-    data = compile_lexicon(entries)
+    data = compile_lexicon({w.encode(): vocabulary.ids_of(w) for w in top})
     name = f"lexicon-{hashlib.sha256(data).hexdigest()[:24]}.bin"
-    # addFile takes the driver's copy and hands it to every executor, also to later ones.
-    folder = tempfile.mkdtemp(prefix="lexicon-")
-    with open(os.path.join(folder, name), "wb") as file:
-        file.write(data)
-    spark.sparkContext.addFile(os.path.join(folder, name))
+    if not any(path.endswith(f"/{name}") for path in spark.sparkContext.listFiles):
+        path = f"{shared_root(spark)}/{name}"
+        _write_shared(spark, path, data)
+        spark.sparkContext.addFile(path)
     return name
 
 

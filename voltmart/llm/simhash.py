@@ -18,10 +18,9 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voltmart.llm import shingles
 from voltmart.llm.common import components, map_documents
 from voltmart.session import cut_lineage
 
@@ -152,35 +151,23 @@ def near_prints(prints: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """One document of each group of near copies, with all columns of docs: the one of smallest doc_id.
-    Near copies are linked by the similarity of their shingle sets (shingles.py), not by fingerprints,
-    whose two bits are far narrower than 0.8. Rows that share a doc_id count as one document, of which any
-    one row stays; a row with a null doc_id stays only for a group that has no other id, and one does."""
-    named = _linked(docs, words)
-    # component_id is the smallest doc_id of its group.
-    chosen = named.select(F.col("component_id").alias("doc_id")).distinct()
-    kept = docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    # Rows without an id are found by their shingle sets.
-    bare = docs.where("doc_id is null").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    bare = (
-        bare.withColumn("fp", shingles.digest_column(words)("row.text"))
-        .join(named.where("component_id is null"), "fp")
-        .dropDuplicates(["root"])
-        .select("row.*")
-    )
-    return kept.unionByName(bare)
-
-
-def _linked(docs: DataFrame, words: int) -> DataFrame:
-    """(fp, root, component_id) of every distinct set of shingles, by links of similar sets."""
-    classes = cut_lineage(
-        shingles.sketches(docs, words).groupBy("fp").agg(
-            F.min("doc_id").alias("low"), F.first("size").alias("size"), F.first("bands").alias("bands"),
-            F.min("sample").alias("sample"),
-        ),
-        "classes",
-    )
-    return _grouped(classes, shingles.near_sets(docs, classes, words))
+    """One document of each group of near copies, with all columns of docs: the one of smallest doc_id, of
+    several texts under that doc_id the one of smallest MD5 digest. Rows without a doc_id come after all others.
+    Rows of the same doc_id and different texts are documents of their own: each belongs to its text's group.
+    Of rows equal in doc_id and text one stays, chosen by a hash of its other columns."""
+    kind = docs.schema["doc_id"].dataType
+    known = F.coalesce(F.concat(F.lit("v"), F.col("doc_id").cast("string")), F.lit("n"))
+    key = F.concat(known, F.md5(F.coalesce("text", F.lit(""))))
+    prints, rooted = _rooted(docs.select(key.alias("doc_id"), "text"), words)
+    named = prints.join(rooted, "fp").select("root", F.col("doc_id").alias("key"))
+    held = F.when(F.col("key").startswith("v"), F.expr("substring(key, 2, length(key) - 33)").cast(kind))
+    first = F.min(F.struct(held.isNull().alias("absent"), held.alias("held"), "key"))
+    chosen = named.groupBy("root").agg(first.alias("first")).select(F.col("first.key").alias("_key"))
+    rest = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    rows = docs.select(key.alias("_key"), rest.alias("_rest"), row).join(chosen, "_key", "left_semi")
+    order = Window.partitionBy("_key").orderBy("_rest")
+    return rows.withColumn("_place", F.row_number().over(order)).where("_place = 1").select("_row.*")
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
@@ -193,7 +180,9 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     doc_id are separate documents. Null doc_ids are not candidates for component_id. Columns of docs
     other than doc_id and text are not looked at.
     """
-    prints, named = _named(docs, words)
+    prints, rooted = _rooted(docs, words)
+    smallest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
+    named = cut_lineage(rooted.join(smallest, "root").select("fp", "component_id"), "named")
     return prints.join(named, "fp").select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -201,18 +190,10 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     )
 
 
-def _named(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, fp) of every document, and (fp, root, component_id) of every fingerprint."""
+def _rooted(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of every document, and (fp, low, root) of every fingerprint, root being its group's name."""
     prints = cut_lineage(fingerprints(docs, words), "fingerprints")
     classes = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "classes")
-    return prints, _grouped(classes, near_prints(classes.select("fp")))
-
-
-def _grouped(classes: DataFrame, links: DataFrame) -> DataFrame:
-    """Classes (fp, low) and their links -> (fp, root, component_id), the smallest doc_id of each group."""
-    reached = components(links)
-    rooted = classes.join(reached.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "low", F.coalesce("root", "fp").alias("root")
-    )
-    smallest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    return cut_lineage(rooted.join(smallest, "root").select("fp", "root", "component_id"), "named")
+    reached = components(near_prints(classes.select("fp")))
+    rooted = classes.join(reached.withColumnRenamed("node", "fp"), "fp", "left")
+    return prints, rooted.select("fp", "low", F.coalesce("root", "fp").alias("root"))
