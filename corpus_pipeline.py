@@ -11,8 +11,6 @@ from voltmart.llm import packing, quality, simhash, substrings
 from voltmart.llm.queries import tokenizer_file
 from voltmart.session import cut_lineage, tune
 
-NEAR_WORDS = 5  # words of a shingle in the near-duplicate stage
-
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the classifier rejects; it learns from `labels` outside its fold."""
@@ -21,9 +19,9 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one of smallest doc_id."""
+    """One document of each group that op1_simhash links: the one of smallest doc_id."""
     tune(spark)
-    return simhash.keep_one(docs, NEAR_WORDS)
+    return simhash.keep_one(docs, simhash.SHINGLE_WORDS)
 
 
 def without_repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
