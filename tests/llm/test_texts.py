@@ -76,6 +76,8 @@ def test_words_merged_side_by_side_equal_single_ones():
     expected = [np.array(vocabulary.merge(w), "<u4").tobytes() for w in words]
     assert vocabulary.merge_all(words) == expected
     assert vocabulary.merge_all([]) == []
+    for piece in (" word", " word.", "word", " 12.", " a.b", " ..", " été!", " don't", " "):
+        assert vocabulary.cut(piece, piece.encode()) == vocabulary.split(piece)
 
 
 def test_the_lexicon_is_shipped_once_and_its_words_are_bounded(spark):

@@ -29,6 +29,7 @@ from voltmart.session import cut_lineage, shared_root
 
 LEXICON = 1 << 17  # words compiled into the automaton
 KNOWN_WORDS = 1 << 17  # words a worker remembers
+COUNTED_WORDS = 1 << 18  # words a worker counts before it hands them on
 LONG_WORD = 64  # bytes; longer words are merged one by one and stay out of the automaton
 TOGETHER = 1 << 14  # words merged side by side
 EXACT_COUNTS = 4096  # counts of words told apart one by one in the histogram; doublings beyond
@@ -120,6 +121,15 @@ class Vocabulary:
         found = self.library.pre_tokenize_str(piece)
         return [bytes(self.to_byte[c] for c in word) for word, _ in found]
 
+    def cut(self, piece: str, raw: bytes) -> list[bytes]:
+        """The words of a piece: a space and letters are one word, a mark behind them another."""
+        if piece[0] == " ":
+            if piece[1:].isalpha():
+                return [raw]
+            if piece[-1] in ".,;:!?" and piece[1:-1].isalpha():
+                return [raw[:-1], raw[-1:]]
+        return self.split(piece)
+
     def ids_of(self, piece: str) -> list[int]:
         return [i for word in self.split(piece) for i in self.merge(word)]
 
@@ -199,20 +209,34 @@ class Pairs:
         for (a, b), rank in vocabulary.ranks.items():
             rows.append((ids[a], ids[b], rank, ids[a + b]))
         first, second, ranks, merged = np.array(rows or np.zeros((0, 4)), np.int64).T
-        keys = first << 32 | second
-        order = np.argsort(keys)
-        self.keys, self.ranks, self.merged = keys[order], ranks[order].astype(np.int32), merged[order].astype(np.int32)
-        self.none = np.int32(len(keys))  # the place of pairs that are never merged
-        self.by_rank = np.append(np.argsort(self.ranks), self.none)
+        order = np.argsort(ranks)
+        keys = (first << 32 | second)[order]
+        self.none = np.int32(len(keys))  # the rank of pairs that are never merged
+        self.keys = np.append(keys, -1)
+        self.merged = np.append(merged[order], 0).astype(np.int32)  # what the pair of a rank becomes
+        # Open addressing: a pair's rank lies in the first free slot from its own on.
+        self.slots = np.full(1 << 21, self.none, np.int32)
+        for rank, slot in enumerate(self._slot(keys).tolist()):
+            while self.slots[slot] != self.none:
+                slot = (slot + 1) & len(self.slots) - 1
+            self.slots[slot] = rank
         self.single = np.array([ids[byte] for byte in _SINGLE], np.int32)
 
     def rank(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
         """The rank of each pair; the number of merges for pairs that have none."""
-        if not len(self.keys):
-            return np.full(first.shape, self.none)
         wanted = first.astype(np.int64) << 32 | second
-        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
-        return np.where(self.keys[at] == wanted, self.ranks[at], self.none)
+        slot = self._slot(wanted)
+        found = self.slots[slot]
+        open_ = np.flatnonzero((found != self.none) & (self.keys[found] != wanted))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & len(self.slots) - 1
+            found[open_] = self.slots[slot[open_]]
+            open_ = open_[(found[open_] != self.none) & (self.keys[found[open_]] != wanted[open_])]
+        return found
+
+    @staticmethod
+    def _slot(keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(43)).astype(np.int64)
 
     @property
     def of_bytes(self) -> np.ndarray:
@@ -244,7 +268,7 @@ class Pairs:
             shifted = np.minimum(places + (places > at[:, None]), width - 1)
             held = np.take_along_axis(tokens[active], shifted, 1)
             mine = np.take_along_axis(mine, shifted, 1)
-            held[row, at] = self.merged[self.by_rank[lowest]]
+            held[row, at] = self.merged[lowest]
             lengths[active] -= 1
             size = lengths[active]
             right = np.minimum(at + 1, width - 1)
@@ -411,8 +435,7 @@ class Encoder:
             for place, ids in zip(hits.tolist(), self.lexicon.outputs(numbers[hits])):
                 self.known[new[place]] = ids
         unseen = np.flatnonzero(numbers < 0).tolist()
-        # Most pieces are a space and letters, one word of the pattern.
-        words = [[raw[i]] if new[i][1:].isalpha() and new[i][0] == " " else self.vocabulary.split(new[i]) for i in unseen]
+        words = [self.vocabulary.cut(new[i], raw[i]) for i in unseen]
         merged = iter(self.vocabulary.merge_all([w for part in words for w in part]))
         for i, part in zip(unseen, words):
             self.known[new[i]] = next(merged) if len(part) == 1 else b"".join([next(merged) for _ in part])
@@ -484,7 +507,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             for text in batch["text"]:
                 if text:
                     counts.update(words_of(text))
-                if len(counts) > KNOWN_WORDS:
+                if len(counts) > COUNTED_WORDS:
                     yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
                     counts.clear()
         if counts:
