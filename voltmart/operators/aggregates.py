@@ -33,9 +33,10 @@ def distinct_counts(
 
 
 def exact_median(
-    df: DataFrame, by: list[str], value: str, out: str, scale: int = 2
+    df: DataFrame, by: list[str], value: str, out: str, scale: int = 2, weight: str | None = None
 ) -> DataFrame:
-    """Exact continuous median of a decimal column per group, for groups of any size.
+    """Exact continuous median of a decimal column per group, for groups of any size. With `weight` a row
+    stands for that many equal values, as in a stored histogram.
 
     Equal values are counted before the shuffle. The counts are summed into coarse cells of the
     value's integer form, the cells holding the two middle ranks are found, and only those cells
@@ -46,7 +47,7 @@ def exact_median(
     counts = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*by, units.alias("_units"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_n"))
         .withColumn("_cell", F.floor(F.col("_units") / CELL_CENTS))
     )
     group = Window.partitionBy(*by)

@@ -57,11 +57,18 @@ def dm_daily_metrics(
         F.count_if("is_used").alias("offers_used"),
         F.count_if("is_expired_unused").alias("offers_expired"),
     )
+    spine_days = dim_date.filter(in_last("date_actual", days, as_of))
+    return daily_view(spine_days, by_day, medians, offers_by_day).orderBy(F.desc("date_actual"))
+
+
+def daily_view(
+    days: DataFrame, by_day: DataFrame, medians: DataFrame, offers_by_day: DataFrame
+) -> DataFrame:
+    """The mart's rows of the given calendar days, from figures per day."""
     zero = ["total_rentals", "completed_rentals", "cancelled_rentals", "active_users",
             "total_offers_created", "offers_used", "offers_expired"]
     return (
-        dim_date.filter(in_last("date_actual", days, as_of))
-        .select("date_id", "date_actual", "year", "month_num", "day_of_week", "is_weekend")
+        days.select("date_id", "date_actual", "year", "month_num", "day_of_week", "is_weekend")
         .join(by_day, "date_id", "left")
         .join(medians, "date_id", "left")
         .join(offers_by_day, "date_id", "left")
@@ -76,7 +83,6 @@ def dm_daily_metrics(
                 "offer_to_rental_conversion_rate"
             ),
         )
-        .orderBy(F.desc("date_actual"))
     )
 
 
@@ -102,6 +108,11 @@ def dm_station_stats(
         F.sum("duration_minutes").alias("total_usage_minutes_30d"),
         F.count_if(week).alias("rentals_last_7d"),
     )
+    return station_view(dim_stations, stats, keep_empty)
+
+
+def station_view(dim_stations: DataFrame, stats: DataFrame, keep_empty: bool = False) -> DataFrame:
+    """The mart from figures per station_dwh_id."""
     stations = dim_stations.select("station_dwh_id", "station_id", "station_name", "city")
     joined = stations.join(stats, "station_dwh_id", "left" if keep_empty else "inner").fillna(
         0, ["total_rentals_30d", "unique_users_30d", "rentals_last_7d"]
@@ -232,6 +243,13 @@ def dm_revenue_breakdown(
             F.sum("duration_minutes").alias("_minutes"),
         )
     )
+    return revenue_view(sums, dim_date, dim_tariff, dim_stations)
+
+
+def revenue_view(
+    sums: DataFrame, dim_date: DataFrame, dim_tariff: DataFrame, dim_stations: DataFrame
+) -> DataFrame:
+    """The mart from sums per day, tariff and station."""
     days = dim_date.select(
         F.col("date_id").alias("start_date_id"), F.col("date_actual").alias("date")
     )

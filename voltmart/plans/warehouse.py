@@ -25,7 +25,7 @@ from voltmart.operators.dims import (
 )
 from voltmart.operators.keys import dedup_latest, latest_per_key
 from voltmart.operators.ods import incremental, ods_users, parse_tariff, split_status
-from voltmart.plans import marts
+from voltmart.plans import marts, state
 from voltmart.schemas import EPOCH, RETENTION_DAYS
 from voltmart.session import cut_lineage
 from voltmart.sources import extracts, sinks
@@ -293,25 +293,33 @@ def load_ods_layer(
     return {"offers": offers, "rentals": rentals}
 
 
+def change_log(root: str, name: str, as_of: str) -> tuple[str, str]:
+    """Where a run publishes the signed changes of a fact."""
+    return state.run_id(as_of), f"{root}/changes/{name}"
+
+
 def _load_fact(
     spark: SparkSession, rows: DataFrame, name: str, key: str, build, updates: list[str], part_col: str,
-    root: str,
+    root: str, log: tuple[str, str] | None = None,
 ) -> None:
     """Upsert a fact's increment and the rows that earlier runs could not resolve; what still lacks a
     dimension row waits for the next run."""
     held = _waiting(spark, root, name, rows)
     rows = rows.unionByName(held.join(rows.select(key), key, "left_anti"))
+    fact = build(rows)
     resolved = sinks.upsert_partitions(
-        spark, f"{root}/dds/{name}", build(rows), [key], updates, part_col, "station_dwh_id"
+        spark, f"{root}/dds/{name}", fact, [key], updates, part_col, "station_dwh_id",
+        log=log, log_columns=state.log_columns(fact, key),
     )
     _keep_waiting(rows.join(resolved.select(key), key, "left_anti"), root, name)
 
 
 def load_star(
     spark: SparkSession, changed: dict[str, DataFrame], stations: DataFrame, root: str, as_of: str,
-    grain: Grain = MONTHLY,
+    grain: Grain = MONTHLY, deltas: bool = False,
 ) -> None:
     """Dimensions first, each a new published version; then the increments of the facts."""
+    logged = lambda name: change_log(root, name, as_of) if deltas else None
     dds = f"{root}/dds"
     users = sinks.read_version(spark, "users", f"{root}/ods")
     known = {
@@ -333,11 +341,12 @@ def load_star(
     _load_fact(
         spark, changed["rentals"], "fact_rentals", "rental_id",
         lambda rows: facts.fact_rentals(rows, *dims, as_of), [*facts.RENTAL_UPDATES, "tariff_dwh_id"],
-        grain.rentals, root,
+        grain.rentals, root, logged("fact_rentals"),
     )
     _load_fact(
         spark, changed["offers"], "fact_offers", "offer_id",
         lambda rows: facts.fact_offers(rows, *dims, as_of), facts.OFFER_UPDATES, grain.offers, root,
+        logged("fact_offers"),
     )
 
 
@@ -398,6 +407,25 @@ def expire_open_offers(offers: DataFrame, as_of: str) -> DataFrame:
     return facts.add_offer_flags(offers.withColumn("status", facts.effective_status(as_of)))
 
 
+def refresh_marts_by_delta(
+    spark: SparkSession, root: str, start: str, as_of: str, since: str
+) -> dict[str, str]:
+    """The marts from the state that the changes of all runs add up to (see state.py). Cohorts look back over
+    a year of every user's months and are computed whole."""
+    dds = f"{root}/dds"
+    users, stations, tariffs = [
+        sinks.read_version(spark, n, dds) for n in ("dim_users", "dim_stations", "dim_tariff")
+    ]
+    changes = [
+        sinks.changes_of(spark, change_log(root, name, as_of)) for name in ("fact_rentals", "fact_offers")
+    ]
+    paths = state.refresh(
+        spark, root, dim_date(spark, start, as_of), dim_time(spark), stations, tariffs, *changes, as_of, since
+    )
+    cohorts = marts.dm_user_cohorts(users, spark.read.parquet(f"{dds}/fact_rentals"), as_of)
+    return paths | {"dm_user_cohorts": sinks.refresh_mart("dm_user_cohorts", cohorts, f"{root}/mart")}
+
+
 def refresh_marts(spark: SparkSession, root: str, start: str, as_of: str) -> dict[str, str]:
     dds = f"{root}/dds"
     users, stations, tariffs = [
@@ -418,17 +446,21 @@ def refresh_marts(spark: SparkSession, root: str, start: str, as_of: str) -> dic
 
 def refresh_warehouse(
     spark: SparkSession, src: Sources, root: str, start: str, as_of: str, since: str = EPOCH,
-    grain: Grain = MONTHLY, checked: bool = False,
+    grain: Grain = MONTHLY, checked: bool = False, deltas: bool = False,
 ) -> dict[str, str]:
     """One run; `since` is the as_of of the run before, `grain` stays the same for all runs.
     Returns where each mart was written. A run has to be later than the one before: rows it loads at
-    `since` would count as handled. `checked` runs the checks and stores what they find."""
+    `since` would count as handled. `checked` runs the checks and stores what they find. With `deltas`, for
+    all runs or none, marts are kept up by the changes of the facts instead of being computed from them."""
     if not spark.range(1).select(F.lit(as_of).cast("timestamp") > F.lit(since).cast("timestamp")).first()[0]:
         raise ValueError(f"a run as of {as_of} cannot follow one as of {since}")
     load_raw_layer(src, root, as_of)
     changed = load_ods_layer(spark, root, since, as_of, grain)
-    load_star(spark, changed, src.stations, root, as_of, grain)
-    paths = refresh_marts(spark, root, start, as_of)
+    load_star(spark, changed, src.stations, root, as_of, grain, deltas)
+    if deltas:
+        paths = refresh_marts_by_delta(spark, root, start, as_of, since)
+    else:
+        paths = refresh_marts(spark, root, start, as_of)
     if checked:
         check_layers(spark, root, start, as_of)
     return paths

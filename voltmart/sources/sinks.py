@@ -61,9 +61,39 @@ def _partitions(df: DataFrame, part_col: str) -> set:
     return found
 
 
+def signed_changes(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """What turns `old` into `new`, both unique by their keys and of equal columns: rows that are gone or
+    were different with _sign -1, rows that are there now with _sign +1. Equal rows do not show."""
+    columns = new.columns
+    row = lambda df, name: df.select(
+        *[F.col(k).alias(f"_{name}_{k}") for k in keys], F.struct(*columns).alias(name)
+    )
+    same = [F.col(f"_before_{k}").eqNullSafe(F.col(f"_after_{k}")) for k in keys]
+    both = row(old, "before").join(row(new, "after"), same, "full_outer")
+    signed = lambda name, sign: F.when(
+        F.col(name).isNotNull(), F.struct(*[F.col(f"{name}.{c}").alias(c) for c in columns], F.lit(sign).alias("_sign"))
+    )
+    sides = F.array_compact(F.array(signed("before", -1), signed("after", 1)))
+    return both.filter(~F.col("before").eqNullSafe(F.col("after"))).select(F.inline(sides))
+
+
+def _log_changes(old: DataFrame | None, new: DataFrame, keys: list[str], columns: list[str], log: tuple[str, str]) -> None:
+    """Publish the signed changes of a run once: a run that is repeated after its swap would see none."""
+    name, path = log
+    spark = new.sparkSession
+    if read_version(spark, name, path) is not None:
+        return
+    if old is None:
+        changes = new.select(*columns, F.lit(1).alias("_sign"))
+    else:
+        changes = signed_changes(old.select(*columns), new.select(*columns), keys)
+    refresh_mart(name, changes, path)
+
+
 def upsert_partitions(
     spark: SparkSession, path: str, src: DataFrame, keys: list[str], update_cols: list[str],
     part_col: str = "month_id", sort_col: str | None = None, order_cols: list[str] | None = None,
+    log: tuple[str, str] | None = None, log_columns: list[str] | None = None,
 ) -> DataFrame:
     """Upsert into partitioned parquet, rewriting only the partitions the source touches.
 
@@ -75,6 +105,9 @@ def upsert_partitions(
     The merged partitions are staged in the shared folder and only then swapped in with dynamic
     overwrite, so an input is never overwritten while it is read and a failed swap can be repeated.
     Returns the source rows as materialised on the way.
+
+    With `log`, a run's name and a folder, the signed changes of `log_columns` (default: all) are published
+    there before the swap; the same run finds them there when it is repeated (see changes_of).
     """
     swap = lambda df: _in_months(df, part_col, sort_col).write.partitionBy(part_col).mode(
         "overwrite"
@@ -82,6 +115,8 @@ def upsert_partitions(
     target = read_if_present(spark, path)
     src = cut_lineage(src, "increment")
     if target is None:
+        if log:
+            _log_changes(None, src, keys, log_columns or src.columns, log)
         swap(src)
         return src
     target = target.withColumn(part_col, F.col(part_col).cast(src.schema[part_col].dataType))
@@ -95,6 +130,10 @@ def upsert_partitions(
     merged = cut_lineage(
         upsert(target.filter(wanted), src, keys, update_cols, order_cols), "stage"
     )
+    if log:
+        of_source = lambda df: df.alias("t").join(asked, same, "left_semi")
+        columns = log_columns or target.columns
+        _log_changes(of_source(target.filter(wanted)), of_source(merged), keys, columns, log)
     swap(merged)
     # Dynamic overwrite leaves a partition alone whose last row has moved away: empty it by itself.
     for value in touched - _partitions(merged, part_col):
@@ -105,6 +144,11 @@ def upsert_partitions(
     return src
 
 
+def changes_of(spark: SparkSession, log: tuple[str, str]) -> DataFrame | None:
+    """The signed changes that a run published."""
+    return read_version(spark, *log)
+
+
 def refresh_mart(name: str, df: DataFrame, path: str) -> str:
     """Write a full new version of a mart, then publish it by appending one pointer row.
 
