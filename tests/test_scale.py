@@ -220,7 +220,7 @@ def test_results_do_not_depend_on_partitions(spark, name):
     assert results[0] == results[1]
 
 
-def test_stream_daily_counts_users_roughly(spark):
+def test_stream_daily_counts_users_exactly(spark):
     from voltmart.streaming import events as live
     from voltmart.suite.stream_queries import _events
 
@@ -228,4 +228,4 @@ def test_stream_daily_counts_users_roughly(spark):
     exact = src.rental_events(spark, SF).groupBy(F.to_date("ts").alias("d"), "event_type").agg(
         F.count_distinct("user_id").alias("n"))
     known = {(r.d, r.event_type): r.n for r in exact.collect()}
-    assert rows and all(abs(r.approx_users - known[r.event_date, r.event_type]) <= 2 for r in rows)
+    assert rows and all(r.users == known[r.event_date, r.event_type] for r in rows)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from voltmart.functions.scalar import calendar_cols, surrogate_key
 from voltmart.operators.keys import close_intervals
+from voltmart.operators.scan import MOST, last_known, scan
 from voltmart.schemas import OPEN_END
 
 TRACKED_USER_COLUMNS = ["email", "phone", "status"]
@@ -186,16 +187,28 @@ def scd2_merge(
 
 
 def asof_dim(
-    fact: DataFrame, dim: DataFrame, key: str, ts: str, picked: list[str]
+    fact: DataFrame, dim: DataFrame, key: str, ts: str, picked: list[str], most: int = MOST
 ) -> DataFrame:
-    """Dimension columns of the version valid at the fact's time; NULL when none was."""
-    versions = dim.select(
-        F.col(key).alias("_key"), F.col("valid_from").alias("_from"),
-        F.col("valid_to").alias("_to"), *picked,
+    """Dimension columns of the version valid at the fact's time; NULL when none was.
+
+    Versions of a key must not overlap; one with an empty interval is never found. A fact does not meet all
+    versions of its key: versions and facts stand in one line by time, and the last version is carried
+    along it, which is linear in both even where one key has most of them (see scan.py).
+    """
+    start = F.col("valid_from")
+    line = fact.select(
+        F.col(key).alias("_key"), F.col(ts).alias("_at"), F.lit(1).alias("_kind"),
+        F.lit(None).cast("timestamp").alias("_until"), F.struct("*").alias("_fact"), F.lit(None).alias("_version"),
+    ).unionByName(
+        dim.filter(F.col(key).isNotNull() & start.isNotNull()).select(
+            F.col(key).alias("_key"), start.alias("_at"), F.lit(0).alias("_kind"),
+            F.col("valid_to").alias("_until"), F.lit(None).alias("_fact"),
+            F.struct(F.col("valid_to").alias("_until"), *picked).alias("_version"),
+        )
     )
-    valid = (
-        (F.col(key) == F.col("_key"))
-        & (F.col("_from") <= F.col(ts))
-        & (F.col(ts) < F.col("_to"))
+    order = [F.asc("_at"), F.asc("_kind"), F.asc("_until")]
+    found = scan(line, ["_key"], order, {"_hit": last_known(F.col("_version"))}, most=most)
+    valid = F.col("_at") < F.col("_hit._until")
+    return found.filter("_kind = 1").select(
+        "_fact.*", *[F.when(valid, F.col(f"_hit.{c}")).alias(c) for c in picked]
     )
-    return fact.join(versions, valid, "left").drop("_key", "_from", "_to")

@@ -26,6 +26,8 @@ from voltmart.session import cut_lineage
 from voltmart.sources import sinks
 
 MONEY = "decimal(28,4)"
+PERIODS = (7, 30, 90)
+SKETCH_BITS = 15  # registers of a day's sketch, as a power of two: a standard error of 0.6 %
 
 
 @dataclass(frozen=True)
@@ -293,11 +295,67 @@ def refresh_daily(
     return sinks.refresh_mart("dm_daily_metrics", view.orderBy(F.desc("date_actual")), f"{root}/mart")
 
 
+def refresh_user_sketches(
+    spark: SparkSession, root: str, dim_date: DataFrame, rentals: DataFrame | None, as_of: str, since: str,
+    days: int = 90,
+) -> str:
+    """Publish day_users: a mergeable sketch of each day's users. Sketches cannot forget a user, so those of
+    touched days are made anew from the rentals per day and user, the others are kept."""
+    before = sinks.read_version(spark, "day_users", f"{root}/mart")
+    period = date_id_in_last("start_date_id", days, as_of)
+    if before is not None:
+        touched = touched_days(spark, root, dim_date, rentals, None, since, as_of, days)
+        period = period & F.col("start_date_id").isin(touched)
+    users = read_state(spark, root, "rental_users", period).filter(F.col("user_key").isNotNull())
+    fresh = users.groupBy(F.col("start_date_id").alias("date_id")).agg(
+        F.hll_sketch_agg("user_key", F.lit(SKETCH_BITS)).alias("users")
+    )
+    if before is not None:
+        kept = before.filter(date_id_in_last("date_id", days, as_of)).filter(~F.col("date_id").isin(touched))
+        fresh = kept.unionByName(fresh)
+    return sinks.refresh_mart("day_users", fresh, f"{root}/mart")
+
+
+def period_users(spark: SparkSession, root: str, as_of: str, periods: tuple[int, ...] = PERIODS) -> DataFrame:
+    """Distinct users of the last days, per period: the estimate of the merged day sketches, which reads one row
+    per day, and the exact figure, one row per user of the longest period from the state."""
+    last = read_state(spark, root, "rental_users", date_id_in_last("start_date_id", max(periods), as_of))
+    last = last.filter(F.col("user_key").isNotNull()).groupBy("user_key").agg(F.max("start_date_id").alias("day"))
+    sketches = sinks.read_mart(spark, "day_users", f"{root}/mart")
+    union = lambda d: F.hll_union_agg(F.when(date_id_in_last("date_id", d, as_of), F.col("users")))
+    exact = last.agg(*[F.count_if(F.col("day") >= date_id(days_before(as_of, d))).alias(f"users_{d}") for d in periods])
+    merged = sketches.agg(*[F.hll_sketch_estimate(union(d)).alias(f"estimate_{d}") for d in periods])
+    rows = F.array(*[
+        F.struct(F.lit(d).alias("period_days"), F.col(f"users_{d}").alias("users"),
+                 F.coalesce(f"estimate_{d}", F.lit(0)).alias("estimated_users"))
+        for d in periods
+    ])
+    # One row each.
+    return exact.crossJoin(merged).select(F.inline(rows))
+
+
+def period_medians(spark: SparkSession, root: str, as_of: str, periods: tuple[int, ...] = PERIODS) -> DataFrame:
+    """Exact median cost of the last days, per period: the stored histograms of the days are added up, and only
+    the coarse cell that holds the middle is looked into."""
+    costs = read_state(spark, root, "rental_costs", date_id_in_last("start_date_id", max(periods), as_of))
+    within = F.filter(
+        F.array(*[F.lit(d) for d in periods]),
+        lambda d: F.element_at(
+            F.create_map(*[x for p in periods for x in (F.lit(p), date_id(days_before(as_of, p)))]), d
+        ) <= F.col("start_date_id"),
+    )
+    spread = costs.groupBy("start_date_id", "final_cost").agg(F.sum("n").alias("n")).select(
+        "final_cost", "n", F.explode(within).alias("period_days")
+    )
+    return exact_median(spread, ["period_days"], "final_cost", "median_rental_cost", weight="n")
+
+
 def refresh(
     spark: SparkSession, root: str, dim_date: DataFrame, dim_time: DataFrame, dim_stations: DataFrame,
     dim_tariff: DataFrame, rentals: DataFrame | None, offers: DataFrame | None, as_of: str, since: str,
 ) -> dict[str, str]:
-    """Add a run's changes to the state and publish the four marts that follow from it. No fact is read."""
+    """Add a run's changes to the state and publish the four marts that follow from it, and the day sketches.
+    No fact is read."""
     add_changes(spark, root, as_of, rentals, offers)
     path = f"{root}/mart"
     views = {
@@ -305,5 +363,6 @@ def refresh(
         "dm_hourly_demand": hourly_demand(spark, root, dim_date, dim_time, as_of),
         "dm_revenue_breakdown": revenue_breakdown(spark, root, dim_date, dim_tariff, dim_stations, as_of),
     }
+    refresh_user_sketches(spark, root, dim_date, rentals, as_of, since)
     daily = refresh_daily(spark, root, dim_date, rentals, offers, as_of, since)
     return {"dm_daily_metrics": daily} | {n: sinks.refresh_mart(n, df, path) for n, df in views.items()}

@@ -73,7 +73,8 @@ def load(spark, root: str, name: str, key: str, rows: DataFrame, as_of: str) ->
 
 
 @once_per_session
-def delta_marts(spark, sf: str) -> dict[str, str]:
+def delta_marts(spark, sf: str) -> tuple[str, dict[str, str]]:
+    """Where the warehouse lies after three runs, and where each mart does."""
     root, since, paths = work_dir(spark, "deltas"), "1970-01-01", {}
     stations, tariffs = src.stations(spark, sf), tariff_dimension(spark, sf)
     rentals = in_three_parts(src.rental_facts(spark, sf), "rental_id")
@@ -87,7 +88,7 @@ def delta_marts(spark, sf: str) -> dict[str, str]:
             spark, root, calendar(spark), dim_time(spark), stations, tariffs, *changes, as_of, since
         )
         since = as_of
-    return paths
+    return root, paths
 
 
 @once_per_session
@@ -102,12 +103,12 @@ def delta_demand(spark, sf: str) -> str:
 
 @query("delta_daily_metrics", DAILY_SQL, "daily")
 def _(spark, sf):
-    return spark.read.parquet(delta_marts(spark, sf)["dm_daily_metrics"])
+    return spark.read.parquet(delta_marts(spark, sf)[1]["dm_daily_metrics"])
 
 
 @query("delta_station_stats", f"SELECT {STATION_COLUMNS} FROM station_stats", "station_stats")
 def _(spark, sf):
-    return spark.read.parquet(delta_marts(spark, sf)["dm_station_stats"])
+    return spark.read.parquet(delta_marts(spark, sf)[1]["dm_station_stats"])
 
 
 @query("delta_revenue_breakdown", f"""
@@ -115,9 +116,28 @@ SELECT {day('date')} AS date, tariff_type, city, rentals_count, {num('revenue')}
        avg_revenue_per_rental, CAST(total_minutes AS BIGINT) AS total_minutes
 FROM breakdown""", "breakdown")
 def _(spark, sf):
-    return spark.read.parquet(delta_marts(spark, sf)["dm_revenue_breakdown"])
+    return spark.read.parquet(delta_marts(spark, sf)[1]["dm_revenue_breakdown"])
 
 
 @query("delta_hourly_demand", "SELECT * FROM hourly", "hourly")
 def _(spark, sf):
     return spark.read.parquet(delta_demand(spark, sf))
+
+
+PERIOD_SQL = """SELECT CAST(d AS INTEGER) AS period_days, {figures}
+FROM rentals, (VALUES (7), (30), (90)) AS p(d)
+WHERE started_at >= TIMESTAMP '2001-08-01' - d * INTERVAL 1 DAY AND started_at < TIMESTAMP '2001-08-02' GROUP BY 1"""
+
+
+@query("period_users", PERIOD_SQL.format(
+    figures="count(DISTINCT user_id) AS users, true AS within_two_percent"), "rentals")
+def _(spark, sf):
+    found = state.period_users(spark, delta_marts(spark, sf)[0], AS_OF)
+    gap = F.abs(F.col("estimated_users") - F.col("users"))
+    return found.select("period_days", "users", (gap * 50 <= F.col("users")).alias("within_two_percent"))
+
+
+@query("period_medians", PERIOD_SQL.format(
+    figures="round(quantile_cont(CAST(final_cost AS DOUBLE), 0.5), 3) AS median_rental_cost"), "rentals")
+def _(spark, sf):
+    return state.period_medians(spark, delta_marts(spark, sf)[0], AS_OF)
