@@ -171,17 +171,17 @@ def test_vector_groups_against_brute_force(spark, monkeypatch):
     assert all(r.kept == (i == r.component_id) for i, r in got.items())
 
 
-def test_top_products_against_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("blocks", [3, 4096])
+def test_top_products_against_brute_force(spark, monkeypatch, blocks):
     monkeypatch.setattr(topk, "SHARD", 24)
-    monkeypatch.setattr(topk, "BLOCK", 3)
     data = clustered(150) / 4
     rows = [(i, [float(x) for x in v], 1) for i, v in enumerate(data)]
     rows += [(200, None, 1), (220, [math.nan] * 8, 1), (240, [None] * 8, 1), (260, rows[20][1], 1), (261, rows[20][1], 1),
-             (300, [0.0] * 8, 1), (320, [1e7] * 8, 1)]
+             (300, [0.0] * 8, 1), (320, [1e7] * 8, 1), (None, rows[20][1], 1), (2**60 + 4, [0.5] * 8, 1), (400, [0.25] * 5, 1)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score int")
-    found = topk.top_products(frame, frame.where(F.col("vec_id") % 20 == 0), 7)
+    found = topk.top_products(frame, frame.where((F.col("vec_id") % 20 == 0) | F.col("vec_id").isNull()), 7, block=blocks)
     usable = {i: [math.floor(64 * x) for x in v] for i, v, _ in rows
-              if v is not None and all(x is not None and math.isfinite(x) for x in v)}
+              if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)}
     got = {}
     for r in found.collect():
         got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
@@ -190,3 +190,30 @@ def test_top_products_against_brute_force(spark, monkeypatch):
         wanted = [(i, -s) for s, i in scores]
         mine = [(v, s) for _, v, s in sorted(got[q])]
         assert mine == wanted[:7]
+
+
+def test_max_score_probes_less_than_everything():
+    """With a score to beat, a shard of far candidates is left at once, and essential postings leave most out."""
+    rng = np.random.default_rng(2)
+    rows = np.floor(rng.normal(size=(2000, 6)) * 20 * np.array([8, 4, 1, 1, 1, 1]))
+    shard = topk.Shard(np.arange(2000), rows)
+    query = np.floor(rng.normal(size=6) * 64)
+    scores = rows @ query
+    kth = np.sort(scores)[-5]
+    alive, found = topk.max_score(query, -1, shard, 5, float(kth))
+    assert set(np.flatnonzero(scores >= kth)) <= set(alive) and len(alive) < 50
+    assert (scores[alive] == found).all()
+    assert len(topk.max_score(query, -1, shard, 5, float(scores.max()) * 10 + 1e9)[0]) == 0
+    for k in (1, 7, 5000):
+        alive, found = topk.max_score(query, 3, shard, k, -np.inf)
+        mine = sorted(zip(-found, alive))[:k]
+        assert mine == sorted((-s, i) for i, s in enumerate(scores) if i != 3)[:k]
+
+
+def test_null_and_repeated_ids_of_vectors(spark):
+    a, b, c = [1.0, 0.0], [0.999, 0.01], [0.0, 1.0]
+    rows = [(1, a, 1), (2, b, 1), (1, c, 2), (3, [0.01, 0.999], 2), (None, b, 1), (None, c, 3), (None, [0.5, -0.5], 4), (7, None, 1), (None, None, None)]
+    got = vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    found = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in got), key=str)
+    assert found == sorted([(1, 2, 1, True), (2, 2, 1, False), (1, 1, 1, True), (3, 1, 1, False), (None, 2, 1, False),
+                            (None, 0, None, True), (None, 0, None, True), (7, 0, 7, True), (None, 0, None, True)], key=str)

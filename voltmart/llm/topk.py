@@ -1,10 +1,15 @@
 """Exact top-k search by inner product, with MaxScore over dimension postings.
 
-Vectors are dealt to shards and queries to blocks; every block meets every shard in a task of its own,
-and the shards' lists are merged per query. Inside a task a query's terms are the dimensions. A
-dimension can add at most its largest gain over its smallest in the shard. Dimensions are taken in order
-of that bound; what the remaining (non-essential) ones can still add is known, so that a candidate whose
-score so far plus that bound is below the k-th best one is not probed any further.
+Candidates are dealt to shards, which lie in the tasks that read them: no candidate is shuffled. Queries
+are searched in blocks of a bounded size; a block is handed to all tasks, each of which goes through its
+shards and carries every query's k best along, so that the score to beat rises from shard to shard. The tasks'
+lists are merged per query.
+
+In a shard a query's terms are the dimensions. A dimension adds between its least and its largest product
+over the shard; the difference is its bound. The terms of smallest bounds which together cannot lift a
+candidate over the score to beat are non-essential. Essential postings, sorted by product, are traversed down to the
+product that at least one essential term of any competitive candidate must reach; the candidates met are scored on all
+essential terms, and the non-essential ones are probed while score and remaining bounds still compete.
 """
 
 from __future__ import annotations
@@ -13,18 +18,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltmart.llm.common import task_number
+from voltmart.llm.common import returns_memory, task_number
 from voltmart.llm.vectors import clean
 from voltmart.session import cut_lineage
 
 TOP = 20
 SCALE = 64
 SHARD = 4096  # candidates of a shard
-BLOCK = 512  # queries of a block
-STEP = 8  # dimensions taken before candidates are looked through again
+BLOCK = 4096  # queries searched together; they pass through the driver
+STEP = 8  # dimensions probed before candidates are looked through again
 EXACT = 2.0**52  # sums of absolute products up to here are exact in double precision
 
 
@@ -69,97 +75,137 @@ def _blocks(vectors: DataFrame, size: int) -> DataFrame:
     )
 
 
-def max_score(query: np.ndarray, own: int, ids: np.ndarray, shard: "Shard", k: int):
-    """The shard's k best (positions, scores) for a query, ties to smaller ids; `own` is left out."""
-    ends = np.stack([query * shard.low, query * shard.high])
-    least, gain = ends.min(axis=0), ends.max(axis=0) - ends.min(axis=0)
-    others = ids != own
-    if np.abs(ends).max(axis=0).sum() > EXACT:  # beyond exact doubles: whole products in integers
-        exact = [sum(int(a) * int(b) for a, b in zip(query, row)) for row in shard.columns.T]
-        scores = np.array(exact, dtype=object)
-        alive = np.flatnonzero(others)
-    else:
-        order = np.argsort(-gain, kind="stable")
-        left = gain.sum()
-        alive = np.flatnonzero(others)
-        # Scores so far count every dimension not taken yet at its least: they are lower bounds.
-        scores = np.full(len(alive), least.sum())
-        for at in range(0, len(order), STEP):
-            dims = order[at : at + STEP]
-            if left <= 0:
-                break
-            part = shard.columns[dims] if len(alive) == len(ids) else shard.columns[np.ix_(dims, alive)]
-            scores = scores + query[dims] @ part - least[dims].sum()
-            left -= gain[dims].sum()
-            if len(alive) > k:
-                bar = np.partition(scores, len(scores) - k)[len(scores) - k]
-                near = scores + left >= bar
-                alive, scores = alive[near], scores[near]
-        full = np.zeros(len(ids))
-        full[alive] = scores
-        scores = full
-    best = sorted(alive.tolist(), key=lambda i: (-scores[i], ids[i]))[:k] if len(alive) <= 4 * k else (
-        alive[np.lexsort((ids[alive], -scores[alive]))][:k].tolist()
-    )
-    return best, [int(scores[i]) for i in best]
-
-
 class Shard:
-    """Candidates by dimension, with the range of each."""
+    """Candidates by dimension: their values, the range of each dimension, and its posting in order of value."""
 
-    def __init__(self, rows: np.ndarray):
-        self.columns = np.ascontiguousarray(rows.T)
+    def __init__(self, ids: np.ndarray, rows: np.ndarray):
+        self.ids, self.columns = ids, np.ascontiguousarray(rows.T)
         self.low, self.high = rows.min(axis=0), rows.max(axis=0)
+        self.postings = np.argsort(self.columns, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(self.columns, self.postings, 1)
+
+    def reaching(self, dim: int, weight: float, least: float) -> np.ndarray:
+        """The candidates whose product with a query's component in a dimension is `least` or more: the end
+        of the posting where products are largest."""
+        if weight > 0:
+            return self.postings[dim, np.searchsorted(self.sorted[dim], least / weight - SLACK) :]
+        return self.postings[dim, : np.searchsorted(self.sorted[dim], least / weight + SLACK, "right")]
+
 
+SLACK = 1e-6  # values are whole numbers: a quotient may be this far off
 
-def top_products(candidates: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
-    """Both (vec_id, embedding, ...) -> (query_id, rank, vec_id, score): each query's k best candidates.
+
+def max_score(query: np.ndarray, own: int, shard: Shard, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
+    """Candidates of a shard (places) with their scores: all that may be among the k best of a query, equal scores
+    included, given a score to beat. Rows with the query's own id are left out."""
+    others = shard.ids != own
+    width = min(len(query), len(shard.columns))
+    query, columns = query[:width], shard.columns[:width]
+    ends = np.stack([query * shard.low[:width], query * shard.high[:width]])
+    if np.abs(ends).max(axis=0).sum() > EXACT:  # beyond exact doubles: whole products in integers
+        alive = np.flatnonzero(others)
+        exact = [sum(int(a) * int(b) for a, b in zip(query, columns[:, i])) for i in alive]
+        return alive, np.array(exact, dtype=object)
+    least, gain = ends.min(axis=0), ends.max(axis=0) - ends.min(axis=0)
+    base, order = least.sum(), np.argsort(-gain, kind="stable")
+    if base + gain.sum() < floor:
+        return np.zeros(0, np.int64), np.zeros(0)  # no candidate of the shard can compete
+    if floor == -np.inf:  # nothing to beat yet: the best of the longest postings set a score
+        seeds = np.unique(np.concatenate([
+            shard.postings[d, -2 * k :] if query[d] > 0 else shard.postings[d, : 2 * k] for d in order[:4]
+        ]))
+        seeds = seeds[others[seeds]]
+        if len(seeds) >= k:
+            floor = np.partition(query @ columns[:, seeds], len(seeds) - k)[len(seeds) - k]
+    # Non-essential: the longest tail of small bounds that stays below the score to beat by itself.
+    tail = np.append(np.cumsum(gain[order][::-1])[::-1], 0.0)  # what the terms from a place on can add
+    essential = int(np.argmax(base + tail < floor)) if floor > -np.inf and base + tail[-1] < floor else len(order)
+    need = floor - base - tail[essential]  # what essential terms have to add
+    terms = order[:essential]
+    whole = gain[terms].sum()
+    if essential and need > 0 and whole > 0:
+        met = np.zeros(len(shard.ids), bool)
+        for d in terms:
+            if gain[d] > 0:
+                # Were every essential term below its share of the need, their sum would be too.
+                met[shard.reaching(d, query[d], least[d] + need * gain[d] / whole)] = True
+                if met.all():
+                    break
+        alive = np.flatnonzero(met & others)
+    else:
+        alive = np.flatnonzero(others)
+    part = columns[terms] if len(alive) == len(shard.ids) else columns[np.ix_(terms, alive)]
+    # Terms not scored yet count at their least: scores so far are lower bounds.
+    scores = query[terms] @ part + (base - least[terms].sum())
+    for at in range(essential, len(order) + STEP, STEP):
+        bar = floor
+        if len(alive) > k:
+            bar = max(bar, np.partition(scores, len(scores) - k)[len(scores) - k])
+        near = scores + tail[min(at, len(order))] >= bar
+        alive, scores = alive[near], scores[near]
+        dims = order[at : at + STEP]
+        if not len(dims):
+            break
+        scores = scores + query[dims] @ columns[np.ix_(dims, alive)] - least[dims].sum()
+    return alive, scores
+
+
+def _asked(queries: DataFrame, blocks: int, block: int) -> list[tuple[int, np.ndarray]]:
+    """The queries of one block: (vec_id, whole components)."""
+    mine = queries.where(F.expr(f"pmod(xxhash64(vec_id), {blocks}L)") == block)
+    found = mine.select("vec_id", "embedding").orderBy("vec_id").collect()
+    return [(row.vec_id, _quantise(row.embedding)) for row in found]
+
+
+def top_products(candidates: DataFrame, queries: DataFrame, k: int = TOP, block: int = BLOCK) -> DataFrame:
+    """Both (vec_id whole number, embedding, ...) -> (query_id, rank, vec_id, score): each query's k best candidates.
 
     Components x become floor(64 * x); the score is the integer inner product, which has to fit a long.
     Rows with the query's vec_id are not its candidates. Ties go to the smaller vec_id. Vectors that are
-    null or hold null or non-finite components take no part. A candidate of another length than the query
-    is compared over the shorter length (the missing components count as zero). Candidates that repeat a
-    vec_id are ranked one by one; of queries that repeat a vec_id one row is taken (the smallest vector).
+    null or hold null or non-finite components take no part, nor do rows without a vec_id, which could
+    not be named. A candidate of another length than the query is compared over the shorter length (the missing components
+    count as zero). Candidates that repeat a vec_id are ranked one by one; of queries that repeat a vec_id
+    one row is taken (the smallest vector). Queries are searched in blocks of about `block`, each of which reads
+    the shards once.
     """
-    shards = _blocks(clean(candidates), SHARD)
-    asked = clean(queries).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    blocks = _blocks(asked, BLOCK)
-    # Every block of queries meets every shard: the copies are of blocks and shards, not of rows.
-    pairs = (
-        shards.select(F.col("block").alias("shard"), F.lit(1).alias("all"))
-        .join(blocks.select(F.col("block").alias("asked"), F.lit(1).alias("all")), "all")
-        .select("shard", "asked")
+    named = lambda df: clean(df).where(F.col("vec_id").isNotNull()).select(
+        F.col("vec_id").cast("long").alias("vec_id"), "embedding"
     )
-    pairs = cut_lineage(pairs, "block_pairs")
-    sides = (
-        pairs.join(shards.withColumnRenamed("block", "shard"), "shard")
-        .withColumn("side", F.lit(0))
-        .unionByName(
-            pairs.join(blocks.withColumnRenamed("block", "asked"), "asked").withColumn("side", F.lit(1))
+    shards = _blocks(named(candidates), SHARD)
+    asked = cut_lineage(named(queries).groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "queries")
+    blocks = max(1, -(-asked.count() // block))
+    found = None
+    for number in range(blocks):
+        wanted = _asked(asked, blocks, number)
+
+        def run(batches: Iterator[pa.RecordBatch], wanted=wanted) -> Iterator[pa.RecordBatch]:
+            none = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            best = [none] * len(wanted)
+            for batch in batches:
+                for place in range(batch.num_rows):
+                    ids = np.frombuffer(batch.column("ids")[place].as_py(), np.int64)
+                    length = batch.column("length")[place].as_py()
+                    shard = Shard(ids, np.frombuffer(batch.column("rows")[place].as_py()).reshape(len(ids), length))
+                    for at, (own, query) in enumerate(wanted):
+                        scores, keys = best[at]
+                        floor = float(scores[-1]) if len(scores) == k else -np.inf
+                        alive, values = max_score(query, own, shard, k, floor)
+                        if len(alive):
+                            scores = np.append(scores, np.array([int(v) for v in values], np.int64))
+                            keys = np.append(keys, ids[alive])
+                            order = np.lexsort((keys, -scores))[:k]
+                            best[at] = (scores[order], keys[order])
+            for (own, _), (scores, keys) in zip(wanted, best):
+                if len(scores):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(scores), own)), pa.array(keys), pa.array(scores)],
+                        names=["query_id", "vec_id", "score"],
+                    )
+
+        hits = shards.select("length", "ids", "rows").mapInArrow(
+            returns_memory(run), "query_id long, vec_id long, score long"
         )
-    )
-
-    def search(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.set_index("side")
-        load = lambda row: (
-            np.frombuffer(row["ids"], np.int64),
-            np.frombuffer(row["rows"]).reshape(-1, int(row["length"])),
-        )
-        ids, rows = load(frame.loc[0])
-        asked_ids, asked_rows = load(frame.loc[1])
-        width = min(rows.shape[1], asked_rows.shape[1])
-        shard = Shard(rows[:, :width])
-        out: tuple[list, list, list] = ([], [], [])
-        for own, query in zip(asked_ids.tolist(), asked_rows[:, :width]):
-            best, scores = max_score(query, own, ids, shard, k)
-            out[0].extend([own] * len(best))
-            out[1].extend(ids[best].tolist())
-            out[2].extend(scores)
-        return pd.DataFrame({"query_id": out[0], "vec_id": out[1], "score": out[2]})
-
-    found = sides.groupBy("shard", "asked").applyInPandas(
-        search, "query_id long, vec_id long, score long"
-    )
+        found = hits if found is None else found.unionByName(hits)
     place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(place))

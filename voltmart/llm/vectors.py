@@ -40,8 +40,8 @@ def clean(vectors: DataFrame, column: str = "embedding") -> DataFrame:
 def principal_axes(vectors: DataFrame) -> dict[int, np.ndarray]:
     """Orthonormal leading axes per vector length, from the AXES_SAMPLE vectors of smallest id hash."""
     sample = (
-        vectors.select("id", "vector")
-        .orderBy(F.xxhash64("id"), "id")
+        vectors.select("low", "vector")
+        .orderBy(F.xxhash64("low"), "low", "vector")
         .limit(AXES_SAMPLE)
         .select("vector")
         .toPandas()["vector"]
@@ -154,8 +154,11 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     label form one class with a multiplicity, and only classes are compared; classes linked to many are
     counted, their pairs are never written out. Null, empty or zero vectors, vectors holding null or
     non-finite components, and null labels link with nothing: they get n_links 0 and their own
-    component. Vectors of different lengths do not link. Repeated rows are vectors of their own. Other
-    columns are not looked at.
+    component. Vectors of different lengths do not link. Repeated rows are vectors of their own, also rows
+    that repeat a vec_id under another label or with another vector: their classes have names of their own, so that
+    neither links nor components of one reach the other. Rows without a vec_id link like others but are never a
+    component's id; a component of such rows only has a null id, and all of them are kept. Other columns are not
+    looked at.
     """
     rows = vectors.select("vec_id", "embedding", "label")
     usable = clean(rows).where(
@@ -164,24 +167,27 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     # -0.0 and 0.0 are one value to grouping and to the cosine alike.
     classes = cut_lineage(
         usable.groupBy("label", F.col("embedding").alias("vector")).agg(
-            F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("weight")
-        ),
+            F.min("vec_id").cast("long").alias("low"), F.count(F.lit(1)).alias("weight")
+        ).withColumn("id", F.monotonically_increasing_id()),
         "classes",
     )
     pieces = _pair_results(classes, cosine)
     linked = pieces.groupBy("id").agg(F.sum("links").alias("links"))
     roots = components(pieces.select(F.col("id").alias("a"), F.col("towards").alias("b")))
-    known = cut_lineage(
+    rooted = cut_lineage(
         classes.join(linked, "id", "left")
         .join(roots.withColumnRenamed("node", "id"), "id", "left")
         .select(
             "label",
             "vector",
+            "low",
             (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links"),
-            F.coalesce("root", "id").alias("component"),
+            F.coalesce("root", "id").alias("root"),
         ),
         "vector_classes",
     )
+    smallest = rooted.groupBy("root").agg(F.min("low").alias("component"))
+    known = rooted.join(smallest, "root").select("label", "vector", "links", "component")
     # Rows that cannot link find no class: their label or vector is null there.
     usable_id = usable.select("vec_id", "label", F.col("embedding").alias("vector"))
     found = usable_id.join(known, ["label", "vector"]).select("vec_id", "links", "component")
@@ -211,7 +217,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
 
 
 def _pair_results(classes: DataFrame, cosine: float) -> DataFrame:
-    """Classes (label, vector, id, weight) -> (id, links, towards): link counts and forest edges."""
+    """Classes (label, vector, low, id, weight) -> (id, links, towards): link counts and forest edges."""
     epsilon = math.sqrt(max(0.0, 2 - 2 * cosine))
     axes = principal_axes(classes)
 
@@ -233,7 +239,7 @@ def _pair_results(classes: DataFrame, cosine: float) -> DataFrame:
     kind = classes.schema["label"].dataType.simpleString()
     order = ["label", "length", *(f"c{i}" for i in range(AXES)), "id"]
     sequence = (
-        classes.mapInPandas(
+        classes.select("label", "vector", "id", "weight").mapInPandas(
             coordinates, f"label {kind}, vector array<double>, id long, weight long, length int, {cells}"
         )
         .repartitionByRange(*order)
