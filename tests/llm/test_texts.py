@@ -187,6 +187,28 @@ def test_probabilities_of_a_state_add_up_to_one():
         assert arcs + d * types[state] / block.c1[state] * sum(words) == pytest.approx(1)
 
 
+def test_traversal_follows_arcs_and_failure_arcs():
+    """Hand-made: the arc where there is one, else the failure arc and the arc of the empty history."""
+    tokens, lengths = np.array([1, 2, 0, 1, 1, 0, 3, 0, 0]), np.array([3, 3, 2, 1])
+    block = lm.Block(["0", "2", "3", "4"], lengths, tokens, np.arange(4, dtype=np.uint64))
+    block.held = np.array([False, False, True, True])
+    block.count()
+    types = np.bincount(block.first[block.c2 > 0], minlength=4)
+    d, n = lm.DISCOUNT, 6
+    word = lambda w: (block.c1[w] - d) / n if block.c1[w] else d * 3 / n
+    count = {(a, b): c for a, b, c in zip(block.first, block.second, block.c2)}
+    fail = lambda h: d * types[h] / block.c1[h]
+    arc = lambda h, w: (count[h, w] - d) / block.c1[h] + fail(h) * word(w)
+    automaton = lm.Automaton(block, block.c1, block.c2, types, n, 3)
+    got = automaton.read(tokens, lengths)
+    assert got[0] == pytest.approx(math.log10(arc(0, 1) * arc(1, 2) * arc(2, 0)))
+    assert got[1] == pytest.approx(math.log10(arc(0, 1) * arc(1, 1) * arc(1, 0)))
+    # An unknown word by the failure arc of the start; from the empty history then the end token.
+    assert got[2] == pytest.approx(math.log10(fail(0) * word(3) * word(0)))
+    assert got[3] == pytest.approx(math.log10(fail(0) * word(0)))
+    assert automaton.read(np.zeros(0, np.int64), np.zeros(0, np.int64)).tolist() == []
+
+
 def removed(rows, length):
     counts = collections.Counter()
     raws = [(k, (t or "").encode()) for k, t, *_ in rows]

@@ -8,10 +8,10 @@ history. Weights are those of interpolated absolute discounting, D being the dis
     arc       p(w | h) = (c(h, w) - D) / c(h) + D * T(h) / c(h) * p(w)
     failure   D * T(h) / c(h), T(h) being the number of different words seen after h
 
-so that every state's probabilities add up to one. The order is two: a state is the one word before, with a
-single failure arc to the empty history, so no state has to be carried. Each distinct bigram of a block is
-weighed once, which is its arc or its failure arc, and these weights are gathered per token and added up.
-Longer contexts are not counted.
+so that every state's probabilities add up to one. A text is read once from left to right: from the state
+it is in, the next word's arc is taken if there is one, else the failure arc, until a state has the arc; weights
+are added up on the way, and the arc's target is carried on to the next word. All documents of a block are read side by
+side, one word of each per step. The order is two: states are words, and failure arcs lead to the empty history.
 
 The model grows with the corpus, so it is neither collected nor broadcast. Documents are read in blocks,
 each holding its tokens as numbers of its own word list. Blocks send their n-gram keys (64-bit hashes,
@@ -40,6 +40,8 @@ from voltmart.session import cut_lineage, work_dir
 DISCOUNT = 0.75
 BLOCK_TOKENS = 1 << 20  # tokens of a block, about; documents are not split
 RANGE_KEYS = 1 << 21  # keys of a key range, about
+BUCKET_BYTES = 1 << 26  # bytes of text in a bucket of blocks, which is one task's work
+MOST_BUCKETS = 100_000  # Spark's own limit; beyond it buckets grow
 FOLDS, HELD_FOLD = 5, 1
 SHIFT = np.uint64(32)
 
@@ -270,23 +272,59 @@ def _correct(
 # ---- scores --------------------------------------------------------------------------------------
 
 
-def traverse(
-    block: Block, c1: np.ndarray, c2: np.ndarray, types: np.ndarray, total: int, known: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """Log10 probability of each document by the automaton, and by the unigram base.
-
-    The weights of distinct bigrams are gathered for all tokens and added up per document.
-    """
-    d, n = DISCOUNT, max(total, 1)
-    unigram = np.where(c1 > 0, (c1 - d) / n, d * known / n if known else 1.0)
-    count, seen = c1[block.first], c2 > 0
-    with np.errstate(divide="ignore", invalid="ignore"):
-        failure = np.where(c1 > 0, d * types / c1, 1.0)
-        arc = np.where(seen, (c2 - d) / count, 0.0) + failure[block.first] * unigram[block.second]
-    weight = np.log10(arc)[block.at]
+class Automaton:
+    """The part of the automaton that a block's texts can reach. State 0 is the empty history, state w + 1 the
+    word w; arcs lie in one sorted array, keyed by state and word, and weights are log10."""
+
+    def __init__(self, block: Block, c1: np.ndarray, c2: np.ndarray, types: np.ndarray, total: int, known: int):
+        d, n = DISCOUNT, max(total, 1)
+        unigram = np.where(c1 > 0, (c1 - d) / n, d * known / n if known else 1.0)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            failure = np.where(c1 > 0, d * types / c1, 1.0)
+        seen = np.flatnonzero(c2 > 0)
+        first, second = block.first[seen], block.second[seen]
+        weight = (c2[seen] - d) / c1[first] + failure[first] * unigram[second]
+        words = np.arange(len(c1))
+        # Every word has an arc from the empty history, so that failure arcs always end. Bigrams are sorted already.
+        self.keys = np.concatenate([words, (first + 1) << 32 | second])
+        self.weights = np.log10(np.concatenate([unigram, weight]))
+        # The state a word leads to: its own, or the empty history where training has not met it.
+        self.target = np.where(c1 > 0, words + 1, 0)
+        self.fail_to = np.zeros(len(c1) + 1, np.int64)
+        self.fail_weight = np.append(0.0, np.log10(failure))
+        self.start = self.target[0]  # a text begins after an end token
+
+    def read(self, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Log10 probability of each document, all of them read side by side."""
+        order = np.argsort(-lengths, kind="stable")
+        starts = (np.cumsum(lengths) - lengths)[order]
+        # How many documents have a word at each place.
+        going = np.searchsorted(-lengths[order], -np.arange(int(lengths.max(initial=0))), "left")
+        state = np.full(len(lengths), self.start)
+        scores = np.zeros(len(lengths))
+        for place, count in enumerate(going.tolist()):
+            word = tokens[starts[:count] + place]
+            open_, at = np.arange(count), state[:count]
+            while len(open_):
+                key = at << 32 | word[open_]
+                arc = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                hit = self.keys[arc] == key
+                scores[open_[hit]] += self.weights[arc[hit]]
+                if hit.all():
+                    break
+                open_, at = open_[~hit], at[~hit]
+                scores[open_] += self.fail_weight[at]
+                at = self.fail_to[at]
+            state[:count] = self.target[word]
+        out = np.empty(len(lengths))
+        out[order] = scores
+        return out
+
+
+def base_scores(block: Block, c1: np.ndarray, total: int, known: int) -> np.ndarray:
+    """The unigram base of each document."""
     base = np.log10((c1 + 0.5) / (total + 0.5 * (known + 1)))[block.tokens]
-    starts = np.cumsum(block.lengths) - block.lengths
-    return np.add.reduceat(weight, starts), np.add.reduceat(base, starts)
+    return np.add.reduceat(base, np.cumsum(block.lengths) - block.lengths)
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -301,7 +339,9 @@ def score_documents(docs: DataFrame) -> DataFrame:
     spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType
     # A table bucketed by block: what blocks hear is dealt to the same buckets, so that the texts'
     # tokens are not shuffled at all.
-    name, buckets = f"lm_blocks_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name, buckets = f"lm_blocks_{uuid.uuid4().hex}", min(max(least, -(-size // BUCKET_BYTES)), MOST_BUCKETS)
     blocks(docs).write.bucketBy(buckets, "block").option(
         "path", work_dir(spark, "lm_blocks")
     ).saveAsTable(name)
@@ -350,7 +390,8 @@ def _scores(held: DataFrame, kind) -> DataFrame:
                 c2, owned = _correct(block, heard, 2, bits, block.c2)
                 own = np.bincount(block.first[owned], minlength=len(block.words))
                 follow, _ = _correct(block, heard, 1, bits, own, slot=3)
-                scores, base = traverse(block, c1, c2, follow, total, known)
+                scores = Automaton(block, c1, c2, follow, total, known).read(block.tokens, block.lengths)
+                base = base_scores(block, c1, total, known)
                 starts = np.cumsum(block.lengths) - block.lengths
                 yield pd.DataFrame(
                     {
