@@ -16,13 +16,14 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from voltmart.functions.scalar import date_id, date_id_in_last, days_before, in_last, mean_of
 from voltmart.operators.aggregates import distinct_if, exact_median
 from voltmart.plans import marts
-from voltmart.session import cut_lineage
+from voltmart.session import cut_lineage, together
 from voltmart.sources import sinks
 
 MONEY = "decimal(28,4)"
@@ -153,8 +154,9 @@ def add_changes(
 ) -> None:
     """Add a run's signed changes of either fact to the state. Repeating it changes nothing."""
     deltas = ({} if rentals is None else rental_deltas(rentals)) | ({} if offers is None else offer_deltas(offers))
-    for name, rows in deltas.items():
-        _publish(name, rows, root, run_id(as_of), base=False)
+    together(spark, *[
+        partial(_publish, name, rows, root, run_id(as_of), False) for name, rows in deltas.items()
+    ])
 
 
 def rebuild(spark: SparkSession, root: str, as_of: str, rentals: DataFrame, offers: DataFrame) -> None:
@@ -322,16 +324,19 @@ def period_users(spark: SparkSession, root: str, as_of: str, periods: tuple[int,
     last = read_state(spark, root, "rental_users", date_id_in_last("start_date_id", max(periods), as_of))
     last = last.filter(F.col("user_key").isNotNull()).groupBy("user_key").agg(F.max("start_date_id").alias("day"))
     sketches = sinks.read_mart(spark, "day_users", f"{root}/mart")
-    union = lambda d: F.hll_union_agg(F.when(date_id_in_last("date_id", d, as_of), F.col("users")))
-    exact = last.agg(*[F.count_if(F.col("day") >= date_id(days_before(as_of, d))).alias(f"users_{d}") for d in periods])
-    merged = sketches.agg(*[F.hll_sketch_estimate(union(d)).alias(f"estimate_{d}") for d in periods])
-    rows = F.array(*[
-        F.struct(F.lit(d).alias("period_days"), F.col(f"users_{d}").alias("users"),
-                 F.coalesce(f"estimate_{d}", F.lit(0)).alias("estimated_users"))
-        for d in periods
-    ])
-    # One row each.
-    return exact.crossJoin(merged).select(F.inline(rows))
+    def per_period(rows: DataFrame, figure, out: str) -> DataFrame:
+        """One row aggregated into a column per period, turned into a row per period."""
+        row = rows.agg(*[figure(d).alias(f"d{d}") for d in periods])
+        return row.select(F.inline(F.array(*[
+            F.struct(F.lit(d).alias("period_days"), F.col(f"d{d}").alias(out)) for d in periods
+        ])))
+
+    exact = per_period(last, lambda d: F.count_if(F.col("day") >= date_id(days_before(as_of, d))), "users")
+    merged = lambda d: F.hll_union_agg(F.when(date_id_in_last("date_id", d, as_of), F.col("users")))
+    estimates = per_period(
+        sketches, lambda d: F.coalesce(F.hll_sketch_estimate(merged(d)), F.lit(0)), "estimated_users"
+    )
+    return exact.join(estimates, "period_days")
 
 
 def period_medians(spark: SparkSession, root: str, as_of: str, periods: tuple[int, ...] = PERIODS) -> DataFrame:
@@ -358,11 +363,18 @@ def refresh(
     No fact is read."""
     add_changes(spark, root, as_of, rentals, offers)
     path = f"{root}/mart"
-    views = {
-        "dm_station_stats": station_stats(spark, root, dim_stations, as_of),
-        "dm_hourly_demand": hourly_demand(spark, root, dim_date, dim_time, as_of),
-        "dm_revenue_breakdown": revenue_breakdown(spark, root, dim_date, dim_tariff, dim_stations, as_of),
+    publish = lambda name, view: sinks.refresh_mart(name, view, path)
+    jobs = {
+        "dm_daily_metrics": lambda: refresh_daily(spark, root, dim_date, rentals, offers, as_of, since),
+        "dm_station_stats": lambda: publish("dm_station_stats", station_stats(spark, root, dim_stations, as_of)),
+        "dm_hourly_demand": lambda: publish(
+            "dm_hourly_demand", hourly_demand(spark, root, dim_date, dim_time, as_of)
+        ),
+        "dm_revenue_breakdown": lambda: publish(
+            "dm_revenue_breakdown", revenue_breakdown(spark, root, dim_date, dim_tariff, dim_stations, as_of)
+        ),
+        "day_users": lambda: refresh_user_sketches(spark, root, dim_date, rentals, as_of, since),
     }
-    refresh_user_sketches(spark, root, dim_date, rentals, as_of, since)
-    daily = refresh_daily(spark, root, dim_date, rentals, offers, as_of, since)
-    return {"dm_daily_metrics": daily} | {n: sinks.refresh_mart(n, df, path) for n, df in views.items()}
+    paths = dict(zip(jobs, together(spark, *jobs.values())))
+    del paths["day_users"]
+    return paths

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -26,9 +27,10 @@ from voltmart.operators.dims import (
 from voltmart.operators.keys import dedup_latest, latest_per_key
 from voltmart.operators.ods import incremental, ods_users, parse_tariff, split_status
 from voltmart.plans import marts, state
+from voltmart import schemas
 from voltmart.schemas import EPOCH, RETENTION_DAYS
-from voltmart.session import cut_lineage
-from voltmart.sources import extracts, sinks
+from voltmart.session import cut_lineage, together
+from voltmart.sources import extracts, shards, sinks
 
 RAW_COLUMNS = ["loaded_at", "load_date", "source_system"]
 TARIFF_COLUMNS = [
@@ -52,6 +54,11 @@ MONTHLY = Grain("month_id", "month_id", "month_id", month_id)
 DAILY = Grain("day_id", "start_date_id", "created_date_id", date_id)
 
 
+MARTS = [
+    "dm_daily_metrics", "dm_station_stats", "dm_user_cohorts", "dm_hourly_demand", "dm_revenue_breakdown",
+]
+
+
 @dataclass
 class Sources:
     """What a run extracts: all users, and the offers, rentals, cost snapshots, audit rows and rental
@@ -77,8 +84,10 @@ def load_raw_layer(src: Sources, root: str, as_of: str) -> None:
     }
     if src.rental_events is not None:
         tables["rental_events"] = (extracts.extract_events(src.rental_events), "rental_service")
-    for name, (df, system) in tables.items():
-        sinks.append_raw(extracts.load_raw(df, system, as_of), f"{root}/raw/{name}")
+    together(src.offers.sparkSession, *[
+        partial(sinks.append_raw, extracts.load_raw(df, system, as_of), f"{root}/raw/{name}")
+        for name, (df, system) in tables.items()
+    ])
 
 
 def _waiting(spark: SparkSession, root: str, name: str, like: DataFrame) -> DataFrame:
@@ -262,35 +271,39 @@ def _rental_increment(
 def _store_increment(
     spark: SparkSession, df: DataFrame, path: str, key: str, part_col: str
 ) -> DataFrame:
-    """Upsert whole rows; returns the rows of the increment as they were stored."""
+    """Upsert whole rows of a written table; returns the rows of the increment as they were stored."""
     columns = [c for c in df.columns if c != key]
-    return sinks.upsert_partitions(spark, path, df, [key], columns, part_col)
+    return sinks.upsert_partitions(spark, path, df, [key], columns, part_col, written=True)
 
 
 def load_ods_layer(
     spark: SparkSession, root: str, since: str, as_of: str, grain: Grain = MONTHLY
 ) -> dict[str, DataFrame]:
     """Returns the increment of each ODS table."""
-    fresh = {
-        name: _trusted(incremental(spark.read.parquet(f"{root}/raw/{name}"), since), name, key, root)
-        for name, key in (
-            ("users", "user_id"), ("offers", "offer_id"), ("rentals", "rental_id"),
-            ("cost_snapshots", "rental_id"),
-        )
-    }
-    audit = incremental(spark.read.parquet(f"{root}/raw/offer_audit"), since)
-    offers = _store_increment(
-        spark, _offer_increment(spark, fresh["offers"], audit, root, as_of, grain),
-        f"{root}/ods/offers", "offer_id", grain.ods,
-    )
-    rentals = _store_increment(
-        spark,
-        _rental_increment(spark, fresh["rentals"], fresh["cost_snapshots"], offers, root, as_of, grain),
-        f"{root}/ods/rentals", "rental_id", grain.ods,
+    keys = {"users": "user_id", "offers": "offer_id", "rentals": "rental_id", "cost_snapshots": "rental_id"}
+    trusted = lambda name, key: _trusted(
+        incremental(spark.read.parquet(f"{root}/raw/{name}"), since), name, key, root
     )
-    known_users = sinks.read_version(spark, "users", f"{root}/ods")
-    sinks.refresh_mart("users", ods_users(fresh["users"], known_users, as_of), f"{root}/ods")
-    return {"offers": offers, "rentals": rentals}
+    fresh = dict(zip(keys, together(spark, *[partial(trusted, *pair) for pair in keys.items()])))
+    audit = incremental(spark.read.parquet(f"{root}/raw/offer_audit"), since)
+
+    def offers_and_rentals() -> dict[str, DataFrame]:
+        offers = _store_increment(
+            spark, _offer_increment(spark, fresh["offers"], audit, root, as_of, grain),
+            f"{root}/ods/offers", "offer_id", grain.ods,
+        )
+        rentals = _store_increment(
+            spark,
+            _rental_increment(spark, fresh["rentals"], fresh["cost_snapshots"], offers, root, as_of, grain),
+            f"{root}/ods/rentals", "rental_id", grain.ods,
+        )
+        return {"offers": offers, "rentals": rentals}
+
+    def users() -> None:
+        known = sinks.read_version(spark, "users", f"{root}/ods")
+        sinks.refresh_mart("users", ods_users(fresh["users"], known, as_of), f"{root}/ods")
+
+    return together(spark, offers_and_rentals, users)[0]
 
 
 def change_log(root: str, name: str, as_of: str) -> tuple[str, str]:
@@ -326,27 +339,26 @@ def load_star(
         name: sinks.read_version(spark, name, dds)
         for name in ("dim_users", "dim_stations", "dim_tariff")
     }
-    sinks.refresh_mart(
-        "dim_users",
-        new_user_versions(users, EPOCH) if known["dim_users"] is None
+    fresh = {
+        "dim_users": new_user_versions(users, EPOCH) if known["dim_users"] is None
         else scd2_merge(known["dim_users"], users, as_of),
-        dds,
-    )
-    sinks.refresh_mart(
-        "dim_stations",
-        dim_stations(changed["offers"], changed["rentals"], stations, known["dim_stations"]), dds,
-    )
-    sinks.refresh_mart("dim_tariff", dim_tariff(changed["offers"], known["dim_tariff"]), dds)
+        "dim_stations": dim_stations(changed["offers"], changed["rentals"], stations, known["dim_stations"]),
+        "dim_tariff": dim_tariff(changed["offers"], known["dim_tariff"]),
+    }
+    together(spark, *[partial(sinks.refresh_mart, name, df, dds) for name, df in fresh.items()])
     dims = [sinks.read_version(spark, n, dds) for n in ("dim_users", "dim_stations", "dim_tariff")]
-    _load_fact(
-        spark, changed["rentals"], "fact_rentals", "rental_id",
-        lambda rows: facts.fact_rentals(rows, *dims, as_of), [*facts.RENTAL_UPDATES, "tariff_dwh_id"],
-        grain.rentals, root, logged("fact_rentals"),
-    )
-    _load_fact(
-        spark, changed["offers"], "fact_offers", "offer_id",
-        lambda rows: facts.fact_offers(rows, *dims, as_of), facts.OFFER_UPDATES, grain.offers, root,
-        logged("fact_offers"),
+    together(
+        spark,
+        lambda: _load_fact(
+            spark, changed["rentals"], "fact_rentals", "rental_id",
+            lambda rows: facts.fact_rentals(rows, *dims, as_of), [*facts.RENTAL_UPDATES, "tariff_dwh_id"],
+            grain.rentals, root, logged("fact_rentals"),
+        ),
+        lambda: _load_fact(
+            spark, changed["offers"], "fact_offers", "offer_id",
+            lambda rows: facts.fact_offers(rows, *dims, as_of), facts.OFFER_UPDATES, grain.offers, root,
+            logged("fact_offers"),
+        ),
     )
 
 
@@ -390,8 +402,10 @@ def check_layers(spark: SparkSession, root: str, start: str, as_of: str) -> Data
     return spark.read.parquet(f"{root}/dq").filter(F.col("checked_at") == F.lit(as_of).cast("timestamp"))
 
 
-def archive_layers(spark: SparkSession, root: str, as_of: str) -> None:
-    """Move RAW days past their retention to the archive; their partitions become empty."""
+def archive_layers(spark: SparkSession, root: str, as_of: str, grain: Grain = MONTHLY) -> None:
+    """Move what is past its layer's retention to the archive: RAW days, and partitions of ODS and facts (days, or
+    months whose last day is past it), which become empty; old versions of dimensions and marts, of which the
+    published one always stays."""
     for name in ("users", "offers", "rentals", "cost_snapshots", "offer_audit", "rental_events"):
         table = sinks.read_if_present(spark, f"{root}/raw/{name}")
         if table is not None:
@@ -399,6 +413,21 @@ def archive_layers(spark: SparkSession, root: str, as_of: str) -> None:
                 spark, table, f"{root}/raw/{name}", f"{root}/archive/raw/{name}", "load_date",
                 RETENTION_DAYS["raw"], as_of,
             )
+    for layer, name, column in (
+        ("ods", "offers", grain.ods), ("ods", "rentals", grain.ods),
+        ("dds", "fact_rentals", grain.rentals), ("dds", "fact_offers", grain.offers),
+    ):
+        table = sinks.read_if_present(spark, f"{root}/{layer}/{name}")
+        if table is not None:
+            sinks.archive_partitions(
+                spark, table, f"{root}/{layer}/{name}", f"{root}/archive/{layer}/{name}", column,
+                RETENTION_DAYS[layer], as_of,
+            )
+    for layer, names in (("ods", ["users"]), ("dds", ["dim_users", "dim_stations", "dim_tariff"]), ("mart", MARTS)):
+        for name in names:
+            sinks.archive_versions(
+                spark, name, f"{root}/{layer}", f"{root}/archive/{layer}", RETENTION_DAYS[layer], as_of
+            )
 
 
 def expire_open_offers(offers: DataFrame, as_of: str) -> DataFrame:
@@ -435,13 +464,14 @@ def refresh_marts(spark: SparkSession, root: str, start: str, as_of: str) -> dic
     offers = expire_open_offers(spark.read.parquet(f"{dds}/fact_offers"), as_of)
     days = dim_date(spark, start, as_of)
     views = {
-        "dm_daily_metrics": marts.dm_daily_metrics(days, rentals, offers, as_of),
-        "dm_station_stats": marts.dm_station_stats(stations, rentals, as_of),
-        "dm_user_cohorts": marts.dm_user_cohorts(users, rentals, as_of),
-        "dm_hourly_demand": marts.dm_hourly_demand(rentals, days, dim_time(spark), as_of),
-        "dm_revenue_breakdown": marts.dm_revenue_breakdown(rentals, days, tariffs, stations, as_of),
+        "dm_daily_metrics": lambda: marts.dm_daily_metrics(days, rentals, offers, as_of),
+        "dm_station_stats": lambda: marts.dm_station_stats(stations, rentals, as_of),
+        "dm_user_cohorts": lambda: marts.dm_user_cohorts(users, rentals, as_of),
+        "dm_hourly_demand": lambda: marts.dm_hourly_demand(rentals, days, dim_time(spark), as_of),
+        "dm_revenue_breakdown": lambda: marts.dm_revenue_breakdown(rentals, days, tariffs, stations, as_of),
     }
-    return {name: sinks.refresh_mart(name, df, f"{root}/mart") for name, df in views.items()}
+    publish = lambda name, view: sinks.refresh_mart(name, view(), f"{root}/mart")
+    return dict(zip(views, together(spark, *[partial(publish, *pair) for pair in views.items()])))
 
 
 def refresh_warehouse(
@@ -466,6 +496,37 @@ def refresh_warehouse(
     return paths
 
 
+# The column of each sharded table that says when a row came or was changed last.
+SHARD_MARKS = {
+    "offers": ("OFFERS", "created_at"), "rentals": ("RENTALS", "started_at"),
+    "cost_snapshots": ("COST_SNAPSHOTS", "ts"), "offer_audit": ("OFFER_AUDIT", "ts"),
+}
+
+
+def refresh_from_shards(
+    spark: SparkSession, path: str, users: DataFrame, segments: DataFrame, stations: DataFrame, root: str,
+    start: str, as_of: str, marks: dict[str, str] | None = None, **options,
+) -> dict[str, str]:
+    """One run over what the shards below path/<table> have gained since the last good run, up to as_of.
+
+    The warehouse itself knows how far it is (see shards.py): no run passes the period on to the next. A run that fails
+    commits no mark and is repeated over the same period, which changes nothing that it had done. `marks` names other mark
+    columns, such as one of changes. Rows that reach a shard with a mark older than the last run are not seen.
+    """
+    since = shards.last_mark(spark, root)
+    names = {table: (marks or {}).get(table, mark) for table, (_, mark) in SHARD_MARKS.items()}
+    found = {
+        table: shards.read_shards(
+            spark, f"{path}/{table}", getattr(schemas, SHARD_MARKS[table][0]), mark, since, as_of
+        ).drop("shard_id")
+        for table, mark in names.items()
+    }
+    sources = Sources(users=users, segments=segments, stations=stations, **found)
+    paths = refresh_warehouse(spark, sources, root, start, as_of, since=since, **options)
+    shards.commit_mark(spark, root, as_of)
+    return paths
+
+
 def user_dimension(users: DataFrame) -> DataFrame:
     """Current user versions for marts that need only the key and the registration time."""
     return users.select(

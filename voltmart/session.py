@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings only: memory, cores and shuffle width stay the cluster's choice.
@@ -61,3 +64,12 @@ def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     path = work_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def together(spark: SparkSession, *jobs: Callable[[], object]) -> list:
+    """Run independent jobs side by side and return their results in order. Each is a Spark job or a few;
+    the scheduler fills with one what the tail of another leaves idle. The first failure is raised once
+    all have ended."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    return [job.result() for job in started]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from voltmart.operators.keys import upsert
@@ -16,7 +16,8 @@ def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+        # A partitioned table that was written without rows has a folder and no file yet.
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
@@ -93,7 +94,7 @@ def _log_changes(old: DataFrame | None, new: DataFrame, keys: list[str], columns
 def upsert_partitions(
     spark: SparkSession, path: str, src: DataFrame, keys: list[str], update_cols: list[str],
     part_col: str = "month_id", sort_col: str | None = None, order_cols: list[str] | None = None,
-    log: tuple[str, str] | None = None, log_columns: list[str] | None = None,
+    log: tuple[str, str] | None = None, log_columns: list[str] | None = None, written: bool = False,
 ) -> DataFrame:
     """Upsert into partitioned parquet, rewriting only the partitions the source touches.
 
@@ -104,7 +105,8 @@ def upsert_partitions(
 
     The merged partitions are staged in the shared folder and only then swapped in with dynamic
     overwrite, so an input is never overwritten while it is read and a failed swap can be repeated.
-    Returns the source rows as materialised on the way.
+    Returns the source rows as materialised on the way; a source that is already a `written` table is not
+    written again.
 
     With `log`, a run's name and a folder, the signed changes of `log_columns` (default: all) are published
     there before the swap; the same run finds them there when it is repeated (see changes_of).
@@ -113,7 +115,7 @@ def upsert_partitions(
         "overwrite"
     ).option("partitionOverwriteMode", "dynamic").parquet(path)
     target = read_if_present(spark, path)
-    src = cut_lineage(src, "increment")
+    src = src if written else cut_lineage(src, "increment")
     if target is None:
         if log:
             _log_changes(None, src, keys, log_columns or src.columns, log)
@@ -149,10 +151,10 @@ def changes_of(spark: SparkSession, log: tuple[str, str]) -> DataFrame | None:
     return read_version(spark, *log)
 
 
-def refresh_mart(name: str, df: DataFrame, path: str) -> str:
+def refresh_mart(name: str, df: DataFrame, path: str, published: str | None = None) -> str:
     """Write a full new version of a mart, then publish it by appending one pointer row.
 
-    Readers keep the version they resolved. A version left half-written by a failed run is never
+    `published` is the time that its retention counts from (default: now). Readers keep the version they resolved. A version left half-written by a failed run is never
     pointed at and, its folder being unique, not in the way of the next run either.
     """
     spark = df.sparkSession
@@ -163,6 +165,7 @@ def refresh_mart(name: str, df: DataFrame, path: str) -> str:
         F.lit(name).alias("mart"),
         F.lit(version).cast("bigint").alias("version"),
         F.lit(target).alias("location"),
+        F.lit(published).cast("timestamp").alias("published_at") if published else F.current_timestamp().alias("published_at"),
     )
     pointer.coalesce(1).write.mode("append").parquet(f"{path}/{name}/pointers")
     return target
@@ -203,20 +206,52 @@ def apply_retention(
     return df.filter(~old), df.filter(old)
 
 
+def _partition_day(part_col: str, kind: str) -> Column:
+    """The last day of a partition: its date, its day (YYYYMMDD) or the end of its month (YYYYMM)."""
+    if kind == "date":
+        return F.col(part_col)
+    if part_col == "month_id":
+        return F.last_day(F.to_date(F.concat(F.col(part_col).cast("string"), F.lit("01")), "yyyyMMdd"))
+    return F.to_date(F.col(part_col).cast("string"), "yyyyMMdd")
+
+
 def archive_partitions(
     spark: SparkSession, df: DataFrame, path: str, archive: str, part_col: str, days: int, as_of: str
 ) -> None:
-    """Copy the day partitions past their retention to the archive, then empty them.
+    """Copy the partitions past their retention to the archive, then empty them. A partition is past it
+    when its last day is; one without a day is kept.
 
-    Both steps work on whole partitions and can be repeated: the copy overwrites its own days only, and
-    a day is emptied after its copy is there.
+    Both steps work on whole partitions and can be repeated: the copy overwrites its own partitions only, and
+    one is emptied after its copy is there.
     """
-    _, old = apply_retention(df, part_col, days, as_of)
+    kind = df.schema[part_col].dataType.simpleString()
+    parts = df.select(part_col).distinct().withColumn("_day", _partition_day(part_col, kind))
+    _, old = apply_retention(parts, "_day", days, as_of)
     gone = _partitions(old, part_col)
     if not gone:
         return
-    old.write.partitionBy(part_col).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(archive)
+    full = df.filter(F.col(part_col).isin(list(gone)))
+    full.write.partitionBy(part_col).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(archive)
     for value in gone:
         spark.createDataFrame([], df.drop(part_col).schema).write.mode("overwrite").option(
             "partitionOverwriteMode", "static"
         ).parquet(f"{path}/{part_col}={value}")
+
+
+def archive_versions(
+    spark: SparkSession, name: str, path: str, archive: str, days: int, as_of: str
+) -> None:
+    """Copy versions that were replaced longer ago than the retention to the archive and empty their folders. The
+    version published last stays, whatever its age. Versions published before pointers had a time stay too."""
+    pointers = read_if_present(spark, f"{path}/{name}/pointers")
+    if pointers is None or "published_at" not in pointers.columns:
+        return
+    newest_first = Window.orderBy("version")
+    replaced = pointers.withColumn("_replaced_at", F.lead("published_at").over(newest_first))
+    _, old = apply_retention(replaced.filter(F.col("_replaced_at").isNotNull()), "_replaced_at", days, as_of)
+    for row in old.collect():  # a version per run, one row each
+        version = read_if_present(spark, row["location"])
+        if version is None or version.isEmpty():
+            continue
+        version.write.mode("overwrite").parquet(f"{archive}/{name}/v{row['version']:08d}")
+        spark.createDataFrame([], version.schema).write.mode("overwrite").parquet(row["location"])

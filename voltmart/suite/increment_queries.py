@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import wraps
-
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from voltmart.functions.scalar import date_id, month_id
 from voltmart.operators.dims import dim_time
@@ -14,26 +12,12 @@ from voltmart.sources import sinks, standins as src
 from voltmart.suite.mart_queries import (
     AS_OF, DAILY_SQL, STATION_COLUMNS, calendar, event_calendar, tariff_dimension,
 )
-from voltmart.suite.registry import day, num, query
+from voltmart.suite.registry import day, num, once_per_session, query
 
 RUNS = ["2001-06-15", "2001-07-10", AS_OF]
 EVENT_RUNS = ["2024-01-10", "2024-01-20", src.EVENTS_AS_OF]
 
 
-def once_per_session(build):
-    """Several queries look at one load; a session runs it once for each folder of tables."""
-    done: dict[tuple, object] = {}
-
-    @wraps(build)
-    def run(spark: SparkSession, *arguments):
-        key = (spark.sparkContext.applicationId, *arguments)
-        if key not in done:
-            done[key] = build(spark, *arguments)
-        return done[key]
-
-    return run
-
-
 def in_three_parts(facts: DataFrame, key: str) -> list[DataFrame]:
     """The same facts as three increments. The first has unfinished rentals without costs, some on another day,
     at another station or under another user; the later ones correct these, each a part, and bring late rows."""

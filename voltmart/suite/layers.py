@@ -6,13 +6,16 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F, types as T
 
+from voltmart import schemas
 from voltmart.functions import scalar as S
-from voltmart.operators import access, dims, facts, keys, ods, pricing
+from voltmart.operators import access, balance, bitemporal, dims, facts, keys, ods, pricing
 from voltmart.plans import warehouse
-from voltmart.session import work_dir
-from voltmart.sources import extracts, sinks, standins as src
-from voltmart.suite.mart_queries import DAILY_SQL, calendar, tariff_dimension
-from voltmart.suite.registry import VIEWS, day, moment, num, query
+from voltmart.session import cut_lineage, work_dir
+from voltmart.sources import extracts, shards, sinks, standins as src
+from voltmart.suite.mart_queries import (
+    COHORTS_SQL, DAILY_SQL, STATION_COLUMNS, calendar, tariff_dimension,
+)
+from voltmart.suite.registry import VIEWS, day, moment, num, once_per_session, query
 
 AS_OF = src.ORDERS_AS_OF
 EARLIER = "2001-07-01"
@@ -201,6 +204,85 @@ def _(spark, sf):
     return extracts.shard_balance(offers, 7, row_bytes=100_000, limit_bytes=200_000_000)
 
 
+LOADS = """
+loads AS (
+  SELECT shard_id, user_id, CAST(sum(bytes) AS BIGINT) AS bytes, CAST(count(*) AS BIGINT) AS n
+  FROM (SELECT CASE WHEN CAST(user_id AS BIGINT) % 10 < 5 THEN 0 ELSE CAST(user_id AS BIGINT) % 4 END AS shard_id, *
+        FROM (SELECT user_id, strlen(offer_id) + strlen(user_id) + strlen(station_id) + strlen(status) AS bytes FROM offers
+              UNION ALL SELECT user_id, strlen(rental_id) + strlen(offer_id) + strlen(user_id) + strlen(status) FROM rentals))
+  GROUP BY 1, 2)"""
+
+
+def loads_by_shard(spark, sf):
+    """Real bytes per user; a placement by hand has put half of all users on the first of four shards."""
+    number = F.col("user_id").cast("long")
+    shard = F.when(number % 10 < 5, F.lit(0)).otherwise(number % 4).cast("int")
+    tables = [
+        src.offers(spark, sf).select("offer_id", "user_id", "station_id", "status"),
+        src.rentals(spark, sf).select("rental_id", "offer_id", "user_id", "status"),
+    ]
+    sized = [t.withColumn("_bytes", balance.row_bytes(t)).withColumn("shard_id", shard) for t in tables]
+    parts = [
+        t.groupBy("shard_id", "user_id").agg(F.sum("_bytes").alias("bytes"), F.count(F.lit(1)).alias("rows"))
+        for t in sized
+    ]
+    return balance.merge_loads(parts[0].unionByName(parts[1]))
+
+
+@query("heavy_users", f"""
+WITH {LOADS}
+SELECT CAST(shard_id AS INTEGER) AS shard_id, CAST(place AS INTEGER) AS rank, user_id, bytes, n AS rows,
+       round(CAST(bytes AS DOUBLE) / total, 6) AS share
+FROM (SELECT *, row_number() OVER (PARTITION BY shard_id ORDER BY bytes DESC, user_id) AS place,
+             sum(bytes) OVER (PARTITION BY shard_id) AS total FROM loads)
+WHERE place <= 20""", "offers rentals")
+def _(spark, sf):
+    return balance.heavy_hitters(loads_by_shard(spark, sf), 20)
+
+
+@query("shard_moves", f"""
+WITH {LOADS},
+sizes AS (SELECT shard_id, CAST(sum(bytes) AS BIGINT) AS size FROM loads GROUP BY 1),
+mean AS (SELECT CAST(sum(size) AS BIGINT) // 4 AS mean FROM sizes),
+moved AS (
+  SELECT * FROM (SELECT l.*, size - mean AS over_mean,
+                        sum(bytes) OVER (PARTITION BY l.shard_id ORDER BY bytes DESC, user_id) AS upto
+                 FROM loads l JOIN sizes USING (shard_id), mean WHERE size > mean AND bytes <= size - mean)
+  WHERE upto <= over_mean),
+line AS (SELECT *, 2 * sum(bytes) OVER (ORDER BY bytes DESC, user_id, shard_id) - bytes AS middle FROM moved),
+rooms AS (SELECT shard_id AS to_shard, sum(mean - size) OVER (ORDER BY mean - size DESC, shard_id) AS room_end
+          FROM sizes, mean WHERE size < mean)
+SELECT user_id, CAST(shard_id AS INTEGER) AS from_shard, bytes, CAST(coalesce(
+         (SELECT to_shard FROM rooms WHERE middle <= 2 * room_end ORDER BY room_end LIMIT 1),
+         (SELECT to_shard FROM rooms ORDER BY room_end DESC LIMIT 1)) AS INTEGER) AS to_shard
+FROM line""", "offers rentals")
+def _(spark, sf):
+    return balance.move_plan(cut_lineage(loads_by_shard(spark, sf), "loads"), 4)
+
+
+def sharded(spark, sf, table: str, df) -> str:
+    """A table as two shards of files, by user."""
+    path = f"{work_dir(spark, 'shards')}/{table}"
+    key = "user_id" if "user_id" in df.columns else df.columns[0]
+    df.withColumn("shard", F.pmod(F.xxhash64(key), F.lit(2))).write.partitionBy("shard").parquet(path)
+    return path
+
+
+@query("read_shards", f"""
+SELECT offer_id, user_id, status, {moment('created_at')} AS created_at FROM offers
+WHERE created_at > TIMESTAMP '{EARLIER}' AND created_at <= TIMESTAMP '{AS_OF}'""", "offers")
+def _(spark, sf):
+    # The second of two loads: what came after the first one's mark.
+    path, root = sharded(spark, sf, "offers", src.offers(spark, sf)), work_dir(spark, "marks")
+    for upto in (EARLIER, AS_OF):
+        since = shards.last_mark(spark, root)
+        rows = shards.read_shards(spark, path, schemas.OFFERS, "created_at", since, upto)
+        sinks.append_raw(extracts.load_raw(rows, "offer_service", upto), f"{root}/raw")
+        shards.commit_mark(spark, root, upto)
+    loaded = spark.read.parquet(f"{root}/raw").filter(F.col("load_date") == AS_OF)
+    return loaded.select("offer_id", "user_id", "status", "created_at")
+
+
 # --- projections and predicates ---------------------------------------------------------------
 
 
@@ -662,13 +744,138 @@ def in_two_parts(whole: warehouse.Sources) -> tuple[warehouse.Sources, warehouse
     return first, second
 
 
-@query("refresh_warehouse_late", WAREHOUSE_SQL, "calendar rentals last_snapshot")
-def _(spark, sf):
+@once_per_session
+def late_run(spark, sf) -> str:
+    """A warehouse after two runs over disjoint parts of the sources."""
     root = work_dir(spark, "warehouse")
     first, second = in_two_parts(sources(spark, sf))
     warehouse.refresh_warehouse(spark, first, root, src.FIRST_DAY, EARLIER)
-    paths = warehouse.refresh_warehouse(spark, second, root, src.FIRST_DAY, AS_OF, since=EARLIER)
-    return spark.read.parquet(paths["dm_daily_metrics"])
+    warehouse.refresh_warehouse(spark, second, root, src.FIRST_DAY, AS_OF, since=EARLIER)
+    return root
+
+
+def late_mart(name: str):
+    return lambda spark, sf: sinks.read_mart(spark, name, f"{late_run(spark, sf)}/mart")
+
+
+PAID = "paid AS (SELECT r.* EXCLUDE (final_cost), s.cost_amount AS final_cost FROM rentals r LEFT JOIN last_snapshot s USING (rental_id))"
+
+
+def over_paid(view: str, *changes: tuple[str, str]) -> str:
+    """A mart's view over rentals whose cost is that of the last snapshot."""
+    text = VIEWS[view]
+    for old, new in (("JOIN rentals r", "JOIN paid r"), ("FROM rentals", "FROM paid"), ("FROM visits", "FROM paid"), *changes):
+        text = text.replace(old, new)
+    return f"WITH {PAID}, {view} AS ({text})"
+
+
+query("refresh_warehouse_late", WAREHOUSE_SQL, "calendar rentals last_snapshot")(late_mart("dm_daily_metrics"))
+query(
+    "refresh_late_station_stats", f"{over_paid('station_stats')} SELECT {STATION_COLUMNS} FROM station_stats",
+    "stations rentals last_snapshot",
+)(late_mart("dm_station_stats"))
+query(
+    "refresh_late_revenue_breakdown", f"""{over_paid('breakdown')}
+    SELECT {day('date')} AS date, tariff_type, city, rentals_count, {num('revenue')} AS revenue,
+           avg_revenue_per_rental, CAST(total_minutes AS BIGINT) AS total_minutes FROM breakdown""",
+    "stations rentals last_snapshot tariff_dim",
+)(late_mart("dm_revenue_breakdown"))
+query(
+    "refresh_late_hourly_demand",
+    over_paid("hourly", ("2023-12-31", "2001-07-02"), ("2024-01-31", "2001-08-02")) + " SELECT * FROM hourly",
+    "rentals last_snapshot",
+)(late_mart("dm_hourly_demand"))
+query(
+    "refresh_late_user_cohorts",
+    over_paid("cohorts", ("1996-06-16", "2001-08-02"), ("1995-06-01", "2000-08-01")) + COHORTS_SQL,
+    "users rentals last_snapshot",
+)(late_mart("dm_user_cohorts"))
+
+
+@query("refresh_late_fact_rentals", f"""
+WITH {PAID}
+SELECT rental_id, user_id, md5(station_id) AS station_dwh_id, CAST(strftime(started_at, '%Y%m%d') AS INTEGER) AS start_date_id,
+       CAST(strftime(started_at, '%H%M%S') AS INTEGER) AS start_time_id,
+       CAST(strftime(finished_at, '%Y%m%d') AS INTEGER) AS end_date_id, minutes AS duration_minutes,
+       {num('final_cost')} AS final_cost, status, status = 'FINISHED' AS is_completed, status = 'CANCELLED' AS is_cancelled
+FROM paid""", "rentals last_snapshot")
+def _(spark, sf):
+    return spark.read.parquet(f"{late_run(spark, sf)}/dds/fact_rentals").select(
+        "rental_id", "user_id", "station_dwh_id", "start_date_id", "start_time_id", "end_date_id",
+        "duration_minutes", "final_cost", "status", "is_completed", "is_cancelled",
+    )
+
+
+@query("refresh_late_fact_offers", f"""
+SELECT offer_id, user_id, md5(station_id) AS station_dwh_id, CAST(strftime(created_at, '%Y%m%d') AS INTEGER) AS created_date_id,
+       CASE WHEN created_at >= TIMESTAMP '{AS_OF}' THEN 'ACTIVE' WHEN status = 'ACTIVE' THEN 'EXPIRED' ELSE status END AS status
+FROM offers""", "offers")
+def _(spark, sf):
+    stored = spark.read.parquet(f"{late_run(spark, sf)}/dds/fact_offers")
+    return warehouse.expire_open_offers(stored, AS_OF).select(
+        "offer_id", "user_id", "station_dwh_id", "created_date_id", "status"
+    )
+
+
+SNAPSHOT_DAYS = ["1995-06-01", "1997-01-01", "1998-07-01", "2000-02-01"]
+ARRIVALS = [1, 3, 0, 2]  # the order in which the snapshots come
+
+
+def user_snapshots(spark, sf) -> list:
+    """Four snapshots of all users: phones appear and disappear, some are blocked for a while, and a user is in no
+    snapshot before the number of their key allows."""
+    users, number = src.users(spark, sf), F.col("user_id").cast("long")
+    return [
+        users.filter(number % 4 <= n).withColumn(
+            "phone", F.when((number + n) % 3 == 0, F.concat(F.lit("+7"), F.col("user_id")))
+        ).withColumn("status", F.when((number + 2 * n) % 5 == 0, "BLOCKED").otherwise("ACTIVE"))
+        for n in range(len(SNAPSHOT_DAYS))
+    ]
+
+
+def versions_sql(*known: int) -> str:
+    """What the given snapshots say about every user, equal neighbours merged."""
+    days = ", ".join(f"({n}, TIMESTAMP '{SNAPSHOT_DAYS[n]}')" for n in known)
+    return f"""
+SELECT user_id, phone, status, {moment('seen_at')} AS valid_from,
+       {moment("coalesce(lead(seen_at) OVER (PARTITION BY user_id ORDER BY seen_at), TIMESTAMP '9999-12-31')")} AS valid_to
+FROM (SELECT *, lag(said) OVER (PARTITION BY user_id ORDER BY seen_at) AS before
+      FROM (SELECT *, coalesce(phone, '') || status AS said
+            FROM (SELECT CAST(c_custkey AS VARCHAR) AS user_id, seen_at,
+                         CASE WHEN (c_custkey + n) % 3 = 0 THEN '+7' || c_custkey END AS phone,
+                         CASE WHEN (c_custkey + 2 * n) % 5 = 0 THEN 'BLOCKED' ELSE 'ACTIVE' END AS status
+                  FROM customer, (VALUES {days}) AS d(n, seen_at) WHERE c_custkey % 4 <= n)))
+WHERE before IS NULL OR before <> said"""
+
+
+@once_per_session
+def user_history(spark, sf) -> str:
+    """Snapshots loaded out of order, each a day after the other from 2001-01-01 on."""
+    path, made = work_dir(spark, "bitemporal"), user_snapshots(spark, sf)
+    for place, n in enumerate(ARRIVALS):
+        seen = [
+            made[m].select("user_id", ts(SNAPSHOT_DAYS[m]).alias("seen_at")) for m in ARRIVALS[:place]
+        ]
+        earlier = None
+        for more in seen:
+            earlier = more if earlier is None else earlier.unionByName(more)
+        bitemporal.load_snapshot(spark, path, made[n], SNAPSHOT_DAYS[n], f"2001-01-{place + 1:02d}", earlier)
+    return path
+
+
+USER_VERSION = ["user_id", "phone", "status", "valid_from", "valid_to"]
+
+
+@query("bitemporal_users", versions_sql(0, 1, 2, 3))
+def _(spark, sf):
+    return bitemporal.known_at(spark.read.parquet(user_history(spark, sf))).select(*USER_VERSION)
+
+
+@query("bitemporal_users_known_before", versions_sql(1, 3))
+def _(spark, sf):
+    # What was known when two of the four snapshots had come.
+    dim = spark.read.parquet(user_history(spark, sf))
+    return bitemporal.known_at(dim, "2001-01-02 12:00:00").select(*USER_VERSION)
 
 
 @query("refresh_checks", """
@@ -711,3 +918,23 @@ def sources(spark, sf) -> warehouse.Sources:
         offer_audit=src.offer_audit(spark, sf),
         stations=src.station_directory(spark, sf),
     )
+
+
+@query("refresh_from_shards", WAREHOUSE_SQL, "calendar rentals last_snapshot")
+def _(spark, sf):
+    # Two runs, neither of which is told what the other has loaded.
+    whole, root = sources(spark, sf), work_dir(spark, "warehouse")
+    path = work_dir(spark, "shards")
+    snapshot = F.lit(None).cast("string")
+    tables = {
+        "offers": whole.offers, "rentals": whole.rentals.withColumn("tariff_snapshot", snapshot),
+        "cost_snapshots": whole.cost_snapshots.withColumn("details", snapshot), "offer_audit": whole.offer_audit,
+    }
+    for name, df in tables.items():
+        key = "offer_id" if "offer_id" in df.columns else "rental_id"
+        df.withColumn("shard", F.pmod(F.xxhash64(key), F.lit(2))).write.partitionBy("shard").parquet(f"{path}/{name}")
+    for as_of in (EARLIER, AS_OF):
+        paths = warehouse.refresh_from_shards(
+            spark, path, whole.users, whole.segments, whole.stations, root, src.FIRST_DAY, as_of
+        )
+    return spark.read.parquet(paths["dm_daily_metrics"])

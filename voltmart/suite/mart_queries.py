@@ -460,11 +460,16 @@ def _(spark, sf):
     return rentals.filter(S.in_last("day", 7, AS_OF)).select("rental_id", "started_at")
 
 
-@query("months_before", """
-SELECT count(*) AS rentals FROM rentals WHERE started_at >= TIMESTAMP '2000-08-01'""", "rentals")
+@query("months_before", f"""
+SELECT rental_id, {moment('started_at')} AS started_at,
+       {day("date_trunc('month', started_at) - INTERVAL 3 MONTH")} AS three_months_earlier
+FROM rentals WHERE started_at >= TIMESTAMP '2000-08-01'""", "rentals")
 def _(spark, sf):
     recent = F.to_date("started_at") >= S.months_before(AS_OF, 12)
-    return src.rentals(spark, sf).filter(recent).agg(F.count(F.lit(1)).alias("rentals"))
+    earlier = F.add_months(F.trunc("started_at", "month"), -3)
+    return src.rentals(spark, sf).filter(recent).select(
+        "rental_id", "started_at", earlier.alias("three_months_earlier")
+    )
 
 
 @query("conditional_values", f"""

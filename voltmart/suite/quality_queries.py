@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voltmart import schemas
-from voltmart.operators import quality
+from voltmart.operators import digests, quality
 from voltmart.plans import dashboard, marts
 from voltmart.sources import standins as src
 from voltmart.suite.mart_queries import calendar, daily
@@ -136,15 +136,23 @@ def _(spark, sf):
 @query("row_counts", f"""
 SELECT 'events' AS table_name, {day('ts')} AS load_date, count(*) AS row_count FROM events GROUP BY 2
 UNION ALL SELECT 'offers', {day('o_orderdate')}, count(*) FROM orders GROUP BY 2
-UNION ALL SELECT 'rentals', {day('l_shipdate')}, count(*) FROM lineitem GROUP BY 2""")
+UNION ALL SELECT 'rentals', {day('l_shipdate')}, count(*) FROM lineitem GROUP BY 2
+UNION ALL SELECT 'users', {day('created_at')}, count(*) FROM users GROUP BY 2
+UNION ALL SELECT 'cost_snapshots', {day('ts')}, count(*) FROM snapshots GROUP BY 2
+UNION ALL SELECT 'offer_audit', {day('ts')}, count(*) FROM audit GROUP BY 2
+UNION ALL SELECT 'stations', NULL, count(*) FROM stations""", "users snapshots audit stations")
 def _(spark, sf):
-    days = lambda name, column: src.table(spark, sf, name).select(
-        F.to_date(column).alias("load_date")
-    )
+    days = lambda df, column: df.select(F.to_date(column).alias("load_date"))
+    table = lambda name: src.table(spark, sf, name)
     return quality.row_counts({
-        "events": days("events", "ts"),
-        "offers": days("orders", "o_orderdate"),
-        "rentals": days("lineitem", "l_shipdate"),
+        "events": days(table("events"), "ts"),
+        "offers": days(table("orders"), "o_orderdate"),
+        "rentals": days(table("lineitem"), "l_shipdate"),
+        "users": days(src.users(spark, sf), "created_at"),
+        "cost_snapshots": days(src.cost_snapshots(spark, sf), "ts"),
+        "offer_audit": days(src.offer_audit(spark, sf), "ts"),
+        # The directory of stations has no load date.
+        "stations": src.stations(spark, sf).select(F.lit(None).cast("date").alias("load_date")),
     })
 
 
@@ -165,3 +173,26 @@ FROM (SELECT date_actual, total_revenue, round(CAST(sum(total_revenue) OVER w AS
 WHERE total_revenue < 0.8 * usual""", "daily")
 def _(spark, sf):
     return quality.check_revenue_drop(dashboard.revenue_alert(daily(spark, sf)))
+
+
+@query("check_copy", """
+SELECT 'copy' AS check_name, 'fact_rentals' AS table_name, key, problem AS observed, 'same' AS expected, false AS passed
+FROM (SELECT CASE WHEN month = '199905' THEN 'new-' || rental_id ELSE rental_id END AS key,
+             CASE WHEN month = '199603' AND l_orderkey % 5 = 0 THEN 'lost'
+                  WHEN month = '199704' AND l_orderkey % 7 = 0 THEN 'changed'
+                  WHEN month = '199805' AND l_orderkey % 9 = 0 THEN 'doubled'
+                  WHEN month = '199905' AND l_orderkey % 11 = 0 THEN 'added' END AS problem
+      FROM (SELECT *, strftime(started_at, '%Y%m') AS month FROM rentals))
+WHERE problem IS NOT NULL""", "rentals")
+def _(spark, sf):
+    # A copy that lost rows in one month, has other values in another, doubles and strangers in two more.
+    facts = src.rental_facts(spark, sf)
+    number = F.split("rental_id", "-")[0].cast("long")
+    hit = lambda month, n: (F.col("month_id") == month) & (number % n == 0)
+    copy = facts.filter(~hit(199603, 5)).withColumn(
+        "duration_minutes",
+        F.when(hit(199704, 7), F.coalesce("duration_minutes", F.lit(0)) + 1).otherwise(F.col("duration_minutes")),
+    )
+    strangers = facts.filter(hit(199905, 11)).withColumn("rental_id", F.concat(F.lit("new-"), "rental_id"))
+    copy = copy.unionByName(copy.filter(hit(199805, 9))).unionByName(strangers)
+    return digests.check_copy(facts, copy, ["rental_id"], ["month_id", "start_date_id"], "fact_rentals")

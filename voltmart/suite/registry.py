@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -44,6 +45,20 @@ def query(name: str, sql: str | None = None, views: str = ""):
     return register
 
 
+def once_per_session(build):
+    """Several queries look at one load; a session runs it once for each folder of tables."""
+    done: dict[tuple, object] = {}
+
+    @wraps(build)
+    def run(spark: SparkSession, *arguments):
+        key = (spark.sparkContext.applicationId, *arguments)
+        if key not in done:
+            done[key] = build(spark, *arguments)
+        return done[key]
+
+    return run
+
+
 def num(expression: str) -> str:
     return f"CAST({expression} AS DOUBLE)"
 
