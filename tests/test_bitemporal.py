@@ -52,7 +52,7 @@ def arrive(spark, make, order, path):
     return spark.read.parquet(path)
 
 
-@pytest.mark.parametrize("order", [(1, 2, 3, 4), (4, 3, 2, 1), (2, 4, 1, 3), (3, 1, 4, 2)])
+@pytest.mark.parametrize("order", [(4, 3, 2, 1), (2, 4, 1, 3)])
 def test_any_order_of_arrival_gives_one_dimension(spark, make, order):
     path = work_dir(spark, "test")
     dim = arrive(spark, make, order, path)
@@ -91,7 +91,7 @@ def test_a_corrected_snapshot_replaces_what_it_said(spark, make):
 
 def test_random_snapshots_in_random_order(spark, make, monkeypatch):
     dice = random.Random(12)
-    days = list(range(1, 8))
+    days = list(range(1, 6))
     made = {d: [(f"u{k}", dice.choice("xy"), None, "ACTIVE") for k in range(25) if dice.random() < 0.8] for d in days}
     monkeypatch.setitem(globals(), "SNAPSHOTS", made)
     order = days[:]

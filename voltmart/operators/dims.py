@@ -9,6 +9,7 @@ from voltmart.operators.keys import close_intervals
 from voltmart.operators.scan import MOST, last_known, scan
 from voltmart.schemas import OPEN_END
 
+FEW_VERSIONS = 64  # of a key, up to which a fact may meet all of them
 TRACKED_USER_COLUMNS = ["email", "phone", "status"]
 
 
@@ -191,11 +192,19 @@ def asof_dim(
 ) -> DataFrame:
     """Dimension columns of the version valid at the fact's time; NULL when none was.
 
-    Versions of a key must not overlap; one with an empty interval is never found. A fact does not meet all
-    versions of its key: versions and facts stand in one line by time, and the last version is carried
-    along it, which is linear in both even where one key has most of them (see scan.py).
+    Versions of a key must not overlap; one with an empty interval is never found. Where no key has more than
+    FEW_VERSIONS, facts are joined with the versions of their key. Otherwise versions and facts stand in one line by
+    time, and the last version is carried along it, which is linear in both even where one key has most of
+    them (see scan.py).
     """
     start = F.col("valid_from")
+    if dim.groupBy(key).count().filter((F.col("count") > FEW_VERSIONS) & F.col(key).isNotNull()).isEmpty():
+        versions = dim.select(
+            F.col(key).alias("_key"), start.alias("_from"), F.col("valid_to").alias("_to"), *picked
+        )
+        at = F.col(ts)
+        valid = (F.col(key) == F.col("_key")) & (F.col("_from") <= at) & (at < F.col("_to"))
+        return fact.join(versions, valid, "left").drop("_key", "_from", "_to")
     line = fact.select(
         F.col(key).alias("_key"), F.col(ts).alias("_at"), F.lit(1).alias("_kind"),
         F.lit(None).cast("timestamp").alias("_until"), F.struct("*").alias("_fact"), F.lit(None).alias("_version"),
