@@ -191,3 +191,23 @@ def test_generated_hosts_against_every_pair(spark, parts):
     got = {r.page_id: r.text for r in html.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     spark.conf.set("spark.sql.shuffle.partitions", 4)
     assert got == brute(rows)
+
+
+@pytest.mark.parametrize("parts", [1, 6])
+def test_more_near_copies_than_may_wait_hide_no_partner(spark, monkeypatch, parts):
+    """A host begins with 200 near copies of one page, a multiple of what waits; their partners come after them."""
+    monkeypatch.setattr(html, "CHUNK", 8)
+    top = "".join(f"<div>Top {k}</div>" for k in range(3))
+    copy = [sentence(k) for k in range(8)]
+    rows = [("http://a.example/x", "<p>other host</p>")]
+    for n in range(200):
+        body = [*copy, sentence(30_000 + (n if n % 2 else 0))]
+        rows.append((f"http://b.example/a{n:03d}", top + "".join(f"<p>{t}</p>" for t in body)))
+    for n in range(6):
+        rows.append((f"http://b.example/b{n}", top + "".join(f"<p>{sentence(50_000 + 20 * n + k)}</p>" for k in range(4))))
+    rows = [(n, *row) for n, row in enumerate(rows)]
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    got = {r.page_id: r.text for r in html.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert got == brute(rows)
+    assert not any("Top" in text for text in got.values())

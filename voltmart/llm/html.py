@@ -75,7 +75,8 @@ KEPT, BELOW, OTHER = 2, 1, 0
 PARTNERS = 4  # pages that a page is aligned with
 UNDECLARED = 2  # of these, for a page without a declared article or main part
 LONG_LINE = 40  # characters of a line that tells near copies
-WAITING = 64  # pages that wait for partners after them
+KNOWN = 16  # distinct pages of a host held for the pages after them, and handed to the ranges beside
+WAITING, HELD = 64, 8192  # different pages and rows that wait for partners after them
 ARTICLE, MAIN = 1, 2
 NONE = ("", 0, 0, None, None)
 
@@ -379,34 +380,40 @@ class Range:
         self.host, self.first_host = None, True
         # Pages of this host, none a near copy of one before it in the list: the last ones, and the first ones.
         self.before: list[Page] = []
+        self.dropped = False  # whether `before` has lost one
         self.opening: list[Page] = []
-        self.waiting: list[tuple] = []  # (row, lines, partners before, partners after)
+        self.waiting: list[tuple] = []  # (rows of equal lines, lines, partners before, partners after)
+        self.held = 0  # rows that wait
         self.out: list[tuple] = []
 
-    def _decide(self, row, page: Page, near: list[Page]) -> None:
-        self.out.append((row.page_id, row.url, row.host, DECIDED, main_text(page, near), None, None, None))
+    def _decide(self, rows: list, page: Page, near: list[Page]) -> None:
+        text = main_text(page, near)
+        self.out += [(row.page_id, row.url, row.host, None, DECIDED, text, None, None, None, None) for row in rows]
 
-    def _border(self, row, page: Page, before: list[Page], after: list[Page]) -> None:
-        packed = lambda some: [pack(p) for p in some]
-        self.out.append((row.page_id, row.url, row.host, OPEN, None, row.lines, packed(before), packed(after)))
+    def _border(self, rows: list, before: list[Page], after: list[Page], kind: int) -> None:
+        before, after = [pack(p) for p in before], [pack(p) for p in after]
+        self.out += [
+            (row.page_id, row.url, row.host, row.path, kind, None, row.lines, before, after, None) for row in rows
+        ]
 
-    def _edge(self, kind: int, some: list[Page]) -> None:
-        """What the ranges beside this one need of the host at its edge."""
-        self.out.append((None, None, self.host, kind, None, None, [pack(p) for p in some], None))
+    def _edge(self, kind: int, some: list[Page], whole: bool) -> None:
+        """What the ranges beside this one need of the host at its edge, and whether that is all it has there."""
+        self.out.append((None, None, self.host, None, kind, None, None, [pack(p) for p in some], None, whole))
 
     def close_host(self, last: bool) -> None:
         if self.host is None:
             return
-        for row, page, before, after in self.waiting:
+        for rows, page, before, after in self.waiting:
             if last or self.first_host:
-                self._border(row, page, before, after)
+                self._border(rows, before, after, OPEN)
             else:
-                self._decide(row, page, (before + after)[:PARTNERS])
+                self._decide(rows, page, (before + after)[:PARTNERS])
         if self.first_host:
-            self._edge(HEAD, self.opening)
+            self._edge(HEAD, self.opening, not last and len(self.opening) < KNOWN)
         if last:
-            self._edge(TAIL, self.before[::-1])
+            self._edge(TAIL, self.before[::-1], not self.first_host and not self.dropped)
         self.first_host, self.waiting, self.before, self.opening = False, [], [], []
+        self.dropped, self.held = False, 0
 
     def add(self, row) -> None:
         if row.host != self.host:
@@ -419,6 +426,7 @@ class Range:
                 other[3].append(page)
             if len(other[2]) + len(other[3]) == PARTNERS and not self.first_host:
                 self._decide(other[0], other[1], other[2] + other[3])
+                self.held -= len(other[0])
             else:
                 kept.append(other)
         self.waiting = kept
@@ -427,19 +435,29 @@ class Range:
             if len(near) < PARTNERS and _new_partner(page, other, near):
                 near.append(other)
         if len(near) == PARTNERS:
-            self._decide(row, page, near)
+            self._decide([row], page, near)
+        elif self.dropped:
+            self._border([row], [], [], LATE)
         else:
-            self.waiting.append((row, page, near, []))
-            if len(self.waiting) > WAITING:
-                done = self.waiting.pop(0)
-                (self._border if self.first_host else self._late)(*done)
+            self._wait(row, page, near)
         if not any(near_copies(page, other) for other in self.before):
-            self.before = [*self.before[-PARTNERS:], page]
-            if len(self.opening) <= PARTNERS:
+            self.dropped = self.dropped or len(self.before) == KNOWN
+            self.before = [*self.before[1 - KNOWN :], page]
+            if len(self.opening) < KNOWN:
                 self.opening.append(page)
 
-    def _late(self, row, page: Page, before: list[Page], after: list[Page]) -> None:
-        self._decide(row, page, before + after)
+    def _wait(self, row, page: Page, near: list[Page]) -> None:
+        rows, _, before, after = self.waiting[-1] if self.waiting else ([], None, [], [])
+        # An equal page right after another one waits with it.
+        if rows and rows[0].lines == row.lines and not after and list(map(id, before)) == list(map(id, near)):
+            rows.append(row._replace(lines=rows[0].lines))
+        else:
+            self.waiting.append(([row], page, near, []))
+        self.held += 1
+        while len(self.waiting) > WAITING or self.held > HELD:
+            rows, _, before, after = self.waiting.pop(0)
+            self.held -= len(rows)
+            self._border(rows, before, after, CUT if self.first_host else LATE)
 
 
 def _new_partner(page: Page, other: Page, near: list[Page]) -> bool:
@@ -447,7 +465,155 @@ def _new_partner(page: Page, other: Page, near: list[Page]) -> bool:
     return not near_copies(page, other) and not any(near_copies(other, n) for n in near)
 
 
-DECIDED, OPEN, HEAD, TAIL = 0, 1, 2, 3
+# CUT: open, but the range has more pages after those it met. LATE: it takes a search of its host.
+DECIDED, OPEN, HEAD, TAIL, CUT, LATE = 0, 1, 2, 3, 4, 5
+CHUNK = 512  # pages of a host that a search meets at once
+
+
+def _hosts(urls: pd.Series) -> pd.Series:
+    return urls.map(lambda url: _address(url)[0])
+
+
+def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sorted pages and searches of a range -> its chunks, the pages of one host each, and the searches with
+    the chunk they stand in and the number of its pages before them."""
+    part, host, number, asks, held = task_number(), None, 0, 0, []
+    names = ["host", "part", "number", "pages", "ask", "place", "page_id", "url", "lines"]
+    out: list[tuple] = []
+
+    def close() -> None:
+        nonlocal number, held
+        if host is not None:
+            out.append((host, part, number, held, None, None, None, None, None))
+        number, held = number + 1, []
+
+    for batch in batches:
+        for row in batch.itertuples(index=False):
+            if row.host != host or len(held) == CHUNK:
+                close()
+                host = row.host
+            if row.asked:
+                out.append((host, part, number, None, asks, len(held), row.page_id, row.url, row.lines))
+                asks += 1
+            else:
+                held.append(row.lines)
+        yield pd.DataFrame(out, columns=names)
+        out = []
+    close()
+    yield pd.DataFrame(out, columns=names)
+
+
+def _look(asked: pd.DataFrame, chunk: pd.DataFrame) -> pd.DataFrame:
+    """The searches that find partners in a chunk, with all they have then. A page refused once is refused for
+    good, since partners are only added; so equal pages are looked at once."""
+    out, known = [], {}
+    pages = chunk["pages"].iloc[0] if len(chunk) else []
+    kinds: dict[bytes, int] = {}
+    kind = [kinds.setdefault(bytes(p), len(kinds)) for p in pages]
+    opened = [unpack(p) for p in kinds]
+    for row in asked.itertuples(index=False):
+        places = range(len(pages))
+        if row.step == 0:
+            places = places[: row.place]
+        elif row.step == row.own + 1:
+            places = places[row.place :]
+        places = places[::-1] if row.step <= row.own else places
+        had = tuple(bytes(p) for p in row.near)
+        same = (row.lines, had, places)
+        if same not in known:
+            page, near, more = unpack(row.lines), [unpack(p) for p in had], []
+            for k in dict.fromkeys(kind[place] for place in places):
+                if len(near) == PARTNERS:
+                    break
+                if _new_partner(page, opened[k], near):
+                    near.append(opened[k])
+                    more.append(k)
+            known[same] = [*had, *[pack(opened[k]) for k in more]] if more else None
+        if known[same]:
+            out.append((row.part, row.ask, row.step, known[same]))
+    return pd.DataFrame(out, columns=["part", "ask", "step", "found"])
+
+
+def _search(pages: DataFrame, late: DataFrame) -> DataFrame:
+    """(page_id, url, text) of late pages, (page_id, url, host, path, lines): each meets the pages of its host before it, the
+    nearest first, then those after it, until it has its partners or the host ends.
+
+    Hosts are cut into chunks. A round asks twice as many chunks per page as the round before; of those that have
+    a partner for the page only the first one counts, and the page goes on behind it. So rounds are few, a task holds a chunk
+    and the searches that stand in one other chunk, and no page is passed over. Where all pages of a host are near copies without
+    being equal each of them meets every other one: that is quadratic in such a host.
+    """
+    order = ["host", "path", "page_id", "url"]
+    columns = [*order, "lines"]
+    hosts = cut_lineage(late.select("host").distinct(), "hosts")
+    own = F.pandas_udf(_hosts, "string")("url")
+    their = pages.select("page_id", "url", "html", own.alias("host")).join(hosts, "host", "left_semi")
+    rows = _lines(their).select(*columns, F.lit(False).alias("asked")).unionByName(
+        late.select(*columns, F.lit(True).alias("asked"))
+    )
+    cut = cut_lineage(
+        rows.repartitionByRange(*order, "asked").sortWithinPartitions(*order, "asked").mapInPandas(
+            returns_memory(_chunks),
+            "host string, part int, number int, pages array<binary>, ask int, place int, page_id string, url string, "
+            "lines binary",
+        ),
+        "chunks",
+    )
+    is_chunk = F.col("ask").isNull()
+    line = Window.partitionBy("host").orderBy("part", "number")
+    numbers = cut.where(is_chunk).select(
+        "host", "part", "number", (F.row_number().over(line) - 1).alias("chunk"),
+        F.count(F.lit(1)).over(Window.partitionBy("host")).cast("int").alias("chunks"),
+    )
+    chunks = cut_lineage(
+        cut.where(is_chunk).select("host", "part", "number", "pages").join(numbers, ["host", "part", "number"])
+        .select("host", "chunk", "pages"),
+        "chunks",
+    )
+    asked = (
+        cut.where(~is_chunk).drop("pages").join(numbers, ["host", "part", "number"])
+        .withColumnRenamed("chunk", "own").drop("number")
+        .withColumn("step", F.lit(0)).withColumn("near", F.array().cast("array<binary>"))
+    )
+    # Steps: 0 to own go back to the first chunk, own + 1 to chunks forward to the last one.
+    ended = (F.size("near") >= PARTNERS) | (F.col("step") > F.col("chunks"))
+    done, span = None, 1
+    asked = cut_lineage(asked, "asked")
+    while not asked.isEmpty():
+        last = F.least(F.col("step") + F.lit(span - 1), F.col("chunks"))
+        pairs = asked.withColumn("step", F.explode(F.sequence("step", last))).withColumn(
+            "chunk", F.when(F.col("step") <= F.col("own"), F.col("own") - F.col("step")).otherwise(F.col("step") - 1)
+        )
+        key = ["host", "own", "chunk"]
+        wanted = pairs.select(*[F.col(k).alias(f"at_{k}") for k in key]).distinct()
+        met = wanted.join(chunks, (F.col("host") == F.col("at_host")) & (F.col("chunk") == F.col("at_chunk"))).select(
+            *[f"at_{k}" for k in key], "pages"
+        )
+        found = pairs.groupBy(*key).cogroup(met.groupBy(*[f"at_{k}" for k in key])).applyInPandas(
+            _look, "part int, ask int, step int, found array<binary>"
+        )
+        first = found.groupBy("part", "ask").agg(
+            F.min_by("found", "step").alias("found"), F.min("step").alias("at")
+        )
+        asked = cut_lineage(
+            asked.join(first, ["part", "ask"], "left")
+            .withColumn("step", F.coalesce(F.col("at"), F.col("step") + F.lit(span - 1)) + 1)
+            .withColumn("near", F.coalesce("found", "near")).drop("found", "at"),
+            "asked",
+        )
+        ready = asked.where(ended)
+        done = ready if done is None else done.unionByName(ready)
+        asked, span = asked.where(~ended), 2 * span
+
+    def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = [
+                (row.page_id, row.url, main_text(unpack(row.lines), [unpack(p) for p in row.near]))
+                for row in batch.itertuples(index=False)
+            ]
+            yield pd.DataFrame(out, columns=["page_id", "url", "text"])
+
+    return done.select("page_id", "url", "lines", "near").mapInPandas(decide, "page_id string, url string, text string")
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
@@ -460,11 +626,11 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
     The pages are range-partitioned by host and path, so that a host with a third of all pages runs over many
     ranges; each range is read once, holding a few pages. Pages at its edges whose partners may lie in the range
-    before or after are decided in a second pass, by the few pages which each range hands to its neighbours. Where near copies
-    fill whole ranges, those further away are not asked, and after WAITING pages a page does with the partners it has.
+    before or after are decided in a second pass, by the few pages which each range hands to its neighbours. Pages
+    that lack partners then, although their host has more pages than they have met, search it (see _search).
     """
     order = ["host", "path", "page_id", "url"]
-    names = ["page_id", "url", "host", "kind", "text", "lines", "before", "after"]
+    names = ["page_id", "url", "host", "path", "kind", "text", "lines", "before", "after", "whole"]
 
     def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         state = Range()
@@ -482,8 +648,8 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     found = cut_lineage(
         _lines(pages).repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(
             returns_memory(decide),
-            "page_id string, url string, host string, kind int, text string, lines binary, before array<binary>, "
-            "after array<binary>, part int",
+            "page_id string, url string, host string, path string, kind int, text string, lines binary, "
+            "before array<binary>, after array<binary>, whole boolean, part int",
         ),
         "pages",
     )
@@ -492,9 +658,10 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     line = Window.orderBy("part")
     ranges = ranges.select("part", F.lag("part").over(line).alias("previous"), F.lead("part").over(line).alias("next"))
     edge = lambda kind, name, at: found.where(F.col("kind") == kind).select(
-        F.col("part").alias(at), F.col("host").alias(f"host_{name}"), F.col("before").alias(name)
+        F.col("part").alias(at), F.col("host").alias(f"host_{name}"), F.col("before").alias(name),
+        F.col("whole").alias(f"all_{name}"),
     )
-    asked = found.where(F.col("kind") == OPEN).join(ranges, "part")
+    asked = found.where(F.col("kind").isin(OPEN, CUT)).join(ranges, "part")
     for kind, name, at in ((TAIL, "earlier", "previous"), (HEAD, "later", "next")):
         side = edge(kind, name, f"{at}_part")
         same = (F.col(at) == F.col(f"{at}_part")) & F.col("host").eqNullSafe(F.col(f"host_{name}"))
@@ -504,21 +671,38 @@ def extract_pages(pages: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for row in batch.itertuples(index=False):
-                page, near = unpack(row.lines), []
-                for some in (row.before, row.earlier, row.after, row.later):
+                page, near, late = unpack(row.lines), [], False
+                for some, whole in (
+                    (row.before, True), (row.earlier, row.all_earlier in (None, True)), (row.after, row.kind == OPEN),
+                    (row.later, row.all_later in (None, True)),
+                ):
                     for other in map(unpack, [] if some is None else some):
                         if len(near) < PARTNERS and _new_partner(page, other, near):
                             near.append(other)
-                out.append((row.page_id, row.url, main_text(page, near)))
-            yield pd.DataFrame(out, columns=["page_id", "url", "text"])
-
-    met = asked.select("page_id", "url", "lines", "before", "earlier", "after", "later").mapInPandas(
-        again, "page_id string, url string, text string"
+                    late = len(near) < PARTNERS and not whole
+                    if late:
+                        break
+                text = None if late else main_text(page, near)
+                out.append((row.page_id, row.url, row.host, row.path, row.lines if late else None, text))
+            yield pd.DataFrame(out, columns=["page_id", "url", "host", "path", "lines", "text"])
+
+    met = cut_lineage(
+        asked.select(
+            "page_id", "url", "host", "path", "kind", "lines", "before", "earlier", "all_earlier", "after", "later", "all_later",
+        ).mapInPandas(again, "page_id string, url string, host string, path string, lines binary, text string"),
+        "border",
+    )
+    columns = ["page_id", "url", "host", "path", "lines"]
+    late = met.where("text is null").select(*columns).unionByName(
+        found.where(F.col("kind") == LATE).select(*columns)
     )
+    texts = met.where("text is not null").select("page_id", "url", "text")
+    if not late.isEmpty():
+        texts = texts.unionByName(_search(pages, late))
     return (
         found.where(F.col("kind") == DECIDED)
         .select("page_id", "url", "text")
-        .unionByName(met)
+        .unionByName(texts)
         .select(
             F.col("page_id").cast(pages.schema["page_id"].dataType).alias("page_id"),
             "url",
