@@ -171,6 +171,26 @@ def test_finish_order_of_checks(make):
     }
 
 
+def test_finish_requests_are_read_once(spark, tmp_path):
+    """Winners and outcomes come from one join of requests and rentals, not from one each."""
+    spark.range(400).selectExpr(
+        "cast(id as string) as request_id", "cast(id % 90 as string) as rental_id", "cast(id % 7 as string) as user_id",
+        "timestamp_seconds(id) as ts",
+    ).write.parquet(f"{tmp_path}/requests")
+    spark.range(80).selectExpr(
+        "cast(id as string) as rental_id", "cast(id % 7 as string) as user_id", "'ACTIVE' as status"
+    ).write.parquet(f"{tmp_path}/rentals")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    found = rentals.classify_finish(spark.read.parquet(f"{tmp_path}/rentals"), spark.read.parquet(f"{tmp_path}/requests"))
+    assert len(found.collect()) == 400
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    # One of them for requests without a rental, which are not shuffled.
+    assert plan.count("FileScan parquet [request_id") == 2, plan
+    assert plan.count("ReusedExchange") == 2, plan
+
+
 def test_double_start_burns_the_offer(make):
     offers = make(OFFER, [(f"o{i}", "u", "s", "ACTIVE", "2024-01-02 00:00:00") for i in range(3)])
     attempts = make(

@@ -58,11 +58,14 @@ def classify_finish(rentals: DataFrame, requests: DataFrame) -> DataFrame:
     known = rentals.select(
         "rental_id", F.col("user_id").alias("_owner"), "status", F.lit(True).alias("_known")
     )
-    asked = requests.join(known, "rental_id", "left")
+    named = F.col("rental_id").isNotNull()
+    asked = requests.filter(named).join(known, "rental_id", "left")
     own = F.col("_owner").eqNullSafe(F.col("user_id"))
     passing = F.col("_known") & own & ~F.col("status").eqNullSafe("FINISHED")
     order = F.struct("ts", "request_id")
-    winners = asked.filter(passing).groupBy("rental_id").agg(F.min(order).alias("_winner"))
+    # `asked` has no NULL keys and winners are not filtered before: both its readers then have the same plan,
+    # and it is shuffled once.
+    winners = asked.groupBy("rental_id").agg(F.min(F.when(passing, order)).alias("_winner"))
     outcome = (
         F.when(F.col("_known").isNull(), "NOT_FOUND")
         .when(~own, "USER_MISMATCH")
@@ -70,9 +73,9 @@ def classify_finish(rentals: DataFrame, requests: DataFrame) -> DataFrame:
         .when(order == F.col("_winner"), "OK")
         .otherwise("ALREADY_FINISHED")
     )
-    return asked.join(winners, "rental_id", "left").select(
-        "request_id", "rental_id", "user_id", "ts", outcome.alias("outcome")
-    )
+    columns = ["request_id", "rental_id", "user_id", "ts"]
+    nameless = requests.filter(~named).select(*columns, F.lit("NOT_FOUND").alias("outcome"))
+    return asked.join(winners, "rental_id", "left").select(*columns, outcome.alias("outcome")).union(nameless)
 
 
 def outbox_pending(outbox: DataFrame, snapshots: DataFrame, as_of: str) -> DataFrame:
