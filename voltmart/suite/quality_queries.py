@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from voltmart import schemas
 from voltmart.operators import digests, quality
 from voltmart.plans import dashboard, marts
+from voltmart.session import cut_lineage
 from voltmart.sources import standins as src
 from voltmart.suite.mart_queries import calendar, daily
 from voltmart.suite.registry import day, query
@@ -186,7 +187,8 @@ FROM (SELECT CASE WHEN month = '199905' THEN 'new-' || rental_id ELSE rental_id
 WHERE problem IS NOT NULL""", "rentals")
 def _(spark, sf):
     # A copy that lost rows in one month, has other values in another, doubles and strangers in two more.
-    facts = src.rental_facts(spark, sf)
+    # Every level reads both sides; without the cut each reading derives the facts anew.
+    facts = cut_lineage(src.rental_facts(spark, sf), "facts")
     number = F.split("rental_id", "-")[0].cast("long")
     hit = lambda month, n: (F.col("month_id") == month) & (number % n == 0)
     copy = facts.filter(~hit(199603, 5)).withColumn(
