@@ -157,3 +157,21 @@ def test_sorted_queries_come_in_their_order(spark):
     got = [(r.final_cost, r.started_at, r.rental_id) for r in QUERIES["order_by"](spark, "/root/testdata/sf0.001").collect()]
     assert got == sorted(got, key=lambda r: (r[0] is not None, -(r[0] or 0), r[1] is None, r[1] or "", r[2]))
     assert len(got) > 1000
+
+
+def test_suites_derive_the_facts_once(spark, monkeypatch):
+    """check_copy and the loads by delta read written facts, not the line items once per level or part."""
+    from voltmart.suite import QUERIES, increment_queries, quality_queries
+
+    class Stop(Exception):
+        pass
+
+    def stop(*frames):
+        assert not [f for df in frames for f in df.inputFiles() if "lineitem" in f]
+        raise Stop
+
+    monkeypatch.setattr(quality_queries.digests, "check_copy", lambda left, right, *_: stop(left, right))
+    monkeypatch.setattr(increment_queries, "load", lambda spark, root, name, key, rows, as_of: stop(rows))
+    for name in ("check_copy", "delta_daily_metrics"):
+        with pytest.raises(Stop):
+            QUERIES[name](spark, "/root/testdata/sf0.001")

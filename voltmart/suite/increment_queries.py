@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from voltmart.functions.scalar import date_id, month_id
 from voltmart.operators.dims import dim_time
 from voltmart.plans import state
-from voltmart.session import work_dir
+from voltmart.session import cut_lineage, work_dir
 from voltmart.sources import sinks, standins as src
 from voltmart.suite.mart_queries import (
     AS_OF, DAILY_SQL, STATION_COLUMNS, calendar, event_calendar, tariff_dimension,
@@ -61,7 +61,8 @@ def delta_marts(spark, sf: str) -> tuple[str, dict[str, str]]:
     """Where the warehouse lies after three runs, and where each mart does."""
     root, since, paths = work_dir(spark, "deltas"), "1970-01-01", {}
     stations, tariffs = src.stations(spark, sf), tariff_dimension(spark, sf)
-    rentals = in_three_parts(src.rental_facts(spark, sf), "rental_id")
+    # The three parts come from one reading of the source.
+    rentals = in_three_parts(cut_lineage(src.rental_facts(spark, sf), "facts"), "rental_id")
     offers = in_three_parts(src.offer_facts(spark, sf).drop("is_used", "is_expired_unused"), "offer_id")
     for as_of, more_rentals, more_offers in zip(RUNS, rentals, offers):
         changes = [
