@@ -191,6 +191,34 @@ def test_finish_requests_are_read_once(spark, tmp_path):
     assert plan.count("ReusedExchange") == 2, plan
 
 
+def test_attempts_are_shuffled_once(spark, tmp_path):
+    """Winners and outcomes come from one shuffle of the attempts, and only burnt offers meet the claims granted."""
+    spark.range(400).selectExpr(
+        "cast(id as string) as attempt_id", "if(id % 50 = 0, null, cast(id % 90 as string)) as offer_id",
+        "cast(id % 7 as string) as user_id", "timestamp_seconds(id) as ts",
+    ).write.parquet(f"{tmp_path}/attempts")
+    spark.range(80).selectExpr(
+        "cast(id as string) as offer_id", "cast(id % 7 as string) as user_id", "'s' as station_id", "'ACTIVE' as status",
+        "timestamp_seconds(1000) as expires_at",
+    ).write.parquet(f"{tmp_path}/offers")
+    offers, attempts = spark.read.parquet(f"{tmp_path}/offers"), spark.read.parquet(f"{tmp_path}/attempts")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    used = pricing.classify_offer_use(offers, attempts)
+    outcomes = {r.attempt_id: r.outcome for r in used.collect()}
+    plan = used._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finishes = offers.selectExpr("offer_id", "timestamp_seconds(2000) as finished_at")
+    played = rentals.replay_rentals(attempts, offers, finishes)
+    counted = len(played.collect())
+    final = played._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert len(outcomes) == counted == 400 and outcomes["0"] == outcomes["50"] == "NOT_FOUND"
+    # Once for attempts with an offer and once for those without, which are not shuffled.
+    assert plan.count("FileScan parquet [attempt_id") == 2 and plan.count("ReusedExchange") >= 1, plan
+    # The last join reads burnt offers only.
+    assert "EqualTo(outcome,USED)" in final, final
+
+
 def test_double_start_burns_the_offer(make):
     offers = make(OFFER, [(f"o{i}", "u", "s", "ACTIVE", "2024-01-02 00:00:00") for i in range(3)])
     attempts = make(

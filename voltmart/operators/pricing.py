@@ -122,15 +122,14 @@ def classify_offer_use(offers: DataFrame, attempts: DataFrame) -> DataFrame:
     known = offers.select(
         "offer_id", F.col("user_id").alias("_owner"), "station_id", "status", "expires_at"
     )
-    tried = attempts.join(known, "offer_id", "left")
+    named = F.col("offer_id").isNotNull()
+    tried = attempts.filter(named).join(known, "offer_id", "left")
     owned = F.coalesce(F.col("_owner") == F.col("user_id"), F.lit(False))
     usable = owned & (F.col("status") == "ACTIVE") & (F.col("ts") < F.col("expires_at"))
     order = F.struct("ts", "attempt_id")
-    winners = (
-        tried.filter(usable)
-        .groupBy("offer_id")
-        .agg(F.min(order).alias("_winner"))
-    )
+    # `tried` has no NULL keys and winners are not filtered before: attempts have the same plan for both readers
+    # and are shuffled once.
+    winners = tried.groupBy("offer_id").agg(F.min(F.when(usable, order)).alias("_winner"))
     won = order == F.col("_winner")
     lost = order > F.col("_winner")
     outcome = (
@@ -141,6 +140,10 @@ def classify_offer_use(offers: DataFrame, attempts: DataFrame) -> DataFrame:
         .when(lost, "ALREADY_USED")
         .otherwise("EXPIRED")
     )
-    return tried.join(winners, "offer_id", "left").select(
-        "attempt_id", "offer_id", "user_id", "ts", "station_id", outcome.alias("outcome")
+    columns = ["attempt_id", "offer_id", "user_id", "ts"]
+    nameless = attempts.filter(~named).select(
+        *columns, F.lit(None).cast(offers.schema["station_id"].dataType).alias("station_id"),
+        F.lit("NOT_FOUND").alias("outcome"),
     )
+    judged = tried.join(winners, "offer_id", "left")
+    return judged.select(*columns, "station_id", outcome.alias("outcome")).union(nameless)

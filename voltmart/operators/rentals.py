@@ -160,13 +160,18 @@ def replay_rentals(attempts: DataFrame, offers: DataFrame, finishes: DataFrame)
         F.col("claim_id").alias("attempt_id"), F.lit(True).alias("_granted")
     )
     result = (
-        F.when(~burnt, F.col("outcome"))
-        .when(F.col("_granted").isNull(), "USER_ALREADY_RENT")
+        F.when(F.col("_granted").isNull(), "USER_ALREADY_RENT")
         .when(~has_station, "STATION_MISSING")
         .otherwise("STARTED")
     )
-    return attempted.join(granted, "attempt_id", "left").select(
-        "attempt_id", "offer_id", "user_id", "ts", result.alias("outcome"),
-        burnt.alias("offer_burnt"),
+    columns = ["attempt_id", "offer_id", "user_id", "ts"]
+    # Only attempts that burnt their offer, one per offer, meet the claims; the others are judged already.
+    refused = attempted.filter(~burnt).select(
+        *columns, "outcome", F.lit(False).alias("offer_burnt"),
+        F.lit(None).cast(attempted.schema["finished_at"].dataType).alias("finished_at"),
+    )
+    started = attempted.filter(burnt).join(granted, "attempt_id", "left").select(
+        *columns, result.alias("outcome"), F.lit(True).alias("offer_burnt"),
         F.when(result == "STARTED", F.col("finished_at")).alias("finished_at"),
     )
+    return started.union(refused)
