@@ -224,6 +224,47 @@ def test_partition_upsert_leaves_other_months_alone(spark, make):
     assert january(after) == before
 
 
+def test_partition_upsert_meets_rows_where_they_are_written(spark, make, monkeypatch):
+    """Where no key moves, old and new rows are shuffled once, by partition and slot, and a cell is one file."""
+    path, moved = work_dir(spark, "test"), []
+    frames = keys.upsert
+    monkeypatch.setattr(sinks, "upsert", lambda *a: moved.append(frames(*a)) or moved[-1])
+    hints = []
+    monkeypatch.setattr(sinks, "_in_months", lambda df, part, sort, placed=False, of=sinks._in_months: (
+        hints.append(placed) or of(df, part, sort, placed)))
+    rows = spark.range(900).selectExpr("if(id = 7, null, cast(id as string)) as id", "1 as v",
+                                       "if(id % 3 = 0, null, cast(202400 + id % 3 as int)) as month_id")
+    sinks.upsert_partitions(spark, path, rows, ["id"], ["v"])
+    more = rows.filter("id is null or id < 300").selectExpr("id", "2 as v", "month_id").unionByName(
+        make("id string, v int, month_id int", [("new", 3, 202401)]))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    sinks.upsert_partitions(spark, path, more, ["id"], ["v"])
+    plan = moved[0]._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert hints == [False, True, True]
+    assert plan.count("Exchange hashpartitioning(_cell") == plan.count("Exchange ") == 2, plan
+    assert plan.count("REPARTITION_BY_NUM") == 2 and "isnull" not in plan.split("Exchange hashpartitioning(_cell")[1].split("]")[0], plan
+    stored = spark.read.parquet(path)
+    old = {(r.id, r.v, r.month_id) for r in rows.collect()}
+    new = {(r.id, r.v, r.month_id) for r in more.collect()}
+    known = {r[0] for r in new}
+    assert {(r.id, r.v, r.month_id) for r in stored.collect()} == new | {r for r in old if r[0] not in known}
+    assert stored.count() == 901
+    assert stored.filter("month_id = 202401").select(F.input_file_name()).distinct().count() == 1
+
+
+def test_raw_loads_are_not_shuffled(spark, make, monkeypatch):
+    """A RAW load is written as it comes."""
+    found = []
+    monkeypatch.setattr(type(make("id int", [(1,)])), "hint", lambda df, *a: found.append(a) or df)
+    path = work_dir(spark, "raw")
+    rows = spark.range(0, 100, 1, 3).selectExpr("id", "date'2024-01-01' as load_date")
+    sinks.append_raw(rows, path)
+    assert found == [] and spark.read.parquet(path).count() == 100
+    assert spark.read.parquet(path).select(F.input_file_name()).distinct().count() == 3
+
+
 def test_partition_upsert_with_null_and_moved_partitions(spark, make):
     path, schema = work_dir(spark, "test"), "id string, v int, month_id int"
     put = lambda rows, updates: sinks.upsert_partitions(
