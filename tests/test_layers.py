@@ -254,6 +254,18 @@ def test_partition_upsert_meets_rows_where_they_are_written(spark, make, monkeyp
     assert stored.filter("month_id = 202401").select(F.input_file_name()).distinct().count() == 1
 
 
+def test_rows_without_a_user_wait_once(make):
+    """Whatever the stations hold, a row that cannot become a fact is one waiting row."""
+    rows = make("id string, user_id string, station_id string, tariff_version string, tariff_rate_per_minute decimal(10,4)",
+                [("late", "u9", "s", "v", "1"), ("ok", "u", "s", "v", "1"), ("nowhere", "u", None, None, None)])
+    users = make("user_id string, user_dwh_id string, is_current boolean", [("u", "U", True), ("u9", "U9", False)])
+    stations = make("station_id string, station_dwh_id string", [("s", "S"), ("s", "S")])
+    tariffs = make("tariff_version string, rate_per_minute decimal(10,4), tariff_dwh_id string", [("v", "1", "T")])
+    looked = facts.look_up(rows, users, stations, tariffs)
+    assert sorted(r.id for r in looked.filter(~facts.resolved()).collect()) == ["late", "nowhere"]
+    assert [(r.id, r.station_dwh_id, r.tariff_dwh_id) for r in looked.filter(facts.resolved()).collect()] == [("ok", "S", "T")] * 2
+
+
 def test_raw_loads_are_not_shuffled(spark, make, monkeypatch):
     """A RAW load is written as it comes."""
     found = []
