@@ -210,6 +210,35 @@ def test_max_score_probes_less_than_everything():
         assert mine == sorted((-s, i) for i, s in enumerate(scores) if i != 3)[:k]
 
 
+@pytest.mark.parametrize("scales, alone", [([1] * 12, False), ([40, 1, 1, 1, 1, 1], True)])
+def test_queries_of_a_group_share_the_pass_over_a_shard(monkeypatch, scales, alone):
+    """Where postings are traversed nearly whole no query goes through the shard by itself; where they are short each
+    does. Both find the best of every query, ties, repeated ids and other lengths included."""
+    rng = np.random.default_rng(4)
+    rows = np.floor(rng.normal(size=(900, len(scales))) * 20 * np.array(scales))
+    rows[100:160] = rows[40:100]
+    ids = rng.permutation(900)
+    ids[:30] = ids[30:60]
+    shard = topk.Shard(ids, rows)
+    queries, owns = np.floor(rng.normal(size=(40, len(scales) + 1)) * 30), ids[rng.integers(0, 900, 40)]
+    scores = queries[:, : len(scales)] @ rows.T
+    calls, once = [], topk.max_score
+    monkeypatch.setattr(topk, "max_score", lambda *a: calls.append(1) or once(*a))
+    for k, floors in ((1, None), (7, None), (2000, None), (7, 0), (7, 5), (7, 10**9)):
+        best = np.sort(scores, axis=1)[:, -7]
+        beat = np.full(40, -np.inf) if floors is None else best + floors
+        calls.clear()
+        at, alive, found = topk.max_scores(queries, owns, shard, k, beat)
+        assert (found == scores[at, alive]).all()
+        of, values, keys = topk._merge(at, found, ids[alive], k)
+        for q in range(40):
+            wanted = sorted((-s, i) for i, s in zip(ids, scores[q]) if i != owns[q] and s >= beat[q])[:k]
+            mine = [(-v, i) for v, i in zip(values[of == q], keys[of == q]) if v >= beat[q]]
+            assert mine == wanted
+        if floors in (0, 5):
+            assert (len(calls) > 20) == alone and (not calls or alone)
+
+
 def test_null_and_repeated_ids_of_vectors(spark):
     a, b, c = [1.0, 0.0], [0.999, 0.01], [0.0, 1.0]
     rows = [(1, a, 1), (2, b, 1), (1, c, 2), (3, [0.01, 0.999], 2), (None, b, 1), (None, c, 3), (None, [0.5, -0.5], 4), (7, None, 1), (None, None, None)]

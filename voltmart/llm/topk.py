@@ -9,7 +9,8 @@ In a shard a query's terms are the dimensions. A dimension adds between its leas
 over the shard; the difference is its bound. The terms of smallest bounds which together cannot lift a
 candidate over the score to beat are non-essential. Essential postings, sorted by product, are traversed down to the
 product that at least one essential term of any competitive candidate must reach; the candidates met are scored on all
-essential terms, and the non-essential ones are probed while score and remaining bounds still compete.
+essential terms, and the non-essential ones are probed while score and remaining bounds still compete. Queries whose
+postings would be traversed nearly whole share the pass over the shard: a group of them is scored by one matrix product.
 """
 
 from __future__ import annotations
@@ -30,7 +31,9 @@ TOP = 20
 SCALE = 64
 SHARD = 4096  # candidates of a shard
 BLOCK = 4096  # queries searched together; they pass through the driver
+GROUP = 256  # queries that share a pass over a shard
 STEP = 8  # dimensions probed before candidates are looked through again
+FEW = 8  # probed one by one where less than one in so many candidates is left, else for all of them at once
 EXACT = 2.0**52  # sums of absolute products up to here are exact in double precision
 
 
@@ -151,6 +154,101 @@ def max_score(query: np.ndarray, own: int, shard: Shard, k: int, floor: float) -
     return alive, scores
 
 
+def _bounds(queries: np.ndarray, shard: Shard, floors: np.ndarray):
+    """What max_score finds out before it looks at candidates, for queries over the shard's dimensions: the terms' least
+    products and gains, the terms by falling gain, what those from a place on can add, and how many are essential."""
+    ends = np.stack([queries * shard.low[: queries.shape[1]], queries * shard.high[: queries.shape[1]]])
+    least, gain = ends.min(axis=0), ends.max(axis=0) - ends.min(axis=0)
+    order = np.argsort(-gain, axis=1, kind="stable")
+    falling = np.take_along_axis(gain, order, 1)
+    tail = np.pad(np.cumsum(falling[:, ::-1], axis=1)[:, ::-1], ((0, 0), (0, 1)))
+    below = least.sum(axis=1)[:, None] + tail < floors[:, None]
+    essential = np.where(below.any(axis=1), below.argmax(axis=1), queries.shape[1])
+    return least, gain, order, tail, essential, np.abs(ends).max(axis=0).sum(axis=1)
+
+
+def _reached(queries: np.ndarray, shard: Shard, least: np.ndarray) -> np.ndarray:
+    """The lengths of the postings that `reaching` would return for each query and dimension."""
+    found = np.zeros(queries.shape, np.int64)
+    for d in range(queries.shape[1]):
+        weight, values = queries[:, d], shard.sorted[d]
+        for side in (weight > 0, weight < 0):
+            at = least[side, d] / weight[side]
+            found[side, d] = (
+                len(values) - np.searchsorted(values, at - SLACK)
+                if len(at) and weight[side][0] > 0
+                else np.searchsorted(values, at + SLACK, "right")
+            )
+    return found
+
+
+def max_scores(
+    queries: np.ndarray, owns: np.ndarray, shard: Shard, k: int, floors: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """max_score for a group of queries of one length: (places of queries, places of candidates, scores as long)."""
+    width = min(queries.shape[1], len(shard.columns))
+    whole, queries, columns = queries, queries[:, :width], shard.columns[:width]
+    least, gain, order, tail, essential, largest = _bounds(queries, shard, floors)
+    base = least.sum(axis=1)
+    exact = largest <= EXACT
+    competes = ~(base + gain.sum(axis=1) < floors) | ~exact
+    places = np.arange(width)
+    inside = np.zeros(queries.shape, bool)  # the essential terms
+    np.put_along_axis(inside, order, places < essential[:, None], 1)
+    # Queries that traverse short postings, and those beyond exact doubles, go through the shard by themselves.
+    need = floors - base - np.take_along_axis(tail, essential[:, None], 1)[:, 0]
+    total = np.where(inside, gain, 0.0).sum(axis=1)
+    alone = competes & ~exact
+    short = np.flatnonzero(competes & exact & (essential > 0) & (need > 0) & (total > 0) & (floors > -np.inf))
+    if len(short):
+        share = least[short] + (need[short] / total[short])[:, None] * gain[short]
+        posted = _reached(queries[short], shard, share)
+        met = np.where(inside[short] & (gain[short] > 0), posted, 0).sum(axis=1)
+        alone[short] = met * FEW <= len(shard.ids)
+    rows, cols, found = [], [], []
+    for at in np.flatnonzero(alone):
+        alive, values = max_score(whole[at], owns[at], shard, k, floors[at])
+        rows.append(np.full(len(alive), at))
+        cols.append(alive)
+        found.append(np.array([int(v) for v in values], np.int64))
+    at = np.flatnonzero(competes & ~alone)
+    if len(at):
+        asked, inside, bar = queries[at], inside[at], floors[at]
+        # Terms not scored yet count at their least: scores so far are lower bounds.
+        scores = np.where(inside, asked, 0.0) @ columns + np.where(inside, 0.0, least[at]).sum(axis=1)[:, None]
+        mine = shard.ids == owns[at][:, None]
+        scores[mine] = -np.inf
+        rest = np.take_along_axis(tail[at], essential[at][:, None], 1)
+        near = (scores + rest >= bar[:, None]) & ~mine
+        dense = near.sum(axis=1) * FEW > len(shard.ids)
+        dense &= essential[at] < width
+        if dense.any():  # probing all costs less than picking out the many
+            scores[dense] += np.where(inside[dense], 0.0, asked[dense]) @ columns
+            scores[dense] -= np.where(inside[dense], 0.0, least[at][dense]).sum(axis=1)[:, None]
+            rest[dense] = 0.0
+            near[dense] = (scores[dense] >= bar[dense][:, None]) & ~mine[dense]
+        many = near.sum(axis=1) > 4 * k
+        if many.any():
+            kth = np.partition(scores[many], len(shard.ids) - k, axis=1)[:, len(shard.ids) - k]
+            bar[many] = np.maximum(bar[many], kth)
+            near[many] &= scores[many] + rest[many] >= bar[many][:, None]
+        row, col = np.nonzero(near)
+        done, ready = np.where(dense, width, essential[at]), scores[row, col]
+        while len(row) and (done[row] < width).any():  # the non-essential terms of what is left
+            place = done[row][:, None] + np.arange(STEP)
+            dims = np.take_along_axis(order[at][row], np.minimum(place, width - 1), 1)
+            more = asked[row[:, None], dims] * columns[dims, col[:, None]] - least[at][row[:, None], dims]
+            ready = ready + np.where(place < width, more, 0.0).sum(axis=1)
+            done = np.minimum(done + STEP, width)
+            left = ready + tail[at][row, done[row]] >= bar[row]
+            row, col, ready = row[left], col[left], ready[left]
+        rows.append(at[row])
+        cols.append(col)
+        found.append(ready.astype(np.int64))
+    none = [np.zeros(0, np.int64)]
+    return tuple(np.concatenate(parts + none) for parts in (rows, cols, found))
+
+
 def _asked(queries: DataFrame, blocks: int, block: int) -> list[tuple[int, np.ndarray]]:
     """The queries of one block: (vec_id, whole components)."""
     mine = queries.where(F.expr(f"pmod(xxhash64(vec_id), {blocks}L)") == block)
@@ -158,6 +256,29 @@ def _asked(queries: DataFrame, blocks: int, block: int) -> list[tuple[int, np.nd
     return [(row.vec_id, _quantise(row.embedding)) for row in found]
 
 
+def _groups(wanted: list[tuple[int, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(vec_ids, components) of up to GROUP queries of equal length."""
+    by_length: dict[int, list] = {}
+    for own, query in wanted:
+        by_length.setdefault(len(query), []).append((own, query))
+    for length, found in by_length.items():
+        for at in range(0, len(found), GROUP):
+            owns, rows = zip(*found[at : at + GROUP])
+            yield np.array(owns, np.int64), np.array(rows).reshape(len(rows), length)
+
+
+def _rank(groups: np.ndarray) -> np.ndarray:
+    """The place of each entry within its run of equal ones."""
+    return np.arange(len(groups)) - np.searchsorted(groups, groups)
+
+
+def _merge(of: np.ndarray, scores: np.ndarray, keys: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best of each query, in order; equal scores by the smaller vec_id."""
+    order = np.lexsort((keys, -scores, of))
+    order = order[_rank(of[order]) < k]
+    return of[order], scores[order], keys[order]
+
+
 def top_products(candidates: DataFrame, queries: DataFrame, k: int = TOP, block: int = BLOCK) -> DataFrame:
     """Both (vec_id whole number, embedding, ...) -> (query_id, rank, vec_id, score): each query's k best candidates.
 
@@ -180,26 +301,28 @@ def top_products(candidates: DataFrame, queries: DataFrame, k: int = TOP, block:
         wanted = _asked(asked, blocks, number)
 
         def run(batches: Iterator[pa.RecordBatch], wanted=wanted) -> Iterator[pa.RecordBatch]:
-            none = (np.zeros(0, np.int64), np.zeros(0, np.int64))
-            best = [none] * len(wanted)
+            groups = list(_groups(wanted))
+            none = np.zeros(0, np.int64)
+            best = [(none, none, none)] * len(groups)  # places of queries, scores, vec_ids: sorted, k of each at most
             for batch in batches:
                 for place in range(batch.num_rows):
                     ids = np.frombuffer(batch.column("ids")[place].as_py(), np.int64)
                     length = batch.column("length")[place].as_py()
                     shard = Shard(ids, np.frombuffer(batch.column("rows")[place].as_py()).reshape(len(ids), length))
-                    for at, (own, query) in enumerate(wanted):
-                        scores, keys = best[at]
-                        floor = float(scores[-1]) if len(scores) == k else -np.inf
-                        alive, values = max_score(query, own, shard, k, floor)
-                        if len(alive):
-                            scores = np.append(scores, np.array([int(v) for v in values], np.int64))
-                            keys = np.append(keys, ids[alive])
-                            order = np.lexsort((keys, -scores))[:k]
-                            best[at] = (scores[order], keys[order])
-            for (own, _), (scores, keys) in zip(wanted, best):
-                if len(scores):
+                    for at, (owns, rows) in enumerate(groups):
+                        of, scores, keys = best[at]
+                        floors = np.full(len(owns), -np.inf)
+                        last = np.flatnonzero(_rank(of) == k - 1)
+                        floors[of[last]] = scores[last]
+                        query, alive, values = max_scores(rows, owns, shard, k, floors)
+                        if len(query):
+                            best[at] = _merge(
+                                np.append(of, query), np.append(scores, values), np.append(keys, ids[alive]), k
+                            )
+            for (owns, _), (of, scores, keys) in zip(groups, best):
+                if len(of):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(scores), own)), pa.array(keys), pa.array(scores)],
+                        [pa.array(owns[of]), pa.array(keys), pa.array(scores)],
                         names=["query_id", "vec_id", "score"],
                     )
 
