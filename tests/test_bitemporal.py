@@ -120,6 +120,17 @@ def test_only_buckets_of_changed_users_are_rewritten(spark, make):
     assert spark.read.parquet(path).count() == 302
 
 
+def test_users_do_not_pass_through_the_driver(spark, make, monkeypatch):
+    """Small files are no reason to broadcast a row per user: at size they would be collected in the driver."""
+    dim = arrive(spark, make, (1, 3), work_dir(spark, "test"))
+    plans = []
+    look = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(bitemporal, "cut_lineage", lambda df, *label: look(df) or cut_lineage(df, *label))
+    look(bitemporal.snapshot_changes(dim, make(USER, SNAPSHOTS[2]), at(2), at(12), seen_by(spark, (1, 3))))
+    assert len(plans) == 3 and not any("Broadcast" in plan for plan in plans)
+    assert all("SortMergeJoin" in plan for plan in plans)
+
+
 def test_sweep_finds_the_version_of_a_key_with_most_versions(spark):
     count = 20_000
     versions = spark.range(count).selectExpr(

@@ -4,6 +4,9 @@ A snapshot says what each key's columns were at its time; they hold until the ne
 key. Snapshots may arrive in any order and arrive again with corrections: one that falls inside a version splits it, one
 that says what its neighbour says extends the neighbour, and what it replaces stays readable as of the
 load before. Whatever the order of arrival, the versions known at the end are the same.
+
+Snapshots and versions both have a row per key, so they always meet by shuffle (the hint "merge"): a side whose files look
+small enough to broadcast would pass through the driver, several times its size.
 """
 
 from __future__ import annotations
@@ -62,28 +65,28 @@ def snapshot_changes(
     moment, end = _at(at), _open_end()
     says = F.struct(*tracked)
     new = snapshot.filter(F.col(key).isNotNull()).select(key, says.alias("says"), moment.alias("_at"))
-    live = known_at(dim).join(new.select(key), key, "left_semi")
+    live = known_at(dim).join(new.select(key).hint("merge"), key, "left_semi")
     live = cut_lineage(live.select(key, says.alias("said"), *PERIOD), "versions")
     # The version around the snapshot's time, found by a sweep; most keys end here, as nothing changed.
     around = live.withColumn("version", F.struct("said", *PERIOD))
-    found = asof_dim(new, around, key, "_at", ["version"])
+    found = asof_dim(new, around.hint("merge"), key, "_at", ["version"])
     changed = cut_lineage(
         found.filter(F.col("version").isNull() | ~_same("says", "version.said", tracked)), "changed"
     )
     after = live.filter(F.col("valid_from") > moment).groupBy(key).agg(F.min("valid_from").alias("_next_from"))
-    rows = changed.join(after, key, "left")
+    rows = changed.join(after.hint("merge"), key, "left")
     # What the snapshot says ends where the key is seen next, or where the next version begins.
     if seen is None:
         rows = rows.withColumn("_seen", F.lit(None).cast("timestamp"))
     else:
-        again = seen.filter(F.col("seen_at") > moment).join(changed.select(key), key, "left_semi")
-        rows = rows.join(again.groupBy(key).agg(F.min("seen_at").alias("_seen")), key, "left")
+        again = seen.filter(F.col("seen_at") > moment).join(changed.select(key).hint("merge"), key, "left_semi")
+        rows = rows.join(again.groupBy(key).agg(F.min("seen_at").alias("_seen")).hint("merge"), key, "left")
     until = F.least(F.coalesce("_seen", end), F.coalesce("version.valid_to", "_next_from", end))
     rows = rows.withColumn("_until", until)
     # Neighbours that say the same: the one that ends where this begins, and the one that begins where it ends.
     neighbour = lambda name, edge: live.select(
         F.col(key).alias(f"_key_{name}"), F.col(edge).alias(f"_edge_{name}"), F.struct("said", *PERIOD).alias(name)
-    )
+    ).hint("merge")
     rows = rows.join(
         neighbour("before", "valid_to"),
         (F.col(key) == F.col("_key_before")) & (F.col("_edge_before") == moment), "left",

@@ -58,6 +58,7 @@ def _partitions(df: DataFrame, part_col: str) -> set:
     return found
 
 
+SMALL_SOURCE = 100_000  # source rows up to which an upsert leaves it to Spark whether their keys are broadcast
 CELL_ROWS = 500_000  # rows of a partition that one task of a merge takes; it writes a file of them
 
 
@@ -145,7 +146,10 @@ def upsert_partitions(
     asked = src.select(*keys).alias("s")
     same = [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
     arriving = _sizes(src, part_col)
-    held = now.join(src.select(*keys, part_col).alias("s"), same).select(
+    placing = src.select(*keys, part_col)
+    if sum(arriving.values()) > SMALL_SOURCE:  # compressed files look smaller than the keys that the driver would hold
+        placing = placing.hint("merge")
+    held = now.join(placing.alias("s"), same).select(
         F.col(f"t.{part_col}").alias(part_col),
         F.col(f"t.{part_col}").eqNullSafe(F.col(f"s.{part_col}")).alias("_stays"),
     )

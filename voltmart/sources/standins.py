@@ -59,7 +59,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min("o_orderdate").alias("created_at")
     )
     customers = table(spark, sf_dir, "customer")
-    return customers.join(first, customers.c_custkey == first.o_custkey, "left").select(
+    return customers.join(first.hint("merge"), customers.c_custkey == first.o_custkey, "left").select(
         _id("c_custkey").alias("user_id"),
         F.concat(F.lower("c_name"), F.lit("@example.com")).alias("email"),
         F.lit(None).cast("string").alias("phone"),
