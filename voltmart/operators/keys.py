@@ -32,6 +32,7 @@ def insert_ignore(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFra
 def upsert(
     target: DataFrame, src: DataFrame, keys: list[str], update_cols: list[str],
     order_cols: list[str] | None = None, cells: tuple[Column, int] | None = None,
+    before: list[str] | None = None,
 ) -> DataFrame:
     """Update the listed columns where the key exists, insert the whole row where it does not.
 
@@ -41,6 +42,9 @@ def upsert(
 
     With `cells`, a column that is never NULL and equal for rows of equal keys, and a number of tasks, rows meet by
     cell and stay together by cell: a result that is written by cells needs no further shuffle.
+
+    With `before`, columns of the target, rows also carry `_came`, whether the source has their key, and
+    `_before`, these columns as they were stored, NULL for a new key.
     """
     old, new = target.withColumn("_old", F.lit(True)), src.withColumn("_new", F.lit(True))
     if cells:
@@ -69,7 +73,11 @@ def upsert(
             source_wins = ~in_target
         return F.when(source_wins, F.col(f"s.{name}")).otherwise(F.col(f"t.{name}")).alias(name)
 
-    return joined.select(*[pick(c) for c in target.columns])
+    carried = []
+    if before is not None:
+        stored = F.struct(*[F.col(f"t.{c}").alias(c) for c in before])
+        carried = [in_source.alias("_came"), F.when(in_source & in_target, stored).alias("_before")]
+    return joined.select(*[pick(c) for c in target.columns], *carried)
 
 
 def close_intervals(

@@ -66,11 +66,13 @@ def _signed(value: Column) -> Column:
 
 
 def rental_deltas(changes: DataFrame) -> dict[str, DataFrame]:
-    """What signed rental rows add to each table of state; partial sums go before every shuffle."""
+    """What signed rental rows add to each table of state, in ranges of days. Keys are so fine that sums before a
+    shuffle hardly shrink the rows, so these are brought to their range at once and summed there."""
     has = lambda c: F.when(F.col(c).isNotNull(), F.col("_sign")).otherwise(0).cast("bigint")
     total = lambda column, kind="bigint": F.sum(F.coalesce(column, F.lit(0))).cast(kind)
     count = F.sum(F.col("_sign").cast("bigint"))
     hour = F.floor(F.col("start_time_id") / 10000).cast("int")
+    changes = changes.repartitionByRange("start_date_id")
     sums = changes.withColumn("hour", hour).groupBy(*STATES["rental_sums"].keys).agg(
         count.alias("n"),
         total(_signed(F.col("is_cancelled").cast("int")).cast("bigint")).alias("cancelled"),
@@ -89,22 +91,24 @@ def rental_deltas(changes: DataFrame) -> dict[str, DataFrame]:
 
 
 def offer_deltas(changes: DataFrame) -> dict[str, DataFrame]:
-    """Only offers still open keep their expiry: it decides when they begin to count as expired."""
+    """Only offers still open keep their expiry: it decides when they begin to count as expired. Few rows are left
+    of a day, and these are brought to ranges of days."""
     expires = F.col("expires_at") if "expires_at" in changes.columns else F.lit(None).cast("timestamp")
     open_until = F.when(F.col("status") == "ACTIVE", expires)
     counts = changes.withColumn("expires_at", open_until).groupBy(*STATES["offer_sums"].keys).agg(
         F.sum(F.col("_sign").cast("bigint")).alias("n")
     )
-    return {"offer_sums": counts}
+    return {"offer_sums": counts.repartitionByRange("created_date_id")}
 
 
 def _publish(name: str, rows: DataFrame, root: str, run: str, base: bool) -> None:
+    """Store rows that lie in ranges of days."""
     spark, path = rows.sparkSession, f"{root}/state/{name}"
     version = (_pointers(spark, root, name).agg(F.max("version")).first()[0] or 0) + 1
     target = f"{path}/{run}-{uuid.uuid4().hex[:8]}"
     day = STATES[name].keys[0]
     changed = rows.filter(" or ".join(f"{c} <> 0" for c in STATES[name].sums))
-    changed.repartitionByRange(day).sortWithinPartitions(day).write.parquet(target)
+    changed.sortWithinPartitions(day).write.parquet(target)
     pointer = spark.createDataFrame([(run, base, version, target)], POINTER)
     pointer.coalesce(1).write.mode("append").parquet(f"{path}/pointers")
 
@@ -169,7 +173,8 @@ def rebuild(spark: SparkSession, root: str, as_of: str, rentals: DataFrame, offe
 def compact(spark: SparkSession, root: str, as_of: str) -> None:
     """Fold the deltas of all runs up to as_of, the last one, into a new base. They are ignored from then on."""
     for name in STATES:
-        _publish(name, read_state(spark, root, name), root, run_id(as_of), base=True)
+        rows = read_state(spark, root, name).repartitionByRange(STATES[name].keys[0])
+        _publish(name, rows, root, run_id(as_of), base=True)
 
 
 def _known(part: Column, count: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from voltmart.operators.keys import upsert
-from voltmart.session import cut_lineage, work_dir
+from voltmart.session import cut_lineage, remove, work_dir
 
 
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
@@ -96,23 +96,28 @@ def signed_changes(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame
     return both.filter(~F.col("before").eqNullSafe(F.col("after"))).select(F.inline(sides))
 
 
-def _log_changes(old: DataFrame | None, new: DataFrame, keys: list[str], columns: list[str], log: tuple[str, str]) -> None:
+def _staged_changes(merged: DataFrame, columns: list[str]) -> DataFrame:
+    """The same from merged rows that carry what was stored before (see keys.upsert)."""
+    row = F.struct(*columns)
+    signed = lambda source, sign: F.struct(*[source(c).alias(c) for c in columns], F.lit(sign).alias("_sign"))
+    sides = F.array_compact(F.array(
+        F.when(F.col("_before").isNotNull(), signed(lambda c: F.col(f"_before.{c}"), -1)), signed(F.col, 1)
+    ))
+    return merged.filter(F.col("_came") & ~F.col("_before").eqNullSafe(row)).select(F.inline(sides))
+
+
+def _log_changes(changes: DataFrame, log: tuple[str, str]) -> None:
     """Publish the signed changes of a run once: a run that is repeated after its swap would see none."""
     name, path = log
-    spark = new.sparkSession
-    if read_version(spark, name, path) is not None:
-        return
-    if old is None:
-        changes = new.select(*columns, F.lit(1).alias("_sign"))
-    else:
-        changes = signed_changes(old.select(*columns), new.select(*columns), keys)
-    refresh_mart(name, changes, path)
+    if read_version(changes.sparkSession, name, path) is None:
+        refresh_mart(name, changes, path)
 
 
 def upsert_partitions(
     spark: SparkSession, path: str, src: DataFrame, keys: list[str], update_cols: list[str],
     part_col: str = "month_id", sort_col: str | None = None, order_cols: list[str] | None = None,
     log: tuple[str, str] | None = None, log_columns: list[str] | None = None, written: bool = False,
+    held_col: str | None = None, staged: bool = True,
 ) -> DataFrame:
     """Upsert into partitioned parquet, rewriting only the partitions the source touches.
 
@@ -125,54 +130,79 @@ def upsert_partitions(
     overwrite, so an input is never overwritten while it is read and a failed swap can be repeated.
     Where no key moves, old and new rows meet by partition and hash of the key, so that the join leaves rows where
     they are written; where one does, they meet by key and are brought to their partitions afterwards.
+    Without `staged` the former are written once: dynamic overwrite itself lays all new files aside before it touches
+    a partition, so the old ones are read to the end.
     Returns the source rows as materialised on the way; a source that is already a `written` table is not
     written again.
 
     With `log`, a run's name and a folder, the signed changes of `log_columns` (default: all) are published
-    there before the swap; the same run finds them there when it is repeated (see changes_of).
+    there before the swap; the same run finds them there when it is repeated (see changes_of). They are read from the
+    stage, whose rows then carry what was stored before.
+
+    A source that has looked its keys up names in `held_col` a struct of the partition that holds the key, NULL for a
+    new key, in place of the projection. The column is not stored.
     """
     swap = lambda df, placed=False: _in_months(df, part_col, sort_col, placed).write.partitionBy(
         part_col
     ).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     target = read_if_present(spark, path)
     src = src if written else cut_lineage(src, "increment")
+    found, src = src, src.drop(held_col) if held_col else src
     if target is None:
         if log:
-            _log_changes(None, src, keys, log_columns or src.columns, log)
+            _log_changes(src.select(*(log_columns or src.columns), F.lit(1).alias("_sign")), log)
         swap(src)
         return src
     target = target.withColumn(part_col, F.col(part_col).cast(src.schema[part_col].dataType))
-    now = target.select(*keys, part_col).alias("t")
-    asked = src.select(*keys).alias("s")
-    same = [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
     arriving = _sizes(src, part_col)
-    placing = src.select(*keys, part_col)
-    if sum(arriving.values()) > SMALL_SOURCE:  # compressed files look smaller than the keys that the driver would hold
-        placing = placing.hint("merge")
-    held = now.join(placing.alias("s"), same).select(
-        F.col(f"t.{part_col}").alias(part_col),
-        F.col(f"t.{part_col}").eqNullSafe(F.col(f"s.{part_col}")).alias("_stays"),
-    )
-    stored = held.groupBy(part_col).agg(F.min("_stays").alias("_stay")).limit(MAX_PARTITIONS + 1).collect()
+    same = [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
+    if held_col:
+        at = F.col(f"{held_col}.{part_col}")
+        held = found.filter(F.col(held_col).isNotNull()).select(
+            at.alias(part_col), at.eqNullSafe(F.col(part_col)).alias("_stays")
+        )
+    else:
+        now = target.select(*keys, part_col).alias("t")
+        placing = src.select(*keys, part_col)
+        if sum(arriving.values()) > SMALL_SOURCE:  # compressed files look smaller than the keys that the driver would hold
+            placing = placing.hint("merge")
+        held = now.join(placing.alias("s"), same).select(
+            F.col(f"t.{part_col}").alias(part_col),
+            F.col(f"t.{part_col}").eqNullSafe(F.col(f"s.{part_col}")).alias("_stays"),
+        )
+    stored = held.groupBy(part_col).agg(F.min("_stays").alias("_stay"), F.count(F.lit(1)).alias("_met")).limit(
+        MAX_PARTITIONS + 1
+    ).collect()
     if len(stored) > MAX_PARTITIONS:
         raise ValueError(f"{part_col} has more than {MAX_PARTITIONS} values in one upsert")
     touched = arriving.keys() | {row[0] for row in stored}
     wanted = F.col(part_col).isin([value for value in touched if value is not None])
     if None in touched:
         wanted = F.coalesce(wanted, F.lit(False)) | F.col(part_col).isNull()
-    placed = all(row["_stay"] for row in stored)
+    old = target.filter(wanted)
+    placed, sizes = all(row["_stay"] for row in stored), _sizes(old, part_col)
+    cells = _cells(spark, keys, part_col, [arriving, sizes]) if placed else None
+    columns = log_columns or target.columns
+    merged = upsert(old, src, keys, update_cols, order_cols, cells, columns if log else None)
+    if placed and not log and not staged:
+        swap(merged, placed)
+        return src
+    stage, schema = work_dir(spark, "stage"), merged.schema
     if placed:
-        cells = _cells(spark, keys, part_col, [arriving, _sizes(target.filter(wanted), part_col)])
-        merged = upsert(target.filter(wanted), src, keys, update_cols, order_cols, cells)
-        stage, columns = work_dir(spark, "stage"), merged.columns
         _in_months(merged, part_col, sort_col, placed).write.partitionBy(part_col).parquet(stage)
-        merged = spark.read.schema(merged.schema).parquet(stage).select(*columns)
     else:
-        merged = cut_lineage(upsert(target.filter(wanted), src, keys, update_cols, order_cols), "stage")
+        merged.write.parquet(stage)
+    carrying = spark.read.schema(schema).parquet(stage)
+    merged = carrying.select(*target.columns)
     if log:
-        of_source = lambda df: df.alias("t").join(asked, same, "left_semi")
-        columns = log_columns or target.columns
-        _log_changes(of_source(target.filter(wanted)), of_source(merged), keys, columns, log)
+        unique = sum(sizes.values()) + sum(arriving.values()) - sum(row["_met"] for row in stored)
+        if carrying.count() == unique:
+            changes = _staged_changes(carrying, columns)
+        else:  # a key that repeats: every old row against every new one
+            asked = src.select(*keys).alias("s")
+            of_source = lambda df: df.alias("t").join(asked, same, "left_semi").select(*columns)
+            changes = signed_changes(of_source(old), of_source(merged), keys)
+        _log_changes(changes, log)
     swap(merged, placed)
     # Dynamic overwrite leaves a partition alone whose last row has moved away: empty it by itself.
     for value in touched - _partitions(merged, part_col):
@@ -180,6 +210,7 @@ def upsert_partitions(
         merged.drop(part_col).limit(0).write.mode("overwrite").option(
             "partitionOverwriteMode", "static"
         ).parquet(f"{path}/{part_col}={name}")
+    remove(spark, stage)
     return src
 
 
