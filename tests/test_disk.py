@@ -12,6 +12,7 @@ from voltmart.operators import keys
 from voltmart.plans import state, warehouse
 from voltmart.session import cut_lineage, scratch, shared_root, together, work_dir
 from voltmart.sources import sinks, standins as src
+from voltmart.streaming import events as live
 
 ROW = "id string, v int, w string, month_id int"
 
@@ -139,6 +140,15 @@ def test_state_of_rentals_is_shuffled_once(spark):
         assert plan.count("Exchange ") == plan.count("Exchange rangepartitioning(start_date_id") == 1, (name, plan)
 
 
+def test_rows_reach_the_stateful_processor_without_ballast(spark):
+    """Each cell costs Python time: what only deals the rows to groups stays behind."""
+    rates = spark.readStream.format("rate").load().selectExpr("cast(value as string) id", "'u' user_id", "'U' dwh")
+    plan = live.stream_resolved(rates.select("id", "user_id"), rates.select("user_id", "dwh"), "user_id", "id")
+    text = plan._jdf.queryExecution().analyzed().toString()
+    below = text.split("TransformWithState")[1].splitlines()[1]
+    assert "kind#" in below and "arrived" not in below and "salt" not in below, text
+
+
 def test_facts_are_looked_up_with_what_they_need(spark, make, monkeypatch):
     """Snapshots and change marks of offers and rentals are not shuffled to the dimensions."""
     found = []
