@@ -46,14 +46,14 @@ def in_three_parts(facts: DataFrame, key: str) -> list[DataFrame]:
     ]
 
 
-def load(spark, root: str, name: str, key: str, rows: DataFrame, as_of: str, written: bool = False) -> DataFrame:
-    """One run's upsert, all columns following the source; returns its signed changes. Parts of a `written` table
-    are read from it each time."""
+def load(spark, root: str, name: str, key: str, rows: DataFrame, as_of: str) -> DataFrame:
+    """One run's upsert, all columns following the source; returns its signed changes. Parts are row by row those of a
+    written table and read from it each time."""
     log = (state.run_id(as_of), f"{root}/changes/{name}")
     updates = [c for c in rows.columns if c != key]
     sinks.upsert_partitions(
         spark, f"{root}/dds/{name}", rows, [key], updates, log=log, log_columns=state.log_columns(rows, key),
-        written=written,
+        written=True,
     )
     return sinks.changes_of(spark, log)
 
@@ -68,7 +68,7 @@ def delta_marts(spark, sf: str) -> tuple[str, dict[str, str]]:
     offers = in_three_parts(src.offer_facts(spark, sf).drop("is_used", "is_expired_unused"), "offer_id")
     for as_of, more_rentals, more_offers in zip(RUNS, rentals, offers):
         changes = [
-            load(spark, root, "fact_rentals", "rental_id", more_rentals, as_of, written=True),
+            load(spark, root, "fact_rentals", "rental_id", more_rentals, as_of),
             load(spark, root, "fact_offers", "offer_id", more_offers, as_of),
         ]
         paths = state.refresh(
